@@ -12,13 +12,13 @@ SALTS = 64
 BROADCAST_MAX_ROWS = 200_000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """The most frequent values of a key, at most ``MAX_HOT_KEYS`` of them: small whatever the table's size.
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_MIN_ROWS) -> list:
+    """The most frequent values of a key, at most ``MAX_HOT_KEYS`` of them whatever the table's size.
 
-    Counting combines on the map side, so the hot values themselves cost no skew.
+    Counting combines on the map side, so the hot values themselves cost no skew, and only the key is read.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") >= min_rows)
-    return counts.orderBy(F.desc("count"), key).limit(MAX_HOT_KEYS).select(key)
+    return [row[0] for row in counts.orderBy(F.desc("count"), key).limit(MAX_HOT_KEYS).collect()]
 
 
 def salted_left_join(
@@ -29,35 +29,33 @@ def salted_left_join(
     min_rows: int = HOT_MIN_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left joins of one big frame with frames that are unique on the key, safe for hot and null keys.
+    """Left joins of one big frame with frames that are unique on a text key, safe for hot and null keys.
 
     ``spread`` is a well-spread column of the left frame (its own key). Rows of a hot key are dealt over
-    ``salts`` groups and only the matching right rows are repeated; rows without a key are dealt over all
-    tasks, since they match nothing. Every other row joins as usual. All joins share one partitioning of
-    the left frame.
+    ``salts`` groups and only the matching right rows are repeated; rows without a key get a key of their own
+    that matches nothing, so they spread over all tasks. Every other row joins as usual. All joins share one
+    partitioning of the left frame. The list of hot keys decides balance only, never the result.
     """
-    hot = F.broadcast(hot_keys(left, key, min_rows).withColumn("_hot", F.lit(True)))
-    dealt = F.xxhash64(F.col(spread))
-    result = (
-        left.join(hot, key, "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col(key).isNull(), dealt)
-            .when(F.col("_hot"), F.pmod(dealt, F.lit(salts)))
-            .otherwise(F.lit(0).cast("long")),
-        )
-        .drop("_hot")
-    )
-    every_salt = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    hot = hot_keys(left, key, min_rows)
+    value, mark = F.col(key), F.lit("\0")
+
+    def salted(salt: Column) -> Column:
+        return F.concat(value, mark, salt.cast("string"))
+
+    dealt = F.concat(mark, F.col(spread).cast("string"))
+    left_key = F.when(value.isNull(), dealt)
+    if hot:
+        left_key = left_key.when(value.isin(hot), salted(F.pmod(F.xxhash64(F.col(spread)), F.lit(salts))))
+    result = left.withColumn("_on", left_key.otherwise(value))
     for right in right_frames:
-        repeated = (
-            right.filter(F.col(key).isNotNull())
-            .join(hot, key, "left")
-            .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0).cast("long")))))
-            .drop("_hot")
-        )
-        result = result.join(repeated, [key, "_salt"], "left")
-    return result.drop("_salt")
+        rows = right.filter(value.isNotNull())
+        if hot:
+            repeated = F.transform(F.sequence(F.lit(0), F.lit(salts - 1)), lambda n: salted(n))
+            rows = rows.withColumn("_on", F.explode(F.when(value.isin(hot), repeated).otherwise(F.array(value))))
+        else:
+            rows = rows.withColumn("_on", value)
+        result = result.join(rows.drop(key), "_on", "left")
+    return result.drop("_on")
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:

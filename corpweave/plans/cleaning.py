@@ -475,14 +475,17 @@ def bronze_blank_to_null(t: Tables) -> DataFrame:
     return bronze.filter(F.col("business_description").isNotNull()).select("url", "business_description")
 
 
-_UNMATCHED = """SELECT '{s}' AS source, count(*) AS total_rows,
+_UNMATCHED = """SELECT '{name}' AS source, count(*) AS total_rows,
   count(*) FILTER (WHERE url__normalized_request_url NOT IN
     (SELECT url__normalized_request_url FROM registry WHERE url__normalized_request_url IS NOT NULL)) AS unmatched_rows FROM {s}"""
 
 
 @query(
     o.query(
-        " UNION ALL ".join(_UNMATCHED.format(s=s) for s in ("enrichment", "embeddings")), "registry", "enrichment", "embeddings"
+        " UNION ALL ".join(_UNMATCHED.format(name=n, s=s) for n, s in (("enrichment", "enrichment"), ("embeddings", "vectors"))),
+        "registry",
+        "enrichment",
+        "vectors",
     )
 )
 def unmatched_enrichment(t: Tables) -> DataFrame:

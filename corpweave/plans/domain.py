@@ -9,6 +9,9 @@ Every customer, page, document and vector takes part, and texts are used whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import lru_cache, wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,21 +23,34 @@ from corpweave.operators.validate import good_rows
 DIM = 64
 
 
+def planned_once(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """Keep the logical plan of a frame (never its rows), since building it takes longer than reusing it."""
+
+    @wraps(build)
+    def frame(tables: Tables) -> DataFrame:
+        if build.__name__ not in tables.plans:
+            tables.plans[build.__name__] = build(tables)
+        return tables.plans[build.__name__]
+
+    return frame
+
+
 class Tables:
     """The driver tables of one folder and the company frames derived from them."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
-        self._frames: dict[str, DataFrame] = {}
+        self.plans: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._frames:
-            self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self._frames[name]
+        if f"table:{name}" not in self.plans:
+            self.plans[f"table:{name}"] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.plans[f"table:{name}"]
 
     # raw sources
 
+    @planned_once
     def registry_raw(self) -> DataFrame:
         pages = self["pages"].select("page_id", "url")
         # one reference in five finds no page: those companies have no web site
@@ -71,6 +87,7 @@ class Tables:
             )
         )
 
+    @planned_once
     def enrichment_raw(self) -> DataFrame:
         pages = self["pages"].select("page_id", "url")
         documents = self["documents"].select("doc_id", "text", "lang", "source")
@@ -83,6 +100,7 @@ class Tables:
             F.concat(F.lit("B2B | "), "source", F.lit(" | SaaS")).alias("business_model"),
         )
 
+    @planned_once
     def embeddings_raw(self) -> DataFrame:
         pages = self["pages"].select("page_id", "url")
         vectors = self["embeddings"].select("vec_id", "embedding")
@@ -103,6 +121,7 @@ class Tables:
             .alias("embedding_updated_at"),
         )
 
+    @planned_once
     def countries(self) -> DataFrame:
         """A country dimension with one spelling per nation."""
         key = F.col("n_nationkey")
@@ -114,18 +133,23 @@ class Tables:
 
     # checked and silver frames
 
+    @planned_once
     def registry_checked(self) -> DataFrame:
         return standardise_registry(self.registry_raw(), self.countries())
 
+    @planned_once
     def enrichment_checked(self) -> DataFrame:
         return standardise_enrichment(self.enrichment_raw())
 
+    @planned_once
     def embeddings_checked(self) -> DataFrame:
         return standardise_embeddings(self.embeddings_raw(), DIM)
 
+    @planned_once
     def registry(self) -> DataFrame:
         return good_rows(self.registry_checked())
 
+    @planned_once
     def enrichment(self) -> DataFrame:
         return dedupe_latest(
             good_rows(self.enrichment_checked()),
@@ -133,6 +157,7 @@ class Tables:
             ties=["url__request_url", "desc__description_long"],
         )
 
+    @planned_once
     def embeddings(self) -> DataFrame:
         return dedupe_latest(
             good_rows(self.embeddings_checked()),
@@ -143,13 +168,21 @@ class Tables:
 
     # joined frames
 
+    @planned_once
     def integrated(self) -> DataFrame:
         return integrate(self.registry(), self.enrichment(), self.embeddings())
 
+    @planned_once
     def gold(self) -> DataFrame:
         return to_gold(self.integrated())
 
 
+@lru_cache(maxsize=16)
+def tables(spark: SparkSession, folder: str) -> Tables:
+    """The frames of one folder in one session."""
+    return Tables(spark, folder)
+
+
 def flat_list(c: Column) -> Column:
     """A list as text, for results compared across engines."""
     return F.array_join(c, "\u001f")

@@ -64,7 +64,8 @@ def revenue(c: str) -> dict[str, str]:
 
 
 def std(c: str) -> str:
-    return f"coalesce(nullif(upper({strip(f'CAST({c} AS VARCHAR)')}), ''), '^~')"
+    # full case mapping makes the sharp s SS, upper() of this engine makes it one capital letter
+    return f"coalesce(nullif(replace(upper({strip(f'CAST({c} AS VARCHAR)')}), 'ẞ', 'SS'), ''), '^~')"
 
 
 def payload_hash(columns: dict[str, str]) -> str:
@@ -218,7 +219,7 @@ QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY url__request_url, desc__
     embedding_updated_at IS NOT NULL AND TRY_CAST(embedding_updated_at AS TIMESTAMPTZ) IS NULL AS bad_time
   FROM (SELECT *, {soft('url')} AS url__request_url FROM embeddings_raw))""",
     ),
-    "embeddings": (
+    "vectors": (
         ("embeddings_checked",),
         f"""SELECT {', '.join(_URLS)}, {', '.join(_VECTORS.values())}, dt__embedding_ldts FROM embeddings_checked
 WHERE NOT bad_url AND len(bad_dimensions) = 0 AND NOT bad_time
@@ -234,9 +235,9 @@ _MAPPED = (
     + [f"v.{c} AS d3__{c}" for c in _URLS]
 )
 STEPS["integrated"] = (
-    ("registry", "enrichment", "embeddings"),
+    ("registry", "enrichment", "vectors"),
     f"""SELECT {', '.join(_MAPPED)} FROM registry s
-LEFT JOIN enrichment x ON s.{_KEY} = x.{_KEY} LEFT JOIN embeddings v ON s.{_KEY} = v.{_KEY}""",
+LEFT JOIN enrichment x ON s.{_KEY} = x.{_KEY} LEFT JOIN vectors v ON s.{_KEY} = v.{_KEY}""",
 )
 GOLD = {
     "company_id": "id__company",

@@ -15,6 +15,8 @@ SETTINGS = {
     # vectors make rows wide: smaller columnar batches keep scans of them in memory
     "spark.sql.parquet.columnarReaderBatchSize": "1024",
     "spark.ui.enabled": "false",
+    # call-site capture costs several JVM round trips per column expression; switch on to debug
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
