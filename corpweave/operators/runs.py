@@ -113,7 +113,8 @@ def reconcile_errors(parents: DataFrame, recorded: DataFrame, listing: DataFrame
         "parent_metadata_path", F.coalesce("parent_metadata_path", parent_metadata_path(F.col("path")))
     )
     known = parents.select("parent_metadata_path").distinct().withColumn("_known", F.lit(True))
-    placed = salted_left_join(inferred, [known], "parent_metadata_path", "path")
+    by_folder = listing.select(parent_metadata_path(F.col("path")).alias("parent_metadata_path"))
+    placed = salted_left_join(inferred, [known], "parent_metadata_path", "path", count_on=by_folder)
     listed = F.coalesce(F.col("_listed"), F.lit(False))
     return placed.select(
         "parent_metadata_path",
