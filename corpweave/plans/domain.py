@@ -19,6 +19,7 @@ from corpweave.operators.gold import to_gold
 from corpweave.operators.integrate import dedupe_latest, integrate
 from corpweave.operators.standardise import standardise_embeddings, standardise_enrichment, standardise_registry
 from corpweave.operators.validate import good_rows
+from corpweave.session import stored
 
 DIM = 64
 
@@ -176,6 +177,11 @@ class Tables:
     def gold(self) -> DataFrame:
         return to_gold(self.integrated())
 
+    @planned_once
+    def serving(self) -> DataFrame:
+        """Gold as a stored table, as searches read it: several scans of a few columns each."""
+        return stored(self.gold(), "gold")
+
 
 @lru_cache(maxsize=16)
 def tables(spark: SparkSession, folder: str) -> Tables:

@@ -13,6 +13,7 @@ from corpweave.operators.gold import gold_hdiff
 from corpweave.plans import oracle as o
 from corpweave.plans.cleaning import _D1_HASHED, GOLD_HASH
 from corpweave.plans.domain import Tables
+from corpweave.session import scratch_path
 from corpweave.specs import EMBEDDING_FIELDS
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -47,11 +48,15 @@ def _generations(t: Tables) -> list[DataFrame]:
 
 
 def _log(t: Tables) -> DataFrame:
-    log = None
-    for number, batch in enumerate(_generations(t), start=1):
-        changes = history.upsert(log, batch, KEY, number, F.lit(LOADS[number - 1]))
-        log = changes if log is None else log.unionByName(changes)
-    return log
+    """The three loads as a stored change log, written one version at a time."""
+    if "log" not in t.plans:
+        path = scratch_path(t.spark, "registry-log")
+        for number, batch in enumerate(_generations(t), start=1):
+            log = history.read_log(t.spark, path)
+            changes = history.upsert(log, batch, KEY, number, F.lit(LOADS[number - 1]))
+            history.append_version(changes, path, number)
+        t.plans["log"] = history.read_log(t.spark, path)
+    return t.plans["log"]
 
 
 _COLS = ", ".join(o._D1)

@@ -91,7 +91,7 @@ WHERE strip_accents(lower(country)) = 'nation_3' AND strip_accents(lower(iso2_co
 )
 def filter_only_search(t: Tables) -> DataFrame:
     intent = s.SearchIntent(k=SIZE, country="Nation_3", iso2_country_code="DY")
-    return _out(s.search(t.gold(), intent, SIZE))
+    return _out(s.search(t.serving(), intent, SIZE))
 
 
 @query(
@@ -107,7 +107,7 @@ def range_filter_search(t: Tables) -> DataFrame:
     intent = s.SearchIntent(
         k=50, min_employees=200, max_employees=900, min_founded_year=1960, max_founded_year=2010, min_revenue=5, max_revenue=100
     )
-    return _out(s.search(t.gold(), intent, 50))
+    return _out(s.search(t.serving(), intent, 50))
 
 
 @query(
@@ -120,7 +120,7 @@ QUALIFY rank <= {SIZE}""",
     ),
 )
 def keyword_exact(t: Tables) -> DataFrame:
-    return _out(s.search_keyword(t.gold(), "market_niches", "SRC3", SIZE))
+    return _out(s.search_keyword(t.serving(), "market_niches", "SRC3", SIZE))
 
 
 @query(
@@ -130,7 +130,7 @@ def keyword_exact(t: Tables) -> DataFrame:
     ),
 )
 def keyword_match(t: Tables) -> DataFrame:
-    return _out(s.search_keyword(t.gold(), "market_niches", "Src3 en", SIZE, exact=False))
+    return _out(s.search_keyword(t.serving(), "market_niches", "Src3 en", SIZE, exact=False))
 
 
 _TEXT = "furniture machinery that and estion queaux"
@@ -145,7 +145,7 @@ _TEXT = "furniture machinery that and estion queaux"
     ),
 )
 def search_bm25(t: Tables) -> DataFrame:
-    return _out(s.search(t.gold(), s.SearchIntent(k=SIZE, query_text=_TEXT, min_employees=100), SIZE))
+    return _out(s.search(t.serving(), s.SearchIntent(k=SIZE, query_text=_TEXT, min_employees=100), SIZE))
 
 
 @query(
@@ -158,7 +158,7 @@ def search_bm25(t: Tables) -> DataFrame:
 )
 def search_bm25_min_score(t: Tables) -> DataFrame:
     queries = t.spark.createDataFrame([("q", _TEXT)], "query_id string, text string")
-    return _out(s.search_text(t.gold(), queries, TEXT_SEARCH_BOOSTS, 500, 1.5))
+    return _out(s.search_text(t.serving(), queries, TEXT_SEARCH_BOOSTS, 500, 1.5))
 
 
 _FIELDS = ["embedding_global_vector", "embedding_description_short"]
@@ -173,7 +173,7 @@ _FILTERED = "(SELECT * FROM gold WHERE employees_count >= 100)"
 )
 def search_knn(t: Tables) -> DataFrame:
     intent = s.SearchIntent(k=SIZE, semantic_query="like the first vector", embedding_fields=_FIELDS, min_employees=100)
-    return _out(s.search(t.gold(), intent, SIZE, query_vector=_query_vector(t)))
+    return _out(s.search(t.serving(), intent, SIZE, query_vector=_query_vector(t)))
 
 
 @query(
@@ -200,7 +200,7 @@ def search_hybrid(t: Tables) -> DataFrame:
         embedding_fields=_FIELDS,
         min_employees=100,
     )
-    return _out(s.search(t.gold(), intent, SIZE, query_vector=_query_vector(t)))
+    return _out(s.search(t.serving(), intent, SIZE, query_vector=_query_vector(t)))
 
 
 @query(
@@ -214,7 +214,7 @@ def search_hybrid(t: Tables) -> DataFrame:
     ),
 )
 def search_enriched(t: Tables) -> DataFrame:
-    gold = t.gold()
+    gold = t.serving()
     hits = s.search_knn(gold, _query_vector(t), ["embedding_global_vector"], SIZE)
     records = s.enrich(hits, gold.select("hk", "company_id", "industry", "description_long"))
     return records.select(F.col("rank").cast("bigint").alias("rank"), "hk", "company_id", "industry", "description_long", "score")
@@ -231,7 +231,7 @@ def search_enriched(t: Tables) -> DataFrame:
 def search_batch_bm25(t: Tables) -> DataFrame:
     """Every benchmark text asked at once, over all text fields."""
     queries = t["benchmark"].select(F.col("item_id").alias("query_id"), "text")
-    return _out(s.search_text(t.gold(), queries, INTENT_BOOSTS, SIZE))
+    return _out(s.search_text(t.serving(), queries, INTENT_BOOSTS, SIZE))
 
 
 @query(
@@ -248,10 +248,10 @@ FROM gold, embeddings WHERE embedding_global_vector IS NOT NULL"""
 def search_batch_knn(t: Tables) -> DataFrame:
     """The nearest companies of every vector of the embeddings table."""
     queries = t["embeddings"].select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
-    return _out(s.search_knn_batch(t.gold(), queries, "embedding_global_vector", SIZE))
+    return _out(s.search_knn_batch(t.serving(), queries, "embedding_global_vector", SIZE))
 
 
 @query("search_knn_lsh")
 def search_knn_lsh(t: Tables) -> DataFrame:
     queries = t["embeddings"].select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
-    return _out(s.search_knn_approximate(t.gold(), queries, "embedding_global_vector", SIZE))
+    return _out(s.search_knn_approximate(t.serving(), queries, "embedding_global_vector", SIZE))

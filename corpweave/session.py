@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +51,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise a frame on the shared checkpoint folder, so a lost executor costs no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that is read several times as a table in the shared folder, and read it back.
+
+    Unlike a checkpoint the table keeps column pruning and filter push-down.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "snappy").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
