@@ -24,6 +24,10 @@ def _keys(key: str | list[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _moment(value: Column | str) -> Column:
+    return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp")
+
+
 def newest(log: DataFrame, key: str | list[str]) -> DataFrame:
     """The latest row per key, deletions included. Cut per key on the map side before the shuffle."""
     window = Window.partitionBy(*_keys(key)).orderBy(F.desc(VERSION))
@@ -42,8 +46,7 @@ def as_of(
     if version is not None:
         rows = rows.filter(F.col(VERSION) <= version)
     if timestamp is not None:
-        moment = timestamp if isinstance(timestamp, Column) else F.lit(timestamp).cast("timestamp")
-        rows = rows.filter(F.col("load_ldts") <= moment)
+        rows = rows.filter(F.col("load_ldts") <= _moment(timestamp))
     if columns is not None:
         rows = rows.select(*dict.fromkeys([*_keys(key), *columns, *META]))
     state = newest(rows, key).filter(F.col(CHANGE) != "delete")
@@ -60,7 +63,7 @@ def upsert(
     batch: DataFrame,
     key: str | list[str],
     version: int,
-    load_ldts: Column,
+    load_ldts: Column | str,
     newest_first: list[str] | tuple[str, ...] = (),
     ties: list[str] | tuple[str, ...] = (),
     guard: str = "hdiff",
@@ -85,7 +88,7 @@ def upsert(
         rows = joined.filter(new | ~F.col(guard).eqNullSafe(F.col("_old")))
     return rows.select(
         *source.columns,
-        load_ldts.cast("timestamp").alias("load_ldts"),
+        _moment(load_ldts).alias("load_ldts"),
         F.lit(version).alias(VERSION),
         known.cast("int").alias(PREVIOUS),
         F.when(new, F.lit("insert")).otherwise(F.lit("update")).alias(CHANGE),
@@ -142,7 +145,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str | list[str], guard: s
 
 
 def rollback_changes(
-    log: DataFrame, key: str | list[str], to_version: int, version: int, load_ldts: Column, guard: str = "hdiff"
+    log: DataFrame, key: str | list[str], to_version: int, version: int, load_ldts: Column | str, guard: str = "hdiff"
 ) -> DataFrame:
     """The rows to append so that the table is again as it was at ``to_version``.
 
@@ -167,7 +170,7 @@ def rollback_changes(
         .select(row.alias("_row"), kind.alias(CHANGE), F.col("_known").cast("int").alias(PREVIOUS))
         .select(
             "_row.*",
-            load_ldts.cast("timestamp").alias("load_ldts"),
+            _moment(load_ldts).alias("load_ldts"),
             F.lit(version).alias(VERSION),
             PREVIOUS,
             CHANGE,
@@ -175,13 +178,13 @@ def rollback_changes(
     )
 
 
-def prune_history(log: DataFrame, key: str | list[str], keep_from: Column, dry_run: bool = False) -> DataFrame:
+def prune_history(log: DataFrame, key: str | list[str], keep_from: Column | str, dry_run: bool = False) -> DataFrame:
     """The log without what retention no longer needs, or with ``dry_run`` the rows that would go.
 
     Kept are all rows loaded at or after ``keep_from`` and, per key, the newest older row, so every state from
     that moment on can still be read.
     """
-    old = F.col("load_ldts") < keep_from
+    old = F.col("load_ldts") < _moment(keep_from)
     window = Window.partitionBy(*_keys(key), "_old").orderBy(F.desc(VERSION))
     marked = log.withColumn("_old", old)
     if dry_run:

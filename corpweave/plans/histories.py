@@ -53,7 +53,7 @@ def _log(t: Tables) -> DataFrame:
         path = scratch_path(t.spark, "registry-log")
         for number, batch in enumerate(_generations(t), start=1):
             log = history.read_log(t.spark, path)
-            changes = history.upsert(log, batch, KEY, number, F.lit(LOADS[number - 1]))
+            changes = history.upsert(log, batch, KEY, number, LOADS[number - 1])
             history.append_version(changes, path, number)
         t.plans["log"] = history.read_log(t.spark, path)
     return t.plans["log"]
@@ -99,8 +99,8 @@ _OUT = ["id__company", "cnt__employees", "desc__industry", "hdiff", "_version",
 def upsert_merge(t: Tables) -> DataFrame:
     """What the second load adds to the table."""
     first, second, _ = _generations(t)
-    log = history.upsert(None, first, KEY, 1, F.lit(LOADS[0]))
-    return history.upsert(log, second, KEY, 2, F.lit(LOADS[1])).select(*_OUT, "_prev_version")
+    log = history.upsert(None, first, KEY, 1, LOADS[0])
+    return history.upsert(log, second, KEY, 2, LOADS[1]).select(*_OUT, "_prev_version")
 
 
 @query("as_of_version", _sql(f"SELECT {', '.join(_OUT)} FROM log WHERE _version <= 2 {_NEWEST}"))
@@ -148,7 +148,7 @@ FROM (SELECT * FROM log {_NEWEST}) n LEFT JOIN g1 t USING (id__company) WHERE t.
     ),
 )
 def rollback_changes(t: Tables) -> DataFrame:
-    undo = history.rollback_changes(_log(t), KEY, 1, 4, F.lit("2024-01-04 00:00:00"))
+    undo = history.rollback_changes(_log(t), KEY, 1, 4, "2024-01-04 00:00:00")
     return undo.select(KEY, "cnt__employees", "hdiff", "_change_type", "_prev_version")
 
 
@@ -160,7 +160,7 @@ UNION ALL SELECT id__company, hdiff, _version FROM (SELECT * FROM log WHERE _ver
     ),
 )
 def history_prune(t: Tables) -> DataFrame:
-    kept = history.prune_history(_log(t), KEY, F.lit(LOADS[2]).cast("timestamp"))
+    kept = history.prune_history(_log(t), KEY, LOADS[2])
     return kept.select(KEY, "hdiff", "_version")
 
 
@@ -171,7 +171,7 @@ def history_prune(t: Tables) -> DataFrame:
     ),
 )
 def history_prune_dry_run(t: Tables) -> DataFrame:
-    gone = history.prune_history(_log(t), KEY, F.lit(LOADS[2]).cast("timestamp"), dry_run=True)
+    gone = history.prune_history(_log(t), KEY, LOADS[2], dry_run=True)
     return gone.select(KEY, "_version")
 
 
@@ -204,8 +204,8 @@ def upsert_gold_distinct(t: Tables) -> DataFrame:
     columns = ["hk", "company_id", "hdiff"]
     first = rows.filter(F.col("normalized_request_url").isNotNull()).select(*columns)
     second = rows.select("hk", "company_id", F.when(F.col("country").isNotNull(), F.col("hdiff")).alias("hdiff"))
-    log = history.upsert(None, first, "hk", 1, F.lit(LOADS[0]))
-    return history.upsert(log, second, "hk", 2, F.lit(LOADS[1])).select(*columns, "_change_type")
+    log = history.upsert(None, first, "hk", 1, LOADS[0])
+    return history.upsert(log, second, "hk", 2, LOADS[1]).select(*columns, "_change_type")
 
 
 # Ingestion runs: an order is a run, its lines are the chunks.
