@@ -131,7 +131,7 @@ def load_source(
     sinks.write_quarantine(rejected.withColumn("raw", F.to_json("raw")), space.quarantine)
     good = good_rows(table)
     order = {"newest_first": [c for c in ("dt__embedding_ldts",) if c in good.columns]}
-    version = _append(space, spec.name, with_hdiff(good, [spec.key]), spec.key, spec.partition, started, **order)
+    version = _append(space, spec.name, with_hdiff(good, [spec.key]), spec.key, spec.stored_by, started, **order)
     space.record("load", spec.name, started, version, counts.get)
     return version
 

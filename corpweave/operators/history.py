@@ -199,11 +199,16 @@ def prune_history(log: DataFrame, key: str | list[str], keep_from: Column | str,
 
 
 def append_version(changes: DataFrame, path: str, version: int, partition: str | None = None) -> None:
-    """Write one version of a log. Writing the same version again replaces it, so a retry is harmless."""
-    writer = changes.drop(VERSION).write.mode("overwrite").option("compression", "snappy")
+    """Write one version of a log. Writing the same version again replaces it, so a retry is harmless.
+
+    Rows of one partition value are brought together first (a value with very many rows stays split), so that
+    a write does not leave one small file per task and value.
+    """
+    rows = changes.drop(VERSION)
     if partition:
-        writer = writer.partitionBy(partition)
-    writer.parquet(f"{path}/{VERSION}={version}")
+        rows = rows.hint("rebalance", partition)
+    writer = rows.write.mode("overwrite").option("compression", "snappy")
+    (writer.partitionBy(partition) if partition else writer).parquet(f"{path}/{VERSION}={version}")
 
 
 def read_log(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:

@@ -60,6 +60,12 @@ def salted_left_join(
     return result.drop("_on")
 
 
+def keep_matching(left: DataFrame, right: DataFrame, key: str, spread: str, **options) -> DataFrame:
+    """Inner join with a frame that is unique on the key, balanced like :func:`salted_left_join`."""
+    joined = salted_left_join(left, [right.withColumn("_hit", F.lit(True))], key, spread, **options)
+    return joined.filter("_hit").drop("_hit")
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """Whether a frame has at most ``max_rows`` rows; stops reading once it has seen more."""
     return df.limit(max_rows + 1).count() <= max_rows

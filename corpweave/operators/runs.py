@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpweave.functions.paths import parent_metadata_path
-from corpweave.operators.joins import salted_left_join
+from corpweave.operators.joins import keep_matching, salted_left_join
 from corpweave.operators.validate import merge_metrics
 
 
@@ -52,9 +52,9 @@ def pending_chunks(runs: DataFrame, raw_chunks: DataFrame, listing: DataFrame) -
     """Chunks still to be validated: named by an unfinished run and still in the store."""
     open_runs = runs.filter(F.col("end_timestamp").isNull()).select("run_id", "parent_metadata_path", "data_source")
     existing = listing.select(F.col("path").alias("chunk_path"))
-    return raw_chunks.join(existing, "chunk_path", "left_semi").join(open_runs, "run_id").select(
-        "data_source", "parent_metadata_path", "chunk_path"
-    )
+    waiting = raw_chunks.join(existing, "chunk_path", "left_semi")
+    found = keep_matching(waiting, open_runs, "run_id", "chunk_path", count_on=raw_chunks)
+    return found.select("data_source", "parent_metadata_path", "chunk_path")
 
 
 def pending_loads(runs: DataFrame, chunk_manifests: DataFrame, listing: DataFrame) -> DataFrame:
@@ -76,9 +76,8 @@ def pending_loads(runs: DataFrame, chunk_manifests: DataFrame, listing: DataFram
         .filter(F.col("_place") == 1)
         .select("output_table", "parent_metadata_path")
     )
-    return alive.join(chosen, "parent_metadata_path").select(
-        "output_table", "parent_metadata_path", "chunk_metadata_path"
-    )
+    found = keep_matching(alive, chosen, "parent_metadata_path", "chunk_metadata_path", count_on=chunk_manifests)
+    return found.select("output_table", "parent_metadata_path", "chunk_metadata_path")
 
 
 def run_rollup(chunks: DataFrame, pending: Column) -> DataFrame:
@@ -106,15 +105,15 @@ def reconcile_errors(parents: DataFrame, recorded: DataFrame, listing: DataFrame
     the error files they name, ``listing`` (path) what the store holds. A found file no manifest names belongs
     to the run its folder points at, or is an orphan when that run has no manifest.
     """
-    named = recorded.join(parents.select("parent_metadata_path"), "parent_metadata_path", "left_semi").distinct()
+    known = parents.select("parent_metadata_path").distinct()
+    named = keep_matching(recorded.distinct(), known, "parent_metadata_path", "path", count_on=recorded)
     found = listing.select("path").distinct().withColumn("_listed", F.lit(True))
     pairs = named.withColumn("_named", F.lit(True)).join(found, "path", "full_outer")
     inferred = pairs.withColumn(
         "parent_metadata_path", F.coalesce("parent_metadata_path", parent_metadata_path(F.col("path")))
     )
-    known = parents.select("parent_metadata_path").distinct().withColumn("_known", F.lit(True))
     by_folder = listing.select(parent_metadata_path(F.col("path")).alias("parent_metadata_path"))
-    placed = salted_left_join(inferred, [known], "parent_metadata_path", "path", count_on=by_folder)
+    placed = salted_left_join(inferred, [known.withColumn("_known", F.lit(True))], "parent_metadata_path", "path", count_on=by_folder)
     listed = F.coalesce(F.col("_listed"), F.lit(False))
     return placed.select(
         "parent_metadata_path",

@@ -15,7 +15,8 @@ LEDGER_SCHEMA = (
 
 
 def write_table(df: DataFrame, path: str, partition: str | None = None, mode: str = "overwrite") -> None:
-    writer = df.write.mode(mode).option("compression", "snappy")
+    rows = df.hint("rebalance", partition) if partition else df
+    writer = rows.write.mode(mode).option("compression", "snappy")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 

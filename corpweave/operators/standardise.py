@@ -157,6 +157,7 @@ register(
         "loc__iso2_country_code",
         r"registry|dataset_1",
         standardise_registry,
+        stored_by="loc__iso2_country_code",
     )
 )
 register(

@@ -37,14 +37,18 @@ def build_session(app_name: str = "corpweave", master: str | None = None, **over
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder named by the cluster; a temporary one only where none is set (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; a temporary one in local mode only."""
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
     if current:
         return current
-    folder = configured or tempfile.mkdtemp(prefix="corpweave-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="corpweave-checkpoint-")
+    context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -187,6 +187,8 @@ class SourceSpec:
     partition: str
     path_pattern: str
     standardise: Callable | None = None
+    # the partition column files are laid out by; a URL prefix has far too many values for that
+    stored_by: str | None = None
 
 
 SOURCES: dict[str, SourceSpec] = {}

@@ -63,7 +63,7 @@ def load_batch(
         changes = upsert(
             read_log(spark, table), with_hdiff(good, exclude), spec.key, batch_id + 1, stamp, list(newest_first)
         )
-        append_version(changes, table, batch_id + 1, spec.partition)
+        append_version(changes, table, batch_id + 1, spec.stored_by)
     finally:
         checked.unpersist()
 
