@@ -184,15 +184,11 @@ def prune_history(log: DataFrame, key: str | list[str], keep_from: Column | str,
     Kept are all rows loaded at or after ``keep_from`` and, per key, the newest older row, so every state from
     that moment on can still be read.
     """
-    old = F.col("load_ldts") < _moment(keep_from)
-    window = Window.partitionBy(*_keys(key), "_old").orderBy(F.desc(VERSION))
-    marked = log.withColumn("_old", old)
+    old = log.filter(F.col("load_ldts") < _moment(keep_from))
+    last_old = newest(old, key)
     if dry_run:
-        surplus = marked.filter("_old").withColumn("_place", F.row_number().over(window)).filter("_place > 1")
-        return surplus.drop("_old", "_place")
-    last_old = marked.filter("_old").withColumn("_place", F.row_number().over(window)).filter(F.col("_place") == 1)
-    recent = log.filter(~old)
-    return recent.unionByName(last_old.drop("_old", "_place"))
+        return old.join(last_old.select(*_keys(key), VERSION), [*_keys(key), VERSION], "left_anti")
+    return log.filter(F.col("load_ldts") >= _moment(keep_from)).unionByName(last_old)
 
 
 # files

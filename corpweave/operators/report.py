@@ -126,8 +126,9 @@ def coverage(gold: DataFrame) -> DataFrame:
 
 def partition_share(gold: DataFrame, column: str = "iso2_country_code") -> DataFrame:
     """Records per partition value with their share of all records."""
-    total = gold.agg(F.count(F.lit(1))).scalar()
-    return partition_distribution(gold, column).select(
+    counts = partition_distribution(gold, column)
+    total = counts.agg(F.sum("record_count")).scalar()
+    return counts.select(
         "partition_value", "record_count", percent(F.col("record_count"), total, 2).alias("share_pct")
     )
 

@@ -5,7 +5,6 @@ A run may own any number of chunks, so chunks are kept as rows and never gathere
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,21 +29,17 @@ def staleness_gate(commits: DataFrame, required: dict[str, list[str]]) -> DataFr
     older than its newest input.
     """
     last = commits.groupBy("table").agg(F.max("committed_at").alias("last_commit"))
-    checks = []
-    for output, inputs in required.items():
-        is_input = F.col("table").isin(inputs)
-        checks.append(
-            last.agg(
-                F.count_if(is_input).alias("inputs_found"),
-                F.max(F.when(is_input, F.col("last_commit"))).alias("newest_input"),
-                F.max(F.when(F.col("table") == output, F.col("last_commit"))).alias("output_commit"),
-            ).select(
-                F.lit(output).alias("output"),
-                (F.col("inputs_found") == len(inputs)).alias("inputs_present"),
-                (F.col("output_commit").isNull() | (F.col("newest_input") > F.col("output_commit"))).alias("stale"),
-            )
-        )
-    gates = reduce(DataFrame.unionByName, checks)
+    roles = [(out, t, True, len(ins)) for out, ins in required.items() for t in ins]
+    roles += [(out, out, False, len(ins)) for out, ins in required.items()]
+    wanted = commits.sparkSession.createDataFrame(roles, "output string, table string, is_input boolean, inputs int")
+    # a row per pair of tables, so this side is as small as the graph of tables
+    pairs = wanted.join(last, "table", "left")
+    is_input, commit = F.col("is_input"), F.col("last_commit")
+    newest, built = F.max(F.when(is_input, commit)), F.max(F.when(~is_input, commit))
+    gates = pairs.groupBy("output").agg(
+        (F.count_if(is_input & commit.isNotNull()) == F.max("inputs")).alias("inputs_present"),
+        (built.isNull() | (newest > built)).alias("stale"),
+    )
     return gates.select("*", (F.col("inputs_present") & F.coalesce(F.col("stale"), F.lit(False))).alias("run"))
 
 
