@@ -12,7 +12,8 @@ ERRORS_FOLDER = "errors"
 
 def run_folder(error_path: Column) -> Column:
     """``…/run/errors/chunk.parquet`` → ``…/run``."""
-    return F.regexp_replace(error_path, r"/[^/]+/[^/]+$", "")
+    tail = F.substring_index(error_path, "/", -2)
+    return F.left(error_path, F.length(error_path) - F.length(tail) - 1)
 
 
 def parent_metadata_path(error_path: Column) -> Column:

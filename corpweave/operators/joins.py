@@ -28,17 +28,17 @@ def salted_left_join(
     spread: str,
     min_rows: int = HOT_MIN_ROWS,
     salts: int = SALTS,
-    count_on: DataFrame | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Left joins of one big frame with frames that are unique on a text key, safe for hot and null keys.
 
     ``spread`` is a well-spread column of the left frame (its own key). Rows of a hot key are dealt over
     ``salts`` groups and only the matching right rows are repeated; rows without a key get a key of their own
     that matches nothing, so they spread over all tasks. Every other row joins as usual. All joins share one
-    partitioning of the left frame. The list of hot keys decides balance only, never the result; it may be
-    counted on a cheaper frame with the same keys (``count_on``).
+    partitioning of the left frame. The list of hot keys decides balance only, never the result; pass it
+    (``hot``) where :func:`hot_keys` can count them on a cheaper frame or once for several joins.
     """
-    hot = hot_keys(left if count_on is None else count_on, key, min_rows)
+    hot = hot_keys(left, key, min_rows) if hot is None else hot
     value, mark = F.col(key), F.lit("\0")
 
     def salted(salt: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpweave.functions.paths import parent_metadata_path
-from corpweave.operators.joins import keep_matching, salted_left_join
+from corpweave.operators.joins import hot_keys, keep_matching, salted_left_join
 from corpweave.operators.validate import merge_metrics
 
 
@@ -48,7 +48,7 @@ def pending_chunks(runs: DataFrame, raw_chunks: DataFrame, listing: DataFrame) -
     open_runs = runs.filter(F.col("end_timestamp").isNull()).select("run_id", "parent_metadata_path", "data_source")
     existing = listing.select(F.col("path").alias("chunk_path"))
     waiting = raw_chunks.join(existing, "chunk_path", "left_semi")
-    found = keep_matching(waiting, open_runs, "run_id", "chunk_path", count_on=raw_chunks)
+    found = keep_matching(waiting, open_runs, "run_id", "chunk_path", hot=hot_keys(raw_chunks, "run_id"))
     return found.select("data_source", "parent_metadata_path", "chunk_path")
 
 
@@ -71,7 +71,8 @@ def pending_loads(runs: DataFrame, chunk_manifests: DataFrame, listing: DataFram
         .filter(F.col("_place") == 1)
         .select("output_table", "parent_metadata_path")
     )
-    found = keep_matching(alive, chosen, "parent_metadata_path", "chunk_metadata_path", count_on=chunk_manifests)
+    hot = hot_keys(chunk_manifests, "parent_metadata_path")
+    found = keep_matching(alive, chosen, "parent_metadata_path", "chunk_metadata_path", hot=hot)
     return found.select("output_table", "parent_metadata_path", "chunk_metadata_path")
 
 
@@ -101,14 +102,15 @@ def reconcile_errors(parents: DataFrame, recorded: DataFrame, listing: DataFrame
     to the run its folder points at, or is an orphan when that run has no manifest.
     """
     known = parents.select("parent_metadata_path").distinct()
-    named = keep_matching(recorded.distinct(), known, "parent_metadata_path", "path", count_on=recorded)
+    by_folder = listing.select(parent_metadata_path(F.col("path")).alias("parent_metadata_path"))
+    hot = hot_keys(by_folder.unionAll(recorded.select("parent_metadata_path")), "parent_metadata_path")
+    named = keep_matching(recorded.distinct(), known, "parent_metadata_path", "path", hot=hot)
     found = listing.select("path").distinct().withColumn("_listed", F.lit(True))
     pairs = named.withColumn("_named", F.lit(True)).join(found, "path", "full_outer")
     inferred = pairs.withColumn(
         "parent_metadata_path", F.coalesce("parent_metadata_path", parent_metadata_path(F.col("path")))
     )
-    by_folder = listing.select(parent_metadata_path(F.col("path")).alias("parent_metadata_path"))
-    placed = salted_left_join(inferred, [known.withColumn("_known", F.lit(True))], "parent_metadata_path", "path", count_on=by_folder)
+    placed = salted_left_join(inferred, [known.withColumn("_known", F.lit(True))], "parent_metadata_path", "path", hot=hot)
     listed = F.coalesce(F.col("_listed"), F.lit(False))
     return placed.select(
         "parent_metadata_path",

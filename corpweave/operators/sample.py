@@ -51,9 +51,9 @@ def uniform_sample(df: DataFrame, key: str, k: int = SAMPLE_SIZE, seed: str = ""
 
 
 def fetch_sample(df: DataFrame, winners: DataFrame, key: str, *columns: str) -> DataFrame:
-    """Full rows of the winners. The winners are at most the sample size, so they are broadcast."""
+    """Full rows of the winners. Spark knows the winners' number from the limit and broadcasts a small sample."""
     rows = df.select(*dict.fromkeys([key, *columns])) if columns else df
-    return rows.join(F.broadcast(winners.select(key)), key, "left_semi")
+    return rows.join(winners.select(key), key, "left_semi")
 
 
 def distribution(df: DataFrame, group: str) -> DataFrame:

@@ -19,8 +19,8 @@ from corpweave.operators.validate import bad_rows, validation_metrics
 from corpweave.plans import oracle as o
 from corpweave.plans.domain import DIM, Tables, flat_list, vector_sum
 from corpweave.sources.countries import lookup_country
-from corpweave.sources.files import describe
-from corpweave.specs import EMBEDDING_FIELDS, ENRICHMENT_RAW, VECTOR_COLUMNS
+from corpweave.sources.files import describe_filled
+from corpweave.specs import EMBEDDING_FIELDS, ENRICHMENT_RAW, INTEGRATED_SILVER, VECTOR_COLUMNS
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -71,9 +71,15 @@ def count_tables(t: Tables) -> DataFrame:
     return table_counts({**{name: t[name] for name in TABLES}, "gold": t.gold()})
 
 
-@query()
+_DESCRIBED = " UNION ALL ".join(
+    f"SELECT '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS type, count({f.name}) AS filled, count(*) AS total FROM integrated"
+    for f in INTEGRATED_SILVER.fields
+)
+
+
+@query(o.query(_DESCRIBED, "integrated"))
 def describe_schema(t: Tables) -> DataFrame:
-    return describe(t.integrated())
+    return describe_filled(t.integrated())
 
 
 @query(

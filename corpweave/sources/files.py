@@ -75,6 +75,16 @@ def describe(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, type string, nullable boolean")
 
 
+def describe_filled(df: DataFrame) -> DataFrame:
+    """Columns of a frame with type, and how many of its rows have a value."""
+    counts = df.agg(F.count(F.lit(1)).alias("total"), *[F.count(F.col(c)).alias(c) for c in df.columns])
+    entries = [
+        F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f.name).alias("filled"))
+        for f in df.schema.fields
+    ]
+    return counts.select("total", F.explode(F.array(*entries)).alias("e")).select("e.*", "total")
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """Rows of a frame. For Parquet files only the footers are read."""
     return df.agg(F.count(F.lit(1)).alias("n"))
