@@ -11,22 +11,21 @@ from corpweave.session import build_session  # noqa: E402
 DIM = 8
 
 COMPANIES = [
-    ("cmp_test_001", "Finland", "Fintech", "100M-500M", 240, 2018, "Nordic fintech for banking", "www.nordic-fintech.ai"),
-    ("cmp_test_002", "Germany", "Healthcare", "10M-50M", 85, 2020, "AI diagnostics platform", "https://health-ai.de"),
-    ("cmp_test_003", "France", "Biotech", "500M-1B", 500, 2015, None, "https://www.bio-france.com"),
+    ("cmp_test_001", "Finland", "Fintech", "100M-500M", 240, 2018, "Payment software from the north", "www.aurora-pay.ai"),
+    ("cmp_test_002", "Germany", "Healthcare", "10M-50M", 85, 2020, "Ward monitoring tools", "https://clinic-watch.de"),
+    ("cmp_test_003", "France", "Biotech", "500M-1B", 500, 2015, None, "https://www.molecule-lab.com"),
 ]
 COMPANY_FIELDS = (
     "company_id country industry revenue_range employee_count founded_year short_description website_url".split()
 )
 ENRICHMENTS = [
-    ("https://nordic-fintech.ai", "Software for fraud detection and digital banking.",
-     "AI underwriting\nFraud detection platform\nBanking analytics dashboards", "Digital Banking\nPayments\nFinland",
-     "B2B | subscription fees | SaaS"),
-    ("https://health-ai.de", "Diagnostics and patient monitoring for hospitals.",
-     "Diagnostic imaging\nPatient monitoring\nClinical analytics", "Healthcare\nDiagnostics\nGermany",
-     "B2B | licensing | SaaS"),
-    ("https://www.bio-france.com", "Drug discovery and molecular research platform.",
-     "Drug discovery\nMolecular simulation", "Biotech\nPharmaceuticals\nFrance", "B2B | R&D contracts | licensing"),
+    ("https://aurora-pay.ai", "Tools that spot fraud in online banking.",
+     "Fraud alerts\nCard checks\nBanking analytics reports", "Online Banking\nCards\nNordics",
+     "B2B | subscription | SaaS"),
+    ("https://clinic-watch.de", "Watches over patients in hospitals.",
+     "Scan reading\nBedside monitoring\nWard analytics", "Hospitals\nScreening\nBavaria", "B2B | licensing | SaaS"),
+    ("https://www.molecule-lab.com", "Finds new molecules for medicine.",
+     "Drug discovery\nMolecule models", "Medicine\nResearch\nLyon", "B2B | contracts | licensing"),
 ]
 ENRICHMENT_FIELDS = "url business_description product_services market_niches business_model".split()
 

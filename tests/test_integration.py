@@ -18,8 +18,8 @@ def test_three_sources_become_three_companies(silver, gold):
     integrated = integrate(silver["registry"], silver["enrichment"], silver["embeddings"])
     assert integrated.columns == INTEGRATED_SILVER.fieldNames() and integrated.count() == 3
     row = integrated.filter("id__company = 'cmp_test_001'").first()
-    assert row.desc__market_niches == ["Digital Banking", "Payments", "Finland"]
-    assert row.d2__url__normalized_request_url == row.d3__url__normalized_request_url == "nordic-fintech.ai"
+    assert row.desc__market_niches == ["Online Banking", "Cards", "Nordics"]
+    assert row.d2__url__normalized_request_url == row.d3__url__normalized_request_url == "aurora-pay.ai"
     assert {c for c in gold.columns} == {"hk", "hdiff", *GOLD_COLUMNS}
     assert gold.select("hk").distinct().count() == 3
 

@@ -40,7 +40,7 @@ def test_the_whole_flow_and_its_rerun(spark, raw_dir, embeddings_raw, tmp_path):
 
     # one changed company travels through all tables, and only it
     changed = tmp_path / "dataset_1_new.jsonl"
-    changed.write_text('{"company_id": "cmp_test_002", "country": "Austria", "employee_count": "99", "website_url": "health-ai.de"}\n')
+    changed.write_text('{"company_id": "cmp_test_002", "country": "Austria", "employee_count": "99", "website_url": "clinic-watch.de"}\n')
     assert jobs.load_source(space, str(changed), SOURCES["registry"]) == 2
     assert [jobs.integrate_sources(space), jobs.serve_gold(space), jobs.index_search(space)] == [2, 2, 2]
     assert spark.read.text(space.documents + "/version=2").count() == 1
