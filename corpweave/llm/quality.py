@@ -173,7 +173,8 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, rules: tuple[Rule,
     error = ERROR / max(1, len(by))
     for (stratum, number), places_of in by.items():
         rule, n = rules[number], size[(stratum, number)]
-        beyond = [sum(c for p, c in places_of.items() if p > i) for i in range(len(rule.cutoffs))]
+        steps = len(rule.cutoffs)
+        beyond = [sum(c for p, c in places_of.items() if p >= steps - i) for i in range(steps)]
         passed = certify(beyond, n, most, error)
         if passed:
             k = beyond[passed - 1]
