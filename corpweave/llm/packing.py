@@ -7,10 +7,11 @@ than the capacity, so it is solved on the driver whatever the number of pieces:
 * Linear program: how often to use each configuration (a multiset of lengths that fits a sequence) so that every
   length is covered and sequences are fewest. Multiplicative weights: each length has a price; a knapsack dynamic
   program over the capacity finds, for every length, the dearest configuration that holds it; those within
-  ``SLACK`` of the dearest of all gain weight, and the prices of lengths covered beyond their share fall by a factor.
+  ``SLACK`` of the dearest of all gain weight, and the prices of lengths covered beyond their share fall by a factor
+  while others rise. Weights count once prices have found their level.
 * Rounding: configurations are taken a whole number of times, those with most weight first, as long as their lengths
-  last. What remains goes through the program again, and finally best fit, longest first, over groups of equal
-  sequences.
+  last. What remains goes through the program again, and finally by best fit, longest first, into the room the
+  sequences have left and into new ones, over groups of equal sequences.
 
 Pieces get their places in a distributed way: a piece's rank among those of its length is its rank in a salted share
 plus the sizes of the shares before, and ranks are dealt to the configurations in the plan's order. So no length, were
@@ -40,9 +41,9 @@ from tokenizers import Tokenizer
 from corpweave.llm.common import arrow_map, arrow_schema, stored, text_or_empty, to_batch
 
 CAPACITY = 2048
-#: Rounds of weights in each solution, solutions before best fit takes the rest, and how far from the best a
-#: configuration may be to gain weight.
-ROUNDS, SOLUTIONS, SLACK, RATE = 60, 8, 0.002, 2.0
+#: Rounds of weights in each solution, solutions before best fit takes the rest, how far from the dearest a
+#: configuration may be to gain weight, the step of the prices, and what a round remembers of the coverage before.
+ROUNDS, SOLUTIONS, SLACK, RATE, FORGET = 80, 4, 0.01, 0.005, 0.9
 #: Words whose ids a worker remembers; pieces in one share of a length.
 CACHE, SHARE = 700_000, 8_192
 #: The splits the vocabulary file makes, restated for words of lower-case ASCII; others are split by the library.
@@ -175,28 +176,31 @@ def configuration(seed: int, lengths: np.ndarray, last: np.ndarray, taken: np.nd
 
 
 def weigh(histogram: dict[int, int], capacity: int) -> dict[tuple[int, ...], float]:
-    """Weights of configurations that solve the linear program up to a common factor."""
+    """Weights of configurations that solve the linear program, scaled to as many tokens as there are."""
     lengths = np.array(sorted(histogram), np.int64)
     counts = np.array([histogram[n] for n in lengths.tolist()], float)
     at = {n: i for i, n in enumerate(lengths.tolist())}
     weight: dict[tuple[int, ...], float] = defaultdict(float)
     covered = np.zeros(len(lengths))
     prices = lengths / capacity
-    for step in range(1, ROUNDS + 1):
+    for step in range(ROUNDS):
+        if step == ROUNDS // 4:  # the prices have found their level
+            weight.clear()
         best, last, taken = knapsack(lengths, prices, capacity)
         worth = prices + best[capacity - lengths]
-        gain = np.zeros(len(lengths))
-        for seed in np.flatnonzero(worth >= worth.max() * (1 - SLACK * step)).tolist() or [int(worth.argmax())]:
+        covered *= FORGET
+        for seed in np.flatnonzero(worth >= worth.max() * (1 - SLACK)).tolist():
             items = configuration(seed, lengths, last, taken, capacity)
             uses = Counter(items)
             amount = min(counts[at[n]] / k for n, k in uses.items()) / ROUNDS
             weight[items] += amount
             for n, k in uses.items():
-                gain[at[n]] += k * amount
-        covered += gain
-        share = covered / counts
+                covered[at[n]] += k * amount
         # lengths ahead of the mean get cheaper, those behind dearer
-        prices = lengths / capacity * np.exp(-RATE * (share / max(share.mean(), 1e-12) - 1).clip(-1, 1) / ROUNDS**0.5)
+        share = covered / counts
+        mean = (covered * lengths).sum() / (counts * lengths).sum()
+        prices = prices * np.exp(-RATE * (share / mean - 1).clip(-1, 1))
+        prices /= (prices * counts).sum() / (lengths / capacity * counts).sum()
     total = sum(w * sum(items) for items, w in weight.items())
     scale = float((lengths * counts).sum()) / total
     return {items: w * scale for items, w in weight.items()}
@@ -222,12 +226,14 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
         left = {n: k for n, k in left.items() if k}
         if sum(left.values()) > 0.9 * before:
             break
-    return plan + best_fit(left, capacity)
+    return best_fit(left, capacity, plan)
 
 
-def best_fit(histogram: dict[int, int], capacity: int) -> Plan:
-    """Longest first into the fullest sequence with room, over groups of equal sequences."""
+def best_fit(histogram: dict[int, int], capacity: int, begun: Plan = ()) -> Plan:
+    """Longest first into the fullest sequence with room, begun ones too, over groups of equal sequences."""
     groups: dict[int, list[list]] = defaultdict(list)  # room -> [items, sequences]
+    for items, times in begun:
+        groups[capacity - sum(items)].append([items, times])
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
         for room in sorted(r for r in groups if r >= length):
