@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from corpweave.llm.common import arrow_map, arrow_schema, meet, stored, to_batch
 
 LEAST_CHARS, LEAST_DOCS = 40, 5
-SHARD, PROBES = 32_768, 65_536
+SHARD, PROBES = 8_192, 65_536
 #: Bits per hash in a level, and the levels before what is left is looked up in a sorted list.
 ROOM, LEVELS = 2, 24
 #: Stands for a null document id.
@@ -203,10 +203,10 @@ def kept_lines(text: str | None, drop: list | None) -> tuple[int, int, str]:
 
 
 def with_drops(docs: DataFrame) -> DataFrame:
-    """``docs`` and the column drop."""
-    to_drop = lines_to_drop(docs).withColumnRenamed("doc_id", "drop_id")
+    """``docs`` and the column ``__drop``."""
+    to_drop = lines_to_drop(docs).select(F.col("doc_id").alias("__drop_id"), F.col("drop").alias("__drop"))
     own = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID))
-    return docs.join(to_drop, own == F.col("drop_id"), "left").drop("drop_id")
+    return docs.join(to_drop, own == F.col("__drop_id"), "left").drop("__drop_id")
 
 
 def line_digests(docs: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def line_digests(docs: DataFrame) -> DataFrame:
             yield to_batch(rows, schema)
 
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return arrow_map(with_drops(own).select("doc_id", "text", "drop"), run, fields)
+    return arrow_map(with_drops(own).select("doc_id", "text", "__drop"), run, fields)
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
@@ -233,4 +233,4 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     def rewrite(texts, drops):  # noqa: ANN001, ANN202
         return texts.combine(drops, lambda t, d: t if t is None else kept_lines(t, None if d is None else list(d))[2])
 
-    return with_drops(docs).withColumn("text", rewrite("text", "drop")).select(docs.columns)
+    return with_drops(docs).withColumn("text", rewrite("text", "__drop")).select(docs.columns)
