@@ -45,7 +45,9 @@ CAPACITY = 2048
 #: configuration may be to gain weight, the step of the prices, and what a round remembers of the coverage before.
 ROUNDS, SOLUTIONS, SLACK, RATE, FORGET = 80, 4, 0.01, 0.005, 0.9
 #: Words whose ids a worker remembers; pieces in one share of a length.
-CACHE, SHARE = 700_000, 8_192
+CACHE, SHARE = 250_000, 8_192
+#: Texts encoded together.
+TEXTS = 256
 #: The splits the vocabulary file makes, restated for words of lower-case ASCII; others are split by the library.
 ASCII_PART = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
@@ -138,8 +140,9 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, key: s
         encoder = word_ids(vocabulary)
         for batch in batches:
             rows = []
-            keys, texts = (c.to_pylist() for c in batch.columns)
-            for i, ids in zip(keys, encoder.encode_all(texts), strict=True):
+            keys = batch.column(0).to_pylist()
+            parts = (batch.column(1).slice(at, TEXTS).to_pylist() for at in range(0, len(keys), TEXTS))
+            for i, ids in zip(keys, (ids for texts in parts for ids in encoder.encode_all(texts)), strict=True):
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part)))
