@@ -17,10 +17,11 @@ BLANK_OR_JUNK = r"^[\p{Nd}\p{Punct}" + WHITESPACE_CLASS + r"]*$"
 BLANK = r"^[" + WHITESPACE_CLASS + r"]*$"
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
-# Accented Latin letters whose canonical decomposition starts with an ASCII letter, derived from Unicode data.
+# Accented Latin letters whose canonical decomposition starts with an ASCII letter, derived from Unicode data:
+# Latin-1 to Latin Extended-B, and Latin Extended Additional (Vietnamese among them).
 _FOLDABLE = {
     chr(c): base
-    for c in range(0xC0, 0x250)
+    for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))
     for base in [unicodedata.normalize("NFD", chr(c))[0]]
     if base.isascii() and base != chr(c)
 }
@@ -75,7 +76,8 @@ def tokenise(c: Column) -> Column:
 def normalise_keyword(c: Column) -> Column:
     """Lower case with Latin accents folded to ASCII, for exact keyword matching."""
     letters = {ch.lower(): base.lower() for ch, base in _FOLDABLE.items() if len(ch.lower()) == 1}
-    folded = F.translate(F.lower(c), "".join(letters), "".join(letters.values()))
+    composed = F.regexp_replace(F.lower(c), r"(?<=[a-z])\p{Mn}+", "")
+    folded = F.translate(composed, "".join(letters), "".join(letters.values()))
     for ligature, plain in (("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("ø", "o"), ("ł", "l"), ("đ", "d")):
         folded = F.replace(folded, F.lit(ligature), F.lit(plain))
     return folded

@@ -18,9 +18,9 @@ from corpweave.functions.keys import with_hdiff
 from corpweave.operators import audit, gold, history, runs, sample, search, sinks
 from corpweave.operators.integrate import assert_contract, integrate
 from corpweave.operators.report import integration_report
-from corpweave.operators.validate import bad_rows, good_rows, observed, split
+from corpweave.operators.validate import bad_rows, good_rows, observed, reject_malformed, split
 from corpweave.session import stored
-from corpweave.sources.files import CORRUPT, read_raw
+from corpweave.sources.files import read_raw
 from corpweave.specs import SOURCES, SourceSpec
 
 INTEGRATED = "integrated"
@@ -61,8 +61,7 @@ class Workspace:
         return history.as_of(log, key).drop(*history.META)
 
     def version(self, name: str) -> int:
-        log = self.log(name)
-        return 0 if log is None else history.current_version(log).first()["version"] or 0
+        return history.last_version(self.spark, self.table(name))
 
     def record(self, context: str, source: str, started: datetime, version: int, counts: dict | None = None) -> None:
         sinks.append_run(
@@ -103,10 +102,18 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _append(space: Workspace, name: str, rows: DataFrame, key: str, partition: str | None, started: datetime, **order) -> int:
-    """Append the changes of one batch as the next version; returns that version, or 0 when nothing changed."""
-    version = space.version(name) + 1
-    changes = stored(history.upsert(space.log(name), rows, key, version, F.lit(started), **order), f"{name}-changes")
+def _append(
+    space: Workspace, name: str, rows: DataFrame, key: str, partition: str | None, started: datetime, whole: bool = False, **order
+) -> int:
+    """Append the changes of one batch as the next version; returns that version, or 0 when nothing changed.
+
+    With ``whole`` the batch is the full state of the table, and keys it does not hold get tombstones.
+    """
+    version, log = space.version(name) + 1, space.log(name)
+    changes = history.upsert(log, rows, key, version, F.lit(started), **order)
+    if whole and log is not None:
+        changes = changes.unionByName(history.removals(log, rows, key, version, F.lit(started)), allowMissingColumns=True)
+    changes = stored(changes, f"{name}-changes")
     if changes.isEmpty():
         return 0
     history.append_version(changes, space.table(name), version, partition)
@@ -123,7 +130,7 @@ def load_source(
     """Raw files to the keyed table of their source; rejected rows go to the quarantine with their reasons."""
     started = _now()
     raw = read_raw(space.spark, path, spec, kind)
-    checked = (standardise or spec.standardise)(raw.drop(CORRUPT))
+    checked = reject_malformed((standardise or spec.standardise)(raw))
     # both branches are written, so the checked rows are stored once
     watched, counts = observed(checked, f"{spec.name}-{started:%H%M%S%f}")
     table = stored(watched, f"{spec.name}-checked")
@@ -146,7 +153,7 @@ def integrate_sources(space: Workspace) -> int:
     for n, frame in frames.items():
         assert_contract(frame, SOURCES[n].silver_schema)
     rows = with_hdiff(integrate(frames["registry"], frames["enrichment"], frames["embeddings"]), ["id__company"])
-    version = _append(space, INTEGRATED, rows, "id__company", "loc__iso2_country_code", started)
+    version = _append(space, INTEGRATED, rows, "id__company", "loc__iso2_country_code", started, whole=True)
     space.record("integrate", INTEGRATED, started, version)
     return version
 
@@ -160,13 +167,16 @@ def serve_gold(space: Workspace) -> int:
     good, bad = split(gold.check_gold(integrated), INTEGRATED, f"gold-{started:%Y%m%dT%H%M%S%f}")
     sinks.write_quarantine(bad.withColumn("raw", F.to_json("raw")), space.quarantine)
     rows = gold.to_gold(good, sync_ldts=F.lit(started))
-    version = _append(space, GOLD, rows, "hk", None, started)
+    version = _append(space, GOLD, rows, "hk", None, started, whole=True)
     space.record("serve", GOLD, started, version)
     return version
 
 
 def index_search(space: Workspace) -> int:
-    """Search documents of the gold rows that changed since the last indexing; returns the version reached."""
+    """Search documents of the gold rows that changed since the last indexing; returns the version reached.
+
+    Records taken out since then are listed in ``deleted/version=n``, for the loader to remove.
+    """
     if not space.is_due(SEARCH, [GOLD]):
         return 0
     started = _now()
@@ -174,8 +184,10 @@ def index_search(space: Workspace) -> int:
     last = done.agg(F.max(F.col("output").cast("int"))).first()[0] or 0
     log = space.log(GOLD)
     version = space.version(GOLD)
-    changed = history.newest(log.filter(F.col(history.VERSION) > last), "hk").filter(F.col(history.CHANGE) != "delete")
-    sinks.write_search_docs(gold.to_search_docs(changed), f"{space.documents}/version={version}")
+    changed = history.newest(log.filter(F.col(history.VERSION) > last), "hk")
+    deleted = F.col(history.CHANGE) == "delete"
+    sinks.write_search_docs(gold.to_search_docs(changed.filter(~deleted)), f"{space.documents}/version={version}")
+    sinks.write_search_deletes(changed.filter(deleted), f"{space.documents}/deleted/version={version}")
     space.record("index", SEARCH, started, version)
     return version
 

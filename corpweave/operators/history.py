@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpweave.operators.integrate import dedupe_latest
+from corpweave.operators.joins import is_small
 
 VERSION = "_version"
 PREVIOUS = "_prev_version"
 CHANGE = "_change_type"
 META = [VERSION, PREVIOUS, CHANGE]
+# Batches with up to this many keys (text of some dozen characters) send them to every task that reads the log.
+MAX_BROADCAST_KEYS = 50_000
 
 
 def _keys(key: str | list[str]) -> list[str]:
@@ -79,7 +82,9 @@ def upsert(
     if log is None:
         new, known, rows = F.lit(True), F.lit(None), source
     else:
-        state = newest(log.filter(F.col(VERSION) < version).select(*keys, guard, VERSION, CHANGE), keys).select(
+        # only what the log knows about the batch's keys is ranked and shuffled
+        known_rows = log.filter(F.col(VERSION) < version).select(*keys, guard, VERSION, CHANGE)
+        state = newest(known_rows.join(_reduced(source.select(*keys)), keys, "left_semi"), keys).select(
             *keys, F.col(guard).alias("_old"), F.col(VERSION).alias("_old_version"), F.col(CHANGE).alias("_old_change")
         )
         joined = source.join(state, keys, "left")
@@ -95,6 +100,20 @@ def upsert(
     )
 
 
+def removals(log: DataFrame, rows: DataFrame, key: str | list[str], version: int, load_ldts: Column | str) -> DataFrame:
+    """Tombstones, with their last values, of the current keys that a full new state does not hold."""
+    keys = _keys(key)
+    state = newest(log.filter(F.col(VERSION) < version), keys).filter(F.col(CHANGE) != "delete")
+    gone = state.join(rows.select(*keys), keys, "left_anti")
+    return gone.select(
+        *[c for c in log.columns if c not in [*META, "load_ldts"]],
+        _moment(load_ldts).alias("load_ldts"),
+        F.lit(version).alias(VERSION),
+        F.col(VERSION).cast("int").alias(PREVIOUS),
+        F.lit("delete").alias(CHANGE),
+    )
+
+
 def merged(log: DataFrame, changes: DataFrame, key: str | list[str]) -> DataFrame:
     """The table after a set of changes."""
     return as_of(log.unionByName(changes), key)
@@ -191,6 +210,11 @@ def prune_history(log: DataFrame, key: str | list[str], keep_from: Column | str,
     return log.filter(F.col("load_ldts") >= _moment(keep_from)).unionByName(last_old)
 
 
+def _reduced(keys: DataFrame) -> DataFrame:
+    """The keys of a batch as the side of a semi-join: broadcast while counted to be few."""
+    return F.broadcast(keys) if is_small(keys, MAX_BROADCAST_KEYS) else keys
+
+
 # files
 
 
@@ -209,9 +233,35 @@ def append_version(changes: DataFrame, path: str, version: int, partition: str |
 
 def read_log(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """A written log, or nothing when the table does not exist yet."""
+    for version in sorted(_version_folders(spark, path), reverse=True):
+        if _has_data(spark, f"{path}/{VERSION}={version}"):
+            break
+    else:
+        return None
+    # the newest version's columns are the table's; older rows have null in those they lack
+    newest_columns = spark.read.option("basePath", path).parquet(f"{path}/{VERSION}={version}").schema
+    return spark.read.schema(schema or newest_columns).parquet(path)
+
+
+def last_version(spark: SparkSession, path: str) -> int:
+    """The highest version written, empty ones too, read from folder names; 0 before the first."""
+    return max(_version_folders(spark, path), default=0)
+
+
+def _version_folders(spark: SparkSession, path: str) -> list[int]:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder) or not any(s.isDirectory() for s in files.listStatus(folder)):
-        return None
-    reader = spark.read.option("mergeSchema", "true")
-    return (reader.schema(schema) if schema else reader).parquet(path)
+    if not files.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+    return [int(n.removeprefix(f"{VERSION}=")) for n in names if n.startswith(f"{VERSION}=")]
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a data file; a partitioned write of no rows leaves none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False

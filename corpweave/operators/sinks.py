@@ -33,6 +33,12 @@ def write_search_docs(docs: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").option("compression", "gzip").text(path)
 
 
+def write_search_deletes(gone: DataFrame, path: str) -> None:
+    """One JSON line per document to remove from the index."""
+    lines = gone.select(F.to_json(F.struct(F.struct(F.col("hk").alias("_id")).alias("delete"))).alias("value"))
+    lines.write.mode("overwrite").option("compression", "gzip").text(path)
+
+
 def write_quarantine(bad: DataFrame, path: str) -> None:
     """Rejected rows by source and run; a rerun of the same run replaces its own rows."""
     bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("data_source", "run_id").parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+CORRUPT = "_corrupt_record"
 BOOKKEEPING = ("_raw", "_errors")
 
 
@@ -20,6 +21,15 @@ def check(df: DataFrame, **rules: Column) -> DataFrame:
     return df.select(*columns, raw.alias("_raw"), found.alias("_errors"))
 
 
+def reject_malformed(checked: DataFrame) -> DataFrame:
+    """Reject rows the reader could not parse; their text stays in ``_raw`` as it was read."""
+    if CORRUPT not in checked.schema["_raw"].dataType.fieldNames():
+        return checked
+    broken = F.col(f"_raw.{CORRUPT}").isNotNull()
+    reasons = F.when(broken, F.concat(F.array(F.lit("malformed")), "_errors")).otherwise(F.col("_errors"))
+    return checked.withColumn("_errors", reasons)
+
+
 def good_rows(checked: DataFrame) -> DataFrame:
     return checked.filter(F.size("_errors") == 0).drop(*BOOKKEEPING)
 

@@ -19,7 +19,7 @@ from corpweave.specs import EMBEDDING_FIELDS
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 KEY = "id__company"
-LOADS = ["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"]
+LOADS = ["2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z", "2024-01-03T00:00:00Z"]
 
 
 def query(name: str, sql: str | None = None):
@@ -108,9 +108,10 @@ def as_of_version(t: Tables) -> DataFrame:
     return history.as_of(_log(t), KEY, version=2).select(*_OUT)
 
 
-@query("as_of_time", _sql(f"SELECT id__company, cnt__employees, _version FROM log {_NEWEST}"))
+@query("as_of_time", _sql(f"SELECT id__company, cnt__employees, _version FROM log WHERE _version <= 2 {_NEWEST}"))
 def as_of_time(t: Tables) -> DataFrame:
-    return history.as_of(_log(t), KEY, timestamp=LOADS[2], columns=[KEY, "cnt__employees", "_version"])
+    """The table at noon (UTC) of the second load's day, asked for in another zone."""
+    return history.as_of(_log(t), KEY, timestamp="2024-01-02T14:00:00+02:00", columns=[KEY, "cnt__employees", "_version"])
 
 
 _FEED = """SELECT id__company, cnt__employees, hdiff, CASE _change_type WHEN 'update' THEN 'update_postimage' ELSE _change_type END AS _change_type,
@@ -175,11 +176,12 @@ def history_prune_dry_run(t: Tables) -> DataFrame:
     return gone.select(KEY, "_version")
 
 
-@query("table_version", _sql("SELECT max(_version) AS version, 1704240000000000 AS last_load_us FROM log"))
+@query(
+    "table_version",
+    _sql("SELECT max(_version) AS version, max(1704067200000000 + (_version - 1) * 86400000000) AS last_load_us FROM log"),
+)
 def table_version(t: Tables) -> DataFrame:
-    moment = F.lit("2024-01-03T00:00:00Z").cast("timestamp")
-    log = _log(t).withColumn("load_ldts", F.when(F.col("_version") == 3, moment))
-    return history.current_version(log).select("version", F.unix_micros("last_load").alias("last_load_us"))
+    return history.current_version(_log(t)).select("version", F.unix_micros("last_load").alias("last_load_us"))
 
 
 # Serving table: the second sync has a null hash where the country is unknown, which must count as a difference.

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpweave.functions.paths import table_root
+from corpweave.operators.validate import CORRUPT
 from corpweave.specs import SourceSpec, spec_for_path
 
 RAW_FILE = r"\.(json|jsonl|parquet|csv)$"
-CORRUPT = "_corrupt_record"
 
 
 def file_format(path: str) -> str:

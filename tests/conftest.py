@@ -10,24 +10,24 @@ from corpweave.session import build_session  # noqa: E402
 
 DIM = 8
 
-COMPANIES = [
-    ("cmp_test_001", "Finland", "Fintech", "100M-500M", 240, 2018, "Payment software from the north", "www.aurora-pay.ai"),
-    ("cmp_test_002", "Germany", "Healthcare", "10M-50M", 85, 2020, "Ward monitoring tools", "https://clinic-watch.de"),
-    ("cmp_test_003", "France", "Biotech", "500M-1B", 500, 2015, None, "https://www.molecule-lab.com"),
-]
+# one company has no web page of its own in the other sources, one has no head count, one no text
 COMPANY_FIELDS = (
     "company_id country industry revenue_range employee_count founded_year short_description website_url".split()
 )
-ENRICHMENTS = [
-    ("https://aurora-pay.ai", "Tools that spot fraud in online banking.",
-     "Fraud alerts\nCard checks\nBanking analytics reports", "Online Banking\nCards\nNordics",
-     "B2B | subscription | SaaS"),
-    ("https://clinic-watch.de", "Watches over patients in hospitals.",
-     "Scan reading\nBedside monitoring\nWard analytics", "Hospitals\nScreening\nBavaria", "B2B | licensing | SaaS"),
-    ("https://www.molecule-lab.com", "Finds new molecules for medicine.",
-     "Drug discovery\nMolecule models", "Medicine\nResearch\nLyon", "B2B | contracts | licensing"),
-]
+COMPANIES = [
+    ("PT-0417", "Portugal", "Shipbuilding", "20M-40M", 1310, 1962, "Ferries and hull repair on the Tagus", "https://estaleiro-tejo.example"),
+    ("JP-2209", "Japan", "Ceramics", None, 37, 1988, "Kiln-fired tiles for bath houses", "kamayaki.example"),
+    ("CA-0031", "Canada", "Forestry", "900K-2M", None, 1975, None, "http://www.taiga-timber.example/home"),
+    ("BR-5550", "Brazil", "Coffee", "200M-900M", 6400, 2003, "Green beans from the Cerrado", "www.cerrado-graos.example"),
+    ("NO-0008", "Norway", "Aquaculture", "60M-70M", 212, 2011, "Salmon raised in closed pens", "fjordlaks.example"),
+]
 ENRICHMENT_FIELDS = "url business_description product_services market_niches business_model".split()
+ENRICHMENTS = [
+    ("https://kamayaki.example", "Hand-glazed tiles, fired twice.", "Roof tiles\nGlazing courses", "Inns\nTemples", "Made to order | workshop"),
+    ("estaleiro-tejo.example", "Builds ferries and keeps a dry dock for welding and paint.", "Dry dock\nFerry building\nWelding school", "River transport\nPorts", "Tender | long contracts"),
+    ("https://www.cerrado-graos.example", "Exports coffee beans roasted or green.", "Green coffee\nRoasted beans", "Roasters\nCafés\nSupermarkets\nAirlines", "Wholesale | commodity export"),
+    ("taiga-timber.example/home", "Plants and fells spruce.", "Spruce logs\nSeedlings", "Sawmills", "Lease | wholesale"),
+]
 
 
 @pytest.fixture(scope="session")

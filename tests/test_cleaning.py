@@ -153,7 +153,7 @@ def test_hub_key(spark):
 
 
 def test_registry_rows(spark):
-    base = ["cmp_1", "Finland", "Fintech", "100M-500M", "240", "2018", "Short", "www.h.ai"]
+    base = ["S-1", "Spain", "Cork", "3M-8M", "55", "1994", "Short", "www.h.example"]
     variants = {
         "ok": {}, "no_id": {"company_id": None}, "blank_id": {"company_id": ""}, "year_text": {"founded_year": "abc"},
         "year_low": {"founded_year": "500"}, "year_far": {"founded_year": "3050"}, "year_negative": {"founded_year": "-1"},
@@ -164,9 +164,9 @@ def test_registry_rows(spark):
     good, bad = split(checked, "registry", "run-1")
     kept = {r.desc__industry: r for r in good.collect()}
     assert set(kept) == {"ok", "year_null", "bad_count", "short_country"}
-    assert kept["bad_count"].cnt__employees is None and kept["ok"].cnt__employees == 240
-    assert kept["short_country"].loc__country is None and kept["ok"].loc__iso2_country_code == "FI"
-    assert kept["ok"].dt__founded_year == 2018 and kept["year_null"].dt__founded_year is None
+    assert kept["bad_count"].cnt__employees is None and kept["ok"].cnt__employees == 55
+    assert kept["short_country"].loc__country is None and kept["ok"].loc__iso2_country_code == "ES"
+    assert kept["ok"].dt__founded_year == 1994 and kept["year_null"].dt__founded_year is None
     reasons = {r.raw.industry: r.reasons for r in bad.collect()}
     assert reasons["no_id"] == reasons["blank_id"] == ["missing_company_id"]
     assert {k for k, v in reasons.items() if v == ["founded_year_out_of_range"]} == {
@@ -194,12 +194,12 @@ def test_enrichment_and_embedding_rows(spark, embeddings_raw):
     row = good_rows(checked).first()
     assert row.emb__global_vector.dimensions == DIM and row.emb__description_short is None
     metrics = validation_metrics(checked, "embeddings").first()
-    assert (metrics.success, metrics.failures, metrics.total, metrics.success_rate) == (3, 3, 6, 50.0)
+    assert (metrics.success, metrics.failures, metrics.total, metrics.success_rate) == (4, 3, 7, 57.14)
     watched, seen = observed(checked, "embedding-check")
     watched.write.format("noop").mode("overwrite").save()
-    assert seen.get == {"success": 3, "failures": 3, "total": 6}
+    assert seen.get == {"success": 4, "failures": 3, "total": 7}
     twice = validation_metrics(checked, "embeddings").unionAll(validation_metrics(checked, "embeddings"))
-    assert merge_metrics(twice, "data_source").first().total == 12
+    assert merge_metrics(twice, "data_source").first().total == 14
 
 
 def test_vectors(spark):
@@ -214,3 +214,25 @@ def test_paths(spark):
     assert apply(spark, paths.is_error_file, [path, "archived/run/chunk.parquet"]) == [True, False]
     assert apply(spark, paths.processed_path, ["c/1.parquet"]) == ["c/1_processed.parquet"]
     assert apply(spark, lambda c: paths.error_path(F.lit("a/run"), c), ["c/1.parquet"]) == ["a/run/errors/1.parquet"]
+
+
+def test_everyday_and_official_country_names(spark):
+    wanted = {
+        "Bosnia and Herzegovina": "BA", "Trinidad and Tobago": "TT", "Antigua & Barbuda": "AG", "Hong Kong": "HK", "Macau": "MO",
+        "Myanmar": "MM", "Palestine": "PS", "UAE": "AE", "Saint Lucia": "LC", "St. Lucia": "LC", "Cote d'Ivoire": "CI",
+        "CÔTE D’IVOIRE": "CI", "Congo": "CG", "Sao Tome and Principe": "ST", "Iran, Islamic Republic of": "IR",
+        "Republic of Finland": "FI", "Kingdom of Norway": "NO", "Türkiye": "TR", "Republic of Korea": "KR", "Atlantis": None,
+    }
+    rows = spark.createDataFrame([(n,) for n in wanted], "name string")
+    found = lookup_country(rows, "name", builtin_countries(spark))
+    assert {r["name"]: r["iso2"] for r in found.collect()} == wanted
+    dimension = builtin_countries(spark)
+    assert dimension.count() == dimension.select("alias").distinct().count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_all_latin_accents_fold(spark):
+    values = {"Hà Nội Ồ Ẵ Ạ": "ha noi o a a", "Łódź": "lodz", "straße": "strasse", "éa": "ea", "Дом": "дом"}
+    got = apply(spark, text.normalise_keyword, list(values))
+    assert got == list(values.values())

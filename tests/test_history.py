@@ -153,3 +153,24 @@ def test_zorder(spark):
     parts = maintenance.zorder(df, "x", "y", bits=4, partitions=4).withColumn("p", F.spark_partition_id())
     spans = parts.groupBy("p").agg((F.max("x") - F.min("x")).alias("x"), (F.max("y") - F.min("y")).alias("y")).collect()
     assert sum(r.x + r.y for r in spans) < 4 * 24 and parts.count() == 256
+
+
+def test_upsert_ranks_only_the_keys_of_the_batch(spark, tmp_path):
+    table = str(tmp_path / "t")
+    base = with_hdiff(spark.range(200).select(F.col("id").cast("string").alias("k"), F.lit("1").alias("v")), ["k"])
+    h.append_version(h.upsert(None, base, "k", 1, F.lit("2024-01-01")), table, 1)
+    batch = with_hdiff(spark.createDataFrame([("7", "2"), ("new", "1"), ("8", "1")], "k string, v string"), ["k"])
+    changes = h.upsert(h.read_log(spark, table), batch, "k", 2, F.lit("2024-01-02"))
+    assert sorted((r.k, r[h.CHANGE]) for r in changes.collect()) == [("7", "update"), ("new", "insert")]
+    plan = changes._jdf.queryExecution().optimizedPlan().toString()
+    # below the window that finds the newest row of a key stands the semi-join with the batch
+    assert plan.index("LeftSemi") > plan.index("row_number")
+
+
+def test_removals_are_tombstones(spark):
+    base = with_hdiff(spark.createDataFrame([("a", "1"), ("b", "1")], "k string, v string"), ["k"])
+    log = h.upsert(None, base, "k", 1, F.lit("2024-01-01"))
+    gone = h.removals(log, base.filter("k = 'a'"), "k", 2, F.lit("2024-01-02"))
+    assert [(r.k, r.v, r[h.VERSION], r[h.PREVIOUS]) for r in gone.collect()] == [("b", "1", 2, 1)]
+    assert [r.k for r in h.as_of(log.unionByName(gone), "k").collect()] == ["a"]
+    assert h.removals(log.unionByName(gone), base.filter("k = 'a'"), "k", 3, F.lit("2024-01-03")).count() == 0

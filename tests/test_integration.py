@@ -14,14 +14,16 @@ from corpweave.sources import files
 from corpweave.specs import GOLD_COLUMNS, INTEGRATED_SILVER, SEARCH_DOC_COLUMNS, SOURCES, spec_for_path
 
 
-def test_three_sources_become_three_companies(silver, gold):
+def test_sources_become_companies(silver, gold):
     integrated = integrate(silver["registry"], silver["enrichment"], silver["embeddings"])
-    assert integrated.columns == INTEGRATED_SILVER.fieldNames() and integrated.count() == 3
-    row = integrated.filter("id__company = 'cmp_test_001'").first()
-    assert row.desc__market_niches == ["Online Banking", "Cards", "Nordics"]
-    assert row.d2__url__normalized_request_url == row.d3__url__normalized_request_url == "aurora-pay.ai"
+    assert integrated.columns == INTEGRATED_SILVER.fieldNames() and integrated.count() == 5
+    row = integrated.filter("id__company = 'PT-0417'").first()
+    assert row.desc__market_niches == ["River transport", "Ports"]
+    assert row.d2__url__normalized_request_url == row.d3__url__normalized_request_url == "estaleiro-tejo.example"
+    alone = integrated.filter("id__company = 'NO-0008'").first()
+    assert alone.d2__url__normalized_request_url is None and alone.loc__country == "Norway"
     assert {c for c in gold.columns} == {"hk", "hdiff", *GOLD_COLUMNS}
-    assert gold.select("hk").distinct().count() == 3
+    assert gold.select("hk").distinct().count() == 5
 
 
 def test_contract(silver):
@@ -72,16 +74,16 @@ def test_dedupe_is_deterministic(spark):
 
 
 def test_unmatched(silver):
-    fewer = silver["registry"].filter("id__company <> 'cmp_test_002'")
+    fewer = silver["registry"].filter("id__company <> 'JP-2209'")
     row = unmatched(fewer, ("enrichment", silver["enrichment"])).first()
-    assert (row.source, row.total_rows, row.unmatched_rows) == ("enrichment", 3, 1)
+    assert (row.source, row.total_rows, row.unmatched_rows) == ("enrichment", 4, 1)
 
 
 def test_gold_rejects_invalid_rows(silver):
     integrated = integrate(silver["registry"], silver["enrichment"], silver["embeddings"])
-    broken = integrated.withColumn("cnt__employees", F.when(F.col("id__company") == "cmp_test_001", -1).otherwise(5).cast("bigint"))
+    broken = integrated.withColumn("cnt__employees", F.when(F.col("id__company") == "PT-0417", -1).otherwise(5).cast("bigint"))
     good, bad = split(gold_ops.check_gold(broken), "integrated")
-    assert good.count() == 2 and bad.first().reasons == ["negative:cnt__employees"]
+    assert good.count() == 4 and bad.first().reasons == ["negative:cnt__employees"]
 
 
 def test_gold_hash_follows_content(silver, gold):
@@ -89,18 +91,18 @@ def test_gold_hash_follows_content(silver, gold):
     old = {r.company_id: r.hdiff for r in gold.collect()}
     stamped = gold_ops.to_gold(integrated, F.current_timestamp(), F.current_timestamp())
     assert {r.company_id: r.hdiff for r in stamped.collect()} == old and "sync_ldts" in stamped.columns
-    other = integrated.withColumn("desc__market_niches", F.concat("desc__market_niches", F.array(F.lit("New"))))
+    other = integrated.withColumn("desc__market_niches", F.concat(F.coalesce("desc__market_niches", F.array().cast("array<string>")), F.array(F.lit("New"))))
     assert not set(old.values()) & {r.hdiff for r in gold_ops.to_gold(other).collect()}
 
 
 def test_report(spark, gold):
     row = integration_report(gold).first()
-    assert (row.total_records, row.duplicate_urls, row.d2_has_market_niches) == (3, 0, 3)
+    assert (row.total_records, row.duplicate_urls, row.d2_has_market_niches) == (5, 0, 4)
     assert row.revenue_bounds_inconsistent == 1 and row.d3_has_emb_description_short == 0
-    assert json.loads(row.iso2_country_code_distribution) == {"DE": 1, "FI": 1, "FR": 1}
+    assert json.loads(row.iso2_country_code_distribution) == {"BR": 1, "CA": 1, "JP": 1, "NO": 1, "PT": 1}
     create_report_view(gold, "the_report")
-    assert spark.table("the_report").first().total_records == 3
-    assert integration_report(gold, approximate=True).first().distinct_urls == 3
+    assert spark.table("the_report").first().total_records == 5
+    assert integration_report(gold, approximate=True).first().distinct_urls == 5
 
 
 def test_lookups(spark, gold):
@@ -108,7 +110,7 @@ def test_lookups(spark, gold):
     ranked = spark.createDataFrame([(keys[2], 1), ("none", 2), (keys[0], 3)], "hk string, rank int")
     assert [r.hk for r in gold_ops.lookup(gold, ranked).collect()] == [keys[2], keys[0]]
     assert [r.hk for r in gold_ops.resume_after(gold, "hk", keys[0]).collect()] == keys[1:]
-    assert gold_ops.resume_after(gold, "hk", None).count() == 3
+    assert gold_ops.resume_after(gold, "hk", None).count() == 5
     assert [r.hk for r in gold_ops.table_head(gold, 2, "hk").collect()] == keys[:2]
 
 
@@ -118,7 +120,7 @@ def test_raw_sources(spark, raw_dir, tmp_path):
     with pytest.raises(ValueError):
         spec_for_path("elsewhere/x.json")
     rows = files.read_raw(spark, str(raw_dir / "dataset_1" / "part.json"))
-    assert rows.count() == 3 and rows.select("employee_count").first()[0] == "240"
+    assert rows.count() == 5 and rows.select("employee_count").first()[0] == "1310"
     lines = tmp_path / "dataset_1.jsonl"
     lines.write_text('{"company_id": "a"}\n{broken\n')
     read = files.read_raw(spark, str(lines)).collect()
@@ -128,8 +130,8 @@ def test_raw_sources(spark, raw_dir, tmp_path):
     row = files.read_raw(spark, str(csv)).first()
     assert (row.business_description, row.product_services, row.market_niches) == ("one, two", "x\ny", None)
     rows.drop(files.CORRUPT).write.parquet(str(tmp_path / "p.parquet"))
-    some = files.read_raw(spark, str(tmp_path / "p.parquet"), columns=["company_id"], condition=F.col("country") == "Finland")
-    assert [tuple(r) for r in some.collect()] == [("cmp_test_001",)]
+    some = files.read_raw(spark, str(tmp_path / "p.parquet"), columns=["company_id"], condition=F.col("country") == "Portugal")
+    assert [tuple(r) for r in some.collect()] == [("PT-0417",)]
     assert files.row_count(some).first().n == 1
     assert files.source_files(spark, str(raw_dir), SOURCES["registry"]).count() == 1
     assert files.source_files(spark, str(raw_dir)).count() == 2
@@ -143,9 +145,9 @@ def test_sinks(spark, gold, tmp_path):
     assert sorted(r[1] for r in counts.collect()) == [5, 10, 10]
     sinks.write_search_docs(gold_ops.to_search_docs(gold), str(tmp_path / "docs"))
     docs = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "docs")).collect()]
-    assert len(docs) == 3 and set(docs[0]["_source"]) <= set(SEARCH_DOC_COLUMNS) and docs[0]["_id"] == docs[0]["_source"]["hk"]
+    assert len(docs) == 5 and set(docs[0]["_source"]) <= set(SEARCH_DOC_COLUMNS) and docs[0]["_id"] == docs[0]["_source"]["hk"]
     sinks.write_table(gold, str(tmp_path / "gold"), "iso2_country_code")
-    assert spark.read.parquet(str(tmp_path / "gold")).filter("iso2_country_code = 'FI'").count() == 1
+    assert spark.read.parquet(str(tmp_path / "gold")).filter("iso2_country_code = 'PT'").count() == 1
 
 
 def test_run_ledger(spark, tmp_path):

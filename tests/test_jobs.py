@@ -25,36 +25,67 @@ def test_the_whole_flow_and_its_rerun(spark, raw_dir, embeddings_raw, tmp_path):
     assert load_all(space, raw_dir, embeddings) == [1, 1, 1]
     assert [jobs.integrate_sources(space), jobs.serve_gold(space), jobs.index_search(space)] == [1, 1, 1]
     for name in ("registry", "enrichment", "embeddings", "integrated", "gold"):
-        assert space.current(name).count() == 3
-    assert spark.read.text(space.documents + "/version=1").count() == 3
-    assert jobs.report(space).first().total_records == 3
+        assert space.current(name).count() == (4 if name in ("enrichment", "embeddings") else 5)
+    assert spark.read.text(space.documents + "/version=1").count() == 5
+    assert jobs.report(space).first().total_records == 5
 
     # a second run with the same files changes nothing
     assert load_all(space, raw_dir, embeddings) == [0, 0, 0]
     assert [jobs.integrate_sources(space), jobs.serve_gold(space), jobs.index_search(space)] == [0, 0, 0]
 
-    found = jobs.find(space, search.SearchIntent(k=10, query_text="fraud detection banking analytics", country="finland"))
-    assert [r.company_id for r in found.collect()] == ["cmp_test_001"]
+    found = jobs.find(space, search.SearchIntent(k=10, query_text="dry dock welding", country="portugal"))
+    assert [r.company_id for r in found.collect()] == ["PT-0417"]
     assert audit.verdict(jobs.audit_table(space, "registry")).first().passed
     assert audit.verdict(jobs.audit_table(space, "integrated", whole=True)).first().passed
 
     # one changed company travels through all tables, and only it
     changed = tmp_path / "dataset_1_new.jsonl"
-    changed.write_text('{"company_id": "cmp_test_002", "country": "Austria", "employee_count": "99", "website_url": "clinic-watch.de"}\n')
+    changed.write_text('{"company_id": "JP-2209", "country": "South Korea", "employee_count": "41", "website_url": "kamayaki.example"}\n')
     assert jobs.load_source(space, str(changed), SOURCES["registry"]) == 2
     assert [jobs.integrate_sources(space), jobs.serve_gold(space), jobs.index_search(space)] == [2, 2, 2]
     assert spark.read.text(space.documents + "/version=2").count() == 1
-    assert space.current("gold").filter("company_id = 'cmp_test_002'").first().iso2_country_code == "AT"
-    assert space.current("registry").count() == 3  # a company that moves stays one company
+    assert space.current("gold").filter("company_id = 'JP-2209'").first().iso2_country_code == "KR"
+    assert space.current("registry").count() == 5  # a company that moves stays one company
 
     assert jobs.rollback(space, "registry", "id__company", 1, "loc__iso2_country_code") == 3
-    assert space.current("registry").filter("id__company = 'cmp_test_002'").first().loc__country == "Germany"
+    assert space.current("registry").filter("id__company = 'JP-2209'").first().loc__country == "Japan"
     log = space.log("registry")
     future = "2999-01-01 00:00:00"
-    assert jobs.prune(space, "registry", "id__company", future, "", dry_run=True).count() == log.count() - 3
+    assert jobs.prune(space, "registry", "id__company", future, "", dry_run=True).count() == log.count() - 5
     kept = jobs.prune(space, "registry", "id__company", future, str(tmp_path / "pruned"))
     assert sorted(history.as_of(kept, "id__company").select("id__company", "hdiff").collect()) == sorted(
         space.current("registry").select("id__company", "hdiff").collect()
     )
     ledger = space.runs()
-    assert ledger.filter("context = 'load' AND data_source = 'registry'").agg(F.sum("total")).first()[0] == 7
+    assert ledger.filter("context = 'load' AND data_source = 'registry'").agg(F.sum("total")).first()[0] == 11
+
+
+def test_broken_text_reaches_the_quarantine_as_it_was(spark, tmp_path):
+    import json
+
+    space = jobs.Workspace(spark, str(tmp_path / "space"))
+    lines = tmp_path / "dataset_1.jsonl"
+    lines.write_text('{"company_id": "a", "website_url": "a.example"}\n{"company_id": oops\n')
+    assert jobs.load_source(space, str(lines), SOURCES["registry"]) == 1
+    row = spark.read.parquet(space.quarantine).first()
+    assert json.loads(row.raw)["_corrupt_record"] == '{"company_id": oops' and "malformed" in row.reasons
+    assert space.current("registry").count() == 1
+
+
+def test_rolled_back_records_leave_every_table(spark, raw_dir, embeddings_raw, tmp_path):
+    embeddings = str(tmp_path / "dataset_3.parquet")
+    embeddings_raw.write.parquet(embeddings)
+    space = jobs.Workspace(spark, str(tmp_path / "space"))
+    load_all(space, raw_dir, embeddings)
+    more = tmp_path / "dataset_1_more.jsonl"
+    more.write_text('{"company_id": "SE-1", "country": "Sweden", "website_url": "ny.example"}\n')
+    jobs.load_source(space, str(more), SOURCES["registry"])
+    assert [jobs.integrate_sources(space), jobs.serve_gold(space), jobs.index_search(space)] == [1, 1, 1]
+    assert space.current("gold").count() == 6
+    gone = space.current("gold").filter("company_id = 'SE-1'").first().hk
+    jobs.rollback(space, "registry", "id__company", 1, "loc__iso2_country_code")
+    # the ledger knows loads, so the change is announced by one that finds nothing new
+    jobs.load_source(space, str(raw_dir / "dataset_1" / "part.json"), SOURCES["registry"])
+    assert [jobs.integrate_sources(space), jobs.serve_gold(space), jobs.index_search(space)] == [2, 2, 2]
+    assert space.current("integrated").count() == space.current("gold").count() == 5
+    assert [r.value for r in spark.read.text(space.documents + "/deleted/version=2").collect()] == ['{"delete":{"_id":"%s"}}' % gone]

@@ -86,3 +86,46 @@ def test_incremental_read_of_a_log(spark, tmp_path):
         stream = ingest.change_stream(table, spark, schema)
         stream.writeStream.format("parquet").option("checkpointLocation", cp).trigger(availableNow=True).start(out).awaitTermination()
         assert spark.read.parquet(out).count() == (1 if number == 1 else 3)
+
+
+def test_stream_into_a_table_that_jobs_loaded(spark, tmp_path):
+    table, bad = str(tmp_path / "table"), str(tmp_path / "bad")
+    loaded = with_hdiff(good_rows(standardise_registry(spark.createDataFrame([("a", "2000"), ("b", "2001")], "company_id string, founded_year string"))), [SPEC.key, "load_ldts"])
+    h.append_version(h.upsert(None, loaded, SPEC.key, 1, F.lit("2024-01-01")), table, 1, SPEC.stored_by)
+    inbox = tmp_path / "dataset_1"
+    drop(inbox, "1.json", [("z", 2002, "x")])
+
+    def stream(checkpoint):
+        source = ingest.raw_stream(spark, str(inbox), SPEC, max_files=1)
+        ingest.run_ingest(source, SPEC, table, bad, str(tmp_path / checkpoint), standardise_registry).awaitTermination()
+
+    stream("first")
+    drop(inbox, "2.json", [("y", 2003, "x")])
+    # a new checkpoint sees all files again and numbers its batches from 0
+    stream("second")
+    log = h.read_log(spark, table)
+    assert sorted((r.id__company, r[h.VERSION]) for r in log.select("id__company", h.VERSION).collect()) == [
+        ("a", 1), ("b", 1), ("y", 4), ("z", 2),
+    ]
+    assert h.last_version(spark, table) == 4
+
+
+def test_first_batch_of_rejects_only(spark, tmp_path):
+    inbox = tmp_path / "dataset_1"
+    drop(inbox, "1.json", [("bad", 99, "z")])
+    run(spark, tmp_path)
+    assert h.read_log(spark, str(tmp_path / "table")) is None
+    drop(inbox, "2.json", [("a", 2000, "x")])
+    run(spark, tmp_path)
+    assert [r.id__company for r in h.read_log(spark, str(tmp_path / "table")).collect()] == ["a"]
+
+
+def test_broken_lines_are_kept_verbatim(spark, tmp_path):
+    inbox = tmp_path / "dataset_1"
+    inbox.mkdir()
+    (inbox / "1.jsonl").write_text('{"company_id": "a", "founded_year": 2000}\n{"company_id": "b", broken\n')
+    stream = ingest.raw_stream(spark, str(inbox), SPEC, kind="jsonl")
+    ingest.run_ingest(stream, SPEC, str(tmp_path / "table"), str(tmp_path / "bad"), str(tmp_path / "cp"), standardise_registry).awaitTermination()
+    row = spark.read.parquet(str(tmp_path / "bad")).first()
+    assert json.loads(row.raw)["_corrupt_record"] == '{"company_id": "b", broken' and row.reasons[0] == "malformed"
+    assert [r.id__company for r in h.read_log(spark, str(tmp_path / "table")).collect()] == ["a"]
