@@ -1,7 +1,8 @@
 """Company data expressed over the star-schema tables.
 
 The registry is the customers (with their nation, a page as web site and a document as description), the
-enrichment source is the pages with their documents, the embedding source is the pages with their vectors.
+enrichment source is the documents, the embedding source is the vectors; both are dealt over the pages by their number
+modulo that of the pages, so a page's newest vector and first document win.
 Awkward values are planted on purpose: unknown and null countries, revenue without a unit or inverted, junk
 counts, impossible years, URLs of digits only, companies without URL, vectors of the wrong size, bad dates.
 Every customer, page, document and vector takes part, and texts are used whole.
@@ -88,13 +89,19 @@ class Tables:
             )
         )
 
+    def page_slots(self) -> int:
+        """One more than the highest page number."""
+        if "page_slots" not in self.plans:
+            self.plans["page_slots"] = (self["pages"].agg(F.max("page_id")).first()[0] or 0) + 1
+        return self.plans["page_slots"]
+
     @planned_once
     def enrichment_raw(self) -> DataFrame:
         pages = self["pages"].select("page_id", "url")
         documents = self["documents"].select("doc_id", "text", "lang", "source")
         newline = F.lit("\n")
-        return pages.join(documents, F.col("doc_id") == F.col("page_id")).select(
-            F.when(F.col("page_id") % 47 == 3, F.lit("123-456")).otherwise(F.col("url")).alias("url"),
+        return pages.join(documents, F.col("doc_id") % self.page_slots() == F.col("page_id")).select(
+            F.when(F.col("doc_id") % 47 == 3, F.lit("123-456")).otherwise(F.col("url")).alias("url"),
             F.col("text").alias("business_description"),
             F.replace(F.col("text"), F.lit(". "), newline).alias("product_services"),
             F.concat_ws("\n", "lang", "source", F.lit(" "), F.lit("42")).alias("market_niches"),
@@ -105,10 +112,12 @@ class Tables:
     def embeddings_raw(self) -> DataFrame:
         pages = self["pages"].select("page_id", "url")
         vectors = self["embeddings"].select("vec_id", "embedding")
-        page, vector = F.col("page_id"), F.col("embedding")
+        page, vector = F.col("vec_id"), F.col("embedding")
         none = F.lit(None)
+        slots = self.page_slots()
         day = F.lpad((1 + page % 28).cast("string"), 2, "0")
-        return pages.join(vectors, F.col("vec_id") == page).select(
+        hour = F.lpad((F.floor(page / slots) % 24).cast("string"), 2, "0")
+        return pages.join(vectors, page % slots == F.col("page_id")).select(
             "url",
             vector.alias("global_emb"),
             F.when(page % 5 != 0, vector).alias("business_description_emb"),
@@ -118,7 +127,7 @@ class Tables:
             F.when(page % 3 != 0, F.reverse(vector)).otherwise(none).alias("market_niches_emb"),
             vector.alias("business_model_emb"),
             F.when(page % 53 == 9, F.lit("not a date"))
-            .otherwise(F.concat(F.lit("2024-10-"), day, F.lit("T06:52:31Z")))
+            .otherwise(F.concat(F.lit("2024-10-"), day, F.lit("T"), hour, F.lit(":52:31Z")))
             .alias("embedding_updated_at"),
         )
 
@@ -155,7 +164,7 @@ class Tables:
         return dedupe_latest(
             good_rows(self.enrichment_checked()),
             "url__normalized_request_url",
-            ties=["url__request_url", "desc__description_long"],
+            ties=["url__request_url", "desc__description_long", "desc__market_niches"],
         )
 
     @planned_once

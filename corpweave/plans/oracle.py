@@ -151,23 +151,24 @@ LEFT JOIN documents d ON d.doc_id = c.c_custkey""",
     ),
     "enrichment_raw": (
         (),
-        """SELECT CASE WHEN p.page_id % 47 = 3 THEN '123-456' ELSE p.url END AS url, d.text AS business_description,
+        """SELECT CASE WHEN d.doc_id % 47 = 3 THEN '123-456' ELSE p.url END AS url, d.text AS business_description,
   replace(d.text, '. ', chr(10)) AS product_services,
   d.lang || chr(10) || d.source || chr(10) || ' ' || chr(10) || '42' AS market_niches,
   'B2B | ' || d.source || ' | SaaS' AS business_model
-FROM pages p JOIN documents d ON d.doc_id = p.page_id""",
+FROM pages p JOIN documents d ON d.doc_id % (SELECT max(page_id) + 1 FROM pages) = p.page_id""",
     ),
     "embeddings_raw": (
         (),
         """SELECT p.url, e.embedding AS global_emb,
-  CASE WHEN p.page_id % 5 <> 0 THEN e.embedding END AS business_description_emb,
+  CASE WHEN e.vec_id % 5 <> 0 THEN e.embedding END AS business_description_emb,
   list_reverse(e.embedding) AS short_description_emb,
-  CASE WHEN p.page_id % 11 = 5 THEN e.embedding[1:len(e.embedding) - 1] ELSE e.embedding END AS product_services_emb,
-  CASE WHEN p.page_id % 3 <> 0 THEN list_reverse(e.embedding) END AS market_niches_emb,
+  CASE WHEN e.vec_id % 11 = 5 THEN e.embedding[1:len(e.embedding) - 1] ELSE e.embedding END AS product_services_emb,
+  CASE WHEN e.vec_id % 3 <> 0 THEN list_reverse(e.embedding) END AS market_niches_emb,
   e.embedding AS business_model_emb,
-  CASE WHEN p.page_id % 53 = 9 THEN 'not a date'
-       ELSE '2024-10-' || lpad(CAST(1 + p.page_id % 28 AS VARCHAR), 2, '0') || 'T06:52:31Z' END AS embedding_updated_at
-FROM pages p JOIN embeddings e ON e.vec_id = p.page_id""",
+  CASE WHEN e.vec_id % 53 = 9 THEN 'not a date'
+       ELSE '2024-10-' || lpad(CAST(1 + e.vec_id % 28 AS VARCHAR), 2, '0') || 'T'
+         || lpad(CAST((e.vec_id // (SELECT max(page_id) + 1 FROM pages)) % 24 AS VARCHAR), 2, '0') || ':52:31Z' END AS embedding_updated_at
+FROM pages p JOIN embeddings e ON e.vec_id % (SELECT max(page_id) + 1 FROM pages) = p.page_id""",
     ),
     "countries": (
         (),
@@ -205,7 +206,7 @@ LEFT JOIN countries n ON n.alias = r.country_alias""",
         ("enrichment_checked",),
         f"""SELECT {', '.join(_URLS)}, desc__description_long, desc__product_services, desc__market_niches,
   desc__business_model FROM enrichment_checked WHERE NOT bad_url
-QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY url__request_url, desc__description_long) = 1""",
+QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY url__request_url, desc__description_long, desc__market_niches) = 1""",
     ),
     "embeddings_checked": (
         ("embeddings_raw",),

@@ -55,7 +55,7 @@ def _bm25_steps(queries: str, boosts: dict[str, float]) -> dict[str, str]:
 WHERE term IN (SELECT term FROM query_terms) GROUP BY ALL""",
         "term_stats": """SELECT field, term, any_value(avg_len) AS avg_len, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf
 FROM postings JOIN field_stats USING (field) GROUP BY field, term""",
-        "bm25": f"""SELECT query_id, hk, round(max(s), 12) AS score FROM (
+        "bm25": f"""SELECT query_id, hk, round(max(s), 9) AS score FROM (
   SELECT query_id, hk, field, sum(qtf * {boost} * idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / avg_len))) AS s
   FROM postings JOIN term_stats USING (field, term) JOIN query_terms USING (term) GROUP BY query_id, hk, field) GROUP BY query_id, hk""",
     }
@@ -64,11 +64,11 @@ FROM postings JOIN field_stats USING (field) GROUP BY field, term""",
 def _knn_steps(vector: str, fields: list[str], docs: str, size: int = SIZE) -> dict[str, str]:
     """Named sub-queries ending in ``knn`` (hk, score)."""
     fields_sql = " UNION ALL ".join(
-        f"SELECT hk, '{f}' AS field, round((1 + list_cosine_similarity({f}, {vector})) / 2, 12) AS score FROM {docs}" for f in fields
+        f"SELECT hk, '{f}' AS field, round((1 + list_cosine_similarity({f}, {vector})) / 2, 9) AS score FROM {docs}" for f in fields
     )
     return {
         "field_scores": fields_sql,
-        "knn": f"""SELECT hk, round(sum(score), 12) AS score FROM (SELECT * FROM field_scores WHERE score IS NOT NULL
+        "knn": f"""SELECT hk, round(sum(score), 9) AS score FROM (SELECT * FROM field_scores WHERE score IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY field ORDER BY score DESC, hk) <= {size}) GROUP BY hk""",
     }
 
@@ -180,7 +180,7 @@ def search_knn(t: Tables) -> DataFrame:
     "search_hybrid",
     o.query(
         _top(
-            """(SELECT query_id, hk, round(sum(score), 12) AS score FROM (
+            """(SELECT query_id, hk, round(sum(score), 9) AS score FROM (
   SELECT query_id, hk, score FROM bm25 WHERE hk IN (SELECT hk FROM gold WHERE employees_count >= 100)
   UNION ALL SELECT 'q', hk, score FROM knn) GROUP BY query_id, hk)"""
         ),
@@ -240,7 +240,7 @@ def search_batch_bm25(t: Tables) -> DataFrame:
         _top("pairs"),
         "gold",
         extra={
-            "pairs": """SELECT vec_id AS query_id, hk, round((1 + list_cosine_similarity(embedding_global_vector, CAST(embedding AS DOUBLE[]))) / 2, 12) AS score
+            "pairs": """SELECT vec_id AS query_id, hk, round((1 + list_cosine_similarity(embedding_global_vector, CAST(embedding AS DOUBLE[]))) / 2, 9) AS score
 FROM gold, embeddings WHERE embedding_global_vector IS NOT NULL"""
         },
     ),
