@@ -18,7 +18,7 @@ Training, on a bounded sample of labelled rows:
   into the probability of label 1.
 
 Only the text enters a score. Bounds: at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled texts of at most
-``MAX_CHARS`` characters reach the driver, chosen by a hash of the text; the model is about 150 kB and travels with
+``MAX_CHARS`` characters reach the driver, chosen by a hash of the id; the model is about 150 kB and travels with
 the tasks. Scoring is one pass over whole texts without a shuffle.
 
 Cases: null and empty texts get the score of a text without evidence; without labels of both classes every score is
@@ -186,17 +186,14 @@ def held_out(key: Column) -> Column:
 
 def train_from(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> ToxicityModel:
     """A model from the labelled rows that are not held out; the sample is bounded by the constants above."""
-    known = labels.where(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label).alias("y"))
-    rows = (
-        docs.select("doc_id", "text")
-        .join(known, "doc_id")
-        .where(F.col("text").isNotNull() & (F.length("text") <= MAX_CHARS))
-        .select("text", F.col("y").cast("int").alias("y"))
-    )
-    samples: list[tuple[str, int]] = []
-    for y, most in ((1, MAX_TOXIC), (0, MAX_ORDINARY)):
-        some = rows.where(F.col("y") == y).orderBy(F.xxhash64("text"), "text").limit(most)
-        samples += [(r["text"], y) for r in some.collect()]
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.select("doc_id", F.col(label).cast("int").alias("y"))
+    some = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for y, most in ((1, MAX_TOXIC), (0, MAX_ORDINARY))]
+    # at most MAX_TOXIC + MAX_ORDINARY pairs of numbers go to the tasks, and only their texts come back
+    chosen = F.broadcast(some[0].unionAll(some[1]))
+    fit = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= MAX_CHARS))
+    rows = fit.join(chosen, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    samples = [(r["text"], r["y"]) for r in rows.select("text", "y").collect()]
     return train(samples)
 
 
