@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpweave.functions.text import global_text, joined
+from corpweave.functions.text import global_text, joined, tokenise
 from corpweave.specs import DEFAULT_DIM
 
 _WORD = re.compile(r"[^\W_]+")
@@ -23,7 +23,7 @@ EMBED_FIELDS = ["description_long", "description_short", "product_services", "ma
 class HashingEncoder:
     """Hashing-trick encoder: signed word counts in ``dim`` slots, scaled to length one.
 
-    Stands in where no model is at hand. Any callable from a list of texts to a two-dimensional array works
+    Shows what a plugged-in model looks like; :func:`hashed_vectors` does the like without Python. Any callable from a list of texts to a two-dimensional array works
     in its place; it is built once per Python worker.
     """
 
@@ -41,6 +41,34 @@ class HashingEncoder:
         return np.divide(out, lengths, out=out, where=lengths > 0)
 
 
+def hashed_vectors(df: DataFrame, key: str, texts: dict[str, Column], dim: int = DEFAULT_DIM) -> DataFrame:
+    """Key and one ``embedding_<field>`` vector per text column, by the hashing trick in built-in expressions.
+
+    A word's MD5 digest gives its slot (first six hex digits modulo ``dim``) and its sign (last digit); the signed
+    counts of a text are scaled to length one. Text without words gives zeros, null or empty text gives null.
+    ``key`` names a row. Counts are summed before they are shuffled by key, so long texts move ``dim`` numbers at most.
+    """
+    present = [F.struct(F.lit(name).alias("field"), F.nullif(c, F.lit("")).alias("text")) for name, c in texts.items()]
+    rows = df.select(F.col(key).alias("_key"), F.explode(F.array(*present)).alias("e")).select("_key", "e.field", "e.text")
+    # a null word stands for the text itself, so that texts without words keep their row
+    words = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(tokenise(F.col("text")), F.array().cast("array<string>")))
+    word = rows.select("_key", "field", F.col("text").isNotNull().alias("given"), F.explode(words).alias("word"))
+    digest = F.md5("word")
+    slot = F.conv(F.substring(digest, 1, 6), 16, 10).cast("bigint") % dim
+    sign = F.when(F.substring(digest, 32, 1) < "8", 1).otherwise(-1)
+    counted = word.groupBy("_key", "field", "given", slot.cast("int").alias("slot")).agg(F.sum(sign).cast("double").alias("n"))
+    slots = F.map_from_entries(F.collect_list(F.when(F.col("slot").isNotNull(), F.struct("slot", "n"))))
+    length = F.sqrt(F.sum(F.when(F.col("slot").isNotNull(), F.col("n") * F.col("n"))))
+    per = counted.groupBy("_key", "field", "given").agg(slots.alias("slots"), length.alias("length"))
+    vector = F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)),
+        lambda i: F.coalesce(F.col("slots")[i] / F.nullif(F.col("length"), F.lit(0.0)), F.lit(0.0)),
+    )
+    filled = per.select("_key", "field", F.when(F.col("given"), vector).alias("v"))
+    columns = [F.max(F.when(F.col("field") == name, F.col("v"))).alias(f"embedding_{name}") for name in texts]
+    return filled.groupBy("_key").agg(*columns).withColumnRenamed("_key", key)
+
+
 def embedding_texts(df: DataFrame, fields: list[str] | None = None) -> dict[str, Column]:
     """Text to embed per field (lists joined by `` | ``), plus all of it as the global text."""
     names = [c for c in (fields or EMBED_FIELDS) if c in df.columns]

@@ -204,15 +204,42 @@ def embedding_text(t: Tables) -> DataFrame:
     return rows.select("url", *[c.alias("global_text" if n == "global_vector" else n) for n, c in texts.items()])
 
 
-@query()
+_EMBEDDED = {
+    "description_long": "desc__description_long",
+    "product_services": "array_to_string(desc__product_services, ' | ')",
+    "market_niches": "array_to_string(desc__market_niches, ' | ')",
+    "business_model": "array_to_string(desc__business_model, ' | ')",
+}
+_PARTS = {**_EMBEDDED, "global_vector": "concat_ws(' ', " + ", ".join(f"nullif({e}, '')" for e in _EMBEDDED.values()) + ")"}
+_EMBED_SQL = (
+    "WITH texts AS ("
+    + " UNION ALL ".join(f"SELECT {o._KEY} AS url, '{n}' AS field, nullif({e}, '') AS text FROM enrichment" for n, e in _PARTS.items())
+    + f"""), words AS (SELECT url, field, md5(unnest({o.tokens('text')})) AS d FROM texts),
+slots AS (SELECT url, field, CAST('0x' || substr(d, 1, 6) AS BIGINT) % {DIM} AS slot,
+  CAST(sum(CASE WHEN substr(d, 32, 1) < '8' THEN 1 ELSE -1 END) AS DOUBLE) AS n FROM words GROUP BY ALL),
+scaled AS (SELECT *, coalesce(n / nullif(sqrt(sum(n * n) OVER (PARTITION BY url, field)), 0), 0) AS v FROM slots),
+sums AS (SELECT url, field, sum(v) AS plain, sum(v * (slot + 1)) AS placed FROM scaled GROUP BY ALL)
+SELECT t.url, """
+    + ", ".join(
+        f"max(CASE WHEN t.field = '{n}' AND t.text IS NOT NULL THEN round(coalesce(s.{c}, 0), 6) END) AS embedding_{n}{tail}"
+        for n in _PARTS for c, tail in (("plain", ""), ("placed", "_placed"))
+    )
+    + " FROM texts t LEFT JOIN sums s ON s.url IS NOT DISTINCT FROM t.url AND s.field = t.field GROUP BY t.url"
+)
+
+
+@query(o.query(f"SELECT * FROM ({_EMBED_SQL})", "enrichment"))
 def embed_columns(t: Tables) -> DataFrame:
+    """Hashed vectors of every text field, compared by their sums and by their sums weighted with the slot."""
     rows = t.enrichment().select(
         F.col("url__normalized_request_url").alias("url"),
         *[F.col(f"desc__{c}").alias(c) for c in ("description_long", "product_services", "market_niches", "business_model")],
     )
-    encoded = embed.embed_columns(rows, "url", embed.embedding_texts(rows), lambda: embed.HashingEncoder(DIM), DIM)
+    encoded = embed.hashed_vectors(rows, "url", embed.embedding_texts(rows), DIM)
     names = [c for c in encoded.columns if c != "url"]
-    return encoded.select("url", *[vector_sum(F.col(c)).alias(c) for c in names])
+    placed = {c: F.transform(F.col(c), lambda v, i: v * (i + 1)) for c in names}
+    sums = [x for c in names for x in (vector_sum(F.col(c)).alias(c), vector_sum(placed[c]).alias(f"{c}_placed"))]
+    return encoded.select("url", *sums)
 
 
 @query(
