@@ -175,7 +175,8 @@ def serve_gold(space: Workspace) -> int:
 def index_search(space: Workspace) -> int:
     """Search documents of the gold rows that changed since the last indexing; returns the version reached.
 
-    Records taken out since then are listed in ``deleted/version=n``, for the loader to remove.
+    Records taken out since then are listed in ``deleted/version=n``, for the loader to remove. The postings of the
+    whole table go to ``index/version=n``, where text searches read their words.
     """
     if not space.is_due(SEARCH, [GOLD]):
         return 0
@@ -188,6 +189,7 @@ def index_search(space: Workspace) -> int:
     deleted = F.col(history.CHANGE) == "delete"
     sinks.write_search_docs(gold.to_search_docs(changed.filter(~deleted)), f"{space.documents}/version={version}")
     sinks.write_search_deletes(changed.filter(deleted), f"{space.documents}/deleted/version={version}")
+    search.write_index(space.current(GOLD), f"{space.documents}/index/version={version}")
     space.record("index", SEARCH, started, version)
     return version
 
@@ -215,9 +217,11 @@ def report(space: Workspace) -> DataFrame:
 
 
 def find(space: Workspace, intent: search.SearchIntent, size: int = 10, **options) -> DataFrame:
-    """Search the serving table: ranked hits with their full records."""
+    """Search the serving table: ranked hits with their full records. Text is searched in the index once there is one."""
     table = space.current(GOLD)
-    return search.enrich(search.search(table, intent, size, **options), table)
+    path = f"{space.documents}/index/version={space.version(GOLD)}"
+    index = search.TextIndex.read(space.spark, path) if history.has_data(space.spark, path) else None
+    return search.enrich(search.search(table, intent, size, index=index, **options), table)
 
 
 def prune(space: Workspace, name: str, key: str, keep_from: str, target: str, dry_run: bool = False) -> DataFrame:

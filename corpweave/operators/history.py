@@ -234,7 +234,7 @@ def append_version(changes: DataFrame, path: str, version: int, partition: str |
 def read_log(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """A written log, or nothing when the table does not exist yet."""
     for version in sorted(_version_folders(spark, path), reverse=True):
-        if _has_data(spark, f"{path}/{VERSION}={version}"):
+        if has_data(spark, f"{path}/{VERSION}={version}"):
             break
     else:
         return None
@@ -257,10 +257,13 @@ def _version_folders(spark: SparkSession, path: str) -> list[int]:
     return [int(n.removeprefix(f"{VERSION}=")) for n in names if n.startswith(f"{VERSION}=")]
 
 
-def _has_data(spark: SparkSession, path: str) -> bool:
-    """Whether a folder holds a data file; a partitioned write of no rows leaves none."""
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and holds a data file; a partitioned write of no rows leaves none."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return False
+    found = files.listFiles(folder, True)
     while found.hasNext():
         if found.next().getPath().getName().endswith(".parquet"):
             return True
