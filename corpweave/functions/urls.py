@@ -1,7 +1,7 @@
 """URL normalisation as a native expression.
 
-Exact for URLs without percent or plus escapes, user info, path parameters or non-ASCII characters; such
-URLs are still normalised, but their escapes are kept as written.
+Escapes of characters that need none are decoded and blanks are escaped, so spellings of one URL agree. Plus signs,
+user info, path parameters and non-ASCII characters are kept as written.
 """
 
 from __future__ import annotations
@@ -18,6 +18,23 @@ PREFIX = rf"^(?:{SCHEME}(?i:www\.)?|www\.)"
 PARTITION_PREFIX_LENGTH = 5
 
 
+# The escapes, without their percent sign, of letters, digits and - . _ ~
+UNRESERVED = "^(2[DdEe]|3[0-9]|4[1-9A-Fa-f]|5[0-9AaFf]|6[1-9A-Fa-f]|7[0-9AaEe])"
+
+
+def canonical_escapes(c: Column) -> Column:
+    """Blanks as ``%20``, and characters that need no escape without one."""
+    parts = F.split(F.replace(c, F.lit(" "), F.lit("%20")), "%", -1)
+
+    def decoded(part: Column) -> Column:
+        character = F.char(F.conv(F.substring(part, 1, 2), 16, 10).cast("bigint"))
+        plain = F.concat(character, F.substring(part, 3, 1 << 30))
+        return F.when(part.rlike(UNRESERVED), plain).otherwise(F.concat(F.lit("%"), part))
+
+    rest = F.transform(F.slice(parts, 2, 1 << 30), decoded)
+    return F.when(c.rlike("[% ]"), F.concat(F.element_at(parts, 1), F.array_join(rest, ""))).otherwise(c)
+
+
 def _sorted_query(query: Column) -> Column:
     """Query arguments as ``key=value``, sorted by key then value; an argument without ``=`` gets one."""
     arguments = F.filter(F.split(query, "&"), lambda a: a != "")
@@ -36,7 +53,7 @@ def normalise_url(c: Column) -> Column:
     The host is case-insensitive only where a scheme marks it as a host, so ``WWW.x.ai`` without a scheme
     keeps its prefix.
     """
-    without_fragment = F.regexp_replace(strip(c), "(?s)#.*$", "")
+    without_fragment = F.regexp_replace(canonical_escapes(strip(c)), "(?s)#.*$", "")
     rooted = F.regexp_replace(without_fragment, HOST_WITHOUT_PATH, "$1/?")
     body = F.regexp_replace(rooted, PREFIX, "")
     query = _sorted_query(F.regexp_replace(body, r"(?s)^[^?]*\??", ""))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from corpweave.operators import audit, gold, history, runs, sample, search, sink
 from corpweave.operators.integrate import assert_contract, integrate
 from corpweave.operators.report import integration_report
 from corpweave.operators.validate import bad_rows, good_rows, observed, reject_malformed, split
-from corpweave.session import stored
+from corpweave.session import released, stored
 from corpweave.sources.files import read_raw
 from corpweave.specs import SOURCES, SourceSpec
 
@@ -102,6 +102,17 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def releasing(job: Callable) -> Callable:
+    """A job whose scratch tables go when it ends; it returns no frame that reads them."""
+
+    @wraps(job)
+    def run(space: Workspace, *args, **options):
+        with released(space.spark):
+            return job(space, *args, **options)
+
+    return run
+
+
 def _append(
     space: Workspace, name: str, rows: DataFrame, key: str, partition: str | None, started: datetime, whole: bool = False, **order
 ) -> int:
@@ -120,6 +131,7 @@ def _append(
     return version
 
 
+@releasing
 def load_source(
     space: Workspace,
     path: str,
@@ -143,6 +155,7 @@ def load_source(
     return version
 
 
+@releasing
 def integrate_sources(space: Workspace) -> int:
     """Join the current states of the sources and append what changed to the integrated table."""
     names = list(("registry", "enrichment", "embeddings"))
@@ -158,6 +171,7 @@ def integrate_sources(space: Workspace) -> int:
     return version
 
 
+@releasing
 def serve_gold(space: Workspace) -> int:
     """Gold records of the integrated table, upserted into the serving table."""
     if not space.is_due(GOLD, [INTEGRATED]):
@@ -172,6 +186,7 @@ def serve_gold(space: Workspace) -> int:
     return version
 
 
+@releasing
 def index_search(space: Workspace) -> int:
     """Search documents of the gold rows that changed since the last indexing; returns the version reached.
 
@@ -233,6 +248,7 @@ def prune(space: Workspace, name: str, key: str, keep_from: str, target: str, dr
     return history.read_log(space.spark, target)
 
 
+@releasing
 def rollback(space: Workspace, name: str, key: str, to_version: int, partition: str | None = None) -> int:
     """Append a version that brings a table back to an earlier state; history stays complete."""
     version = space.version(name) + 1

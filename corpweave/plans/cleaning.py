@@ -104,10 +104,18 @@ def soft_int(t: Tables) -> DataFrame:
 
 
 @query(
-    f"SELECT page_id, url, {o.normalise_url('url')} AS normalised, substr({o.normalise_url('url')}, 1, 5) AS prefix_key FROM pages"
+    f"""SELECT *, substr(normalised, 1, 5) AS prefix_key FROM (SELECT page_id, url, {o.normalise_url('url')} AS normalised FROM (
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN replace(url, 'example', '%65x%61mple') WHEN 1 THEN url || '/%7Ea b%2f%zz%2' ELSE url END AS url
+FROM pages))"""
 )
 def normalise_url(t: Tables) -> DataFrame:
-    keyed = t["pages"].select("page_id", "url", urls.normalise_url(F.col("url")).alias("normalised"))
+    """Every page's URL, some with needless, needed and broken escapes and a blank."""
+    page, url = F.col("page_id"), F.col("url")
+    planted = F.when(page % 4 == 0, F.replace(url, F.lit("example"), F.lit("%65x%61mple"))).when(
+        page % 4 == 1, F.concat(url, F.lit("/%7Ea b%2f%zz%2"))
+    )
+    pages = t["pages"].select("page_id", F.coalesce(planted, url).alias("url"))
+    keyed = pages.withColumn("normalised", urls.normalise_url(F.col("url")))
     return keyed.withColumn("prefix_key", urls.url_partition_key(F.col("normalised")))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpweave.functions.text import WHITESPACE, WHITESPACE_CLASS
+from corpweave.functions.urls import UNRESERVED
 
 _WS = "'" + WHITESPACE + "'"
 _JUNK = r"'^[\p{Nd}[:punct:]" + WHITESPACE_CLASS + "]+$'"
@@ -30,8 +31,15 @@ def keywords(c: str, separator: str) -> str:
     return f"coalesce(list_filter({items}, lambda x: x IS NOT NULL), CAST([] AS VARCHAR[]))"
 
 
+def canonical_escapes(c: str) -> str:
+    parts = f"string_split(replace({c}, ' ', '%20'), '%')"
+    character = "chr(CAST('0x' || substr(p, 1, 2) AS INTEGER))"
+    decoded = f"CASE WHEN regexp_matches(p, '{UNRESERVED}') THEN {character} || substr(p, 3) ELSE '%' || p END"
+    return f"({parts}[1] || array_to_string(list_transform({parts}[2:], lambda p: {decoded}), ''))"
+
+
 def normalise_url(c: str) -> str:
-    u = f"regexp_replace({strip(c)}, '(?s)#.*$', '')"
+    u = f"regexp_replace({canonical_escapes(strip(c))}, '(?s)#.*$', '')"
     body = f"regexp_replace({u}, {_SCHEME}, '')"
     has_scheme = f"regexp_matches({u}, {_SCHEME})"
     head = f"split_part({body}, '?', 1)"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,12 +53,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_written: list[str] = []
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete the stored frames that are made inside the block once it ends; results must be written elsewhere by then."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[before:]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        del _written[before:]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that is read several times as a table in the shared folder, and read it back.
 
     Unlike a checkpoint the table keeps column pruning and filter push-down.
     """
     path = scratch_path(df.sparkSession, name)
+    _written.append(path)
     df.write.option("compression", "snappy").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -236,3 +236,8 @@ def test_all_latin_accents_fold(spark):
     values = {"Hà Nội Ồ Ẵ Ạ": "ha noi o a a", "Łódź": "lodz", "straße": "strasse", "éa": "ea", "Дом": "дом"}
     got = apply(spark, text.normalise_keyword, list(values))
     assert got == list(values.values())
+
+
+def test_spellings_of_one_url_agree(spark):
+    got = apply(spark, urls.normalise_url, ["http://x.example/a b", "http://x.example/a%20b", "x.example/%7Ejo%65", "x.example/~joe", "x.example/%2F%zz%"])
+    assert got[0] == got[1] == "x.example/a%20b" and got[2] == got[3] == "x.example/~joe" and got[4] == "x.example/%2f%zz%"

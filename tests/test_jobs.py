@@ -70,6 +70,13 @@ def test_broken_text_reaches_the_quarantine_as_it_was(spark, tmp_path):
     row = spark.read.parquet(space.quarantine).first()
     assert json.loads(row.raw)["_corrupt_record"] == '{"company_id": oops' and "malformed" in row.reasons
     assert space.current("registry").count() == 1
+    # jobs leave no scratch tables behind
+    from pathlib import Path
+
+    from corpweave.session import ensure_checkpoint_dir
+
+    scratch = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    assert not list(scratch.glob("registry-checked-*")) and not list(scratch.glob("registry-changes-*"))
 
 
 def test_rolled_back_records_leave_every_table(spark, raw_dir, embeddings_raw, tmp_path):
