@@ -6,6 +6,7 @@ nothing when its inputs have not changed. One writer per table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpweave.functions.keys import with_hdiff
-from corpweave.operators import audit, gold, history, runs, sample, search, sinks
+from corpweave.operators import audit, gold, history, maintenance, runs, sample, search, sinks
 from corpweave.operators.integrate import assert_contract, integrate
 from corpweave.operators.report import integration_report
 from corpweave.operators.validate import bad_rows, good_rows, observed, reject_malformed, split
@@ -239,13 +240,28 @@ def find(space: Workspace, intent: search.SearchIntent, size: int = 10, **option
     return search.enrich(search.search(table, intent, size, index=index, **options), table)
 
 
-def prune(space: Workspace, name: str, key: str, keep_from: str, target: str, dry_run: bool = False) -> DataFrame:
-    """Copy a table without the history retention no longer needs; with ``dry_run`` only list what would go."""
+def prune(space: Workspace, name: str, key: str, keep_from: str, partition: str | None = None, dry_run: bool = False) -> DataFrame | None:
+    """Drop the history that retention no longer needs from a table; with ``dry_run`` only list what would go.
+
+    The kept rows are written beside the table in its own layout and then put in its place.
+    """
     log = space.log(name)
     if dry_run:
         return history.prune_history(log, key, keep_from, dry_run=True)
-    history.prune_history(log, key, keep_from).write.mode("overwrite").partitionBy(history.VERSION).parquet(target)
-    return history.read_log(space.spark, target)
+    path = space.table(name)
+    kept, names = history.prune_history(log, key, keep_from), [history.VERSION, *([partition] if partition else [])]
+    fresh = f"{path}-pruned-{uuid.uuid4().hex}"
+    kept.hint("rebalance", *names).write.partitionBy(*names).option("compression", "snappy").parquet(fresh)
+    maintenance.swap_in(space.spark, path, fresh)
+    return None
+
+
+def compact_table(space: Workspace, name: str, partition: str | None = None, target_bytes: int = maintenance.TARGET_FILE_BYTES) -> None:
+    """Rewrite a table's log into files near the target size; versions and layout stay."""
+    path = space.table(name)
+    fresh = f"{path}-compacted-{uuid.uuid4().hex}"
+    maintenance.compact(space.spark, path, fresh, [history.VERSION, *([partition] if partition else [])], target_bytes)
+    maintenance.swap_in(space.spark, path, fresh)
 
 
 @releasing

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TARGET_FILE_BYTES = 100 * 1024 * 1024
 
@@ -12,30 +15,39 @@ def compact(
     spark: SparkSession,
     source: str,
     target: str,
-    partition: str | None = None,
+    partition: str | list[str] | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> None:
     """Rewrite a table into files near the target size, into a new path.
 
     Adaptive execution sizes the output: small pieces are merged up to the advisory size and a partition
-    value that holds more than that is split over several tasks and files.
+    value that holds more than that is split over several tasks and files. The options for that hold in a session
+    of their own, so other jobs keep theirs. For a change log name ``_version`` first.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.enabled", "true")
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    own.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    names = [partition] if isinstance(partition, str) else list(partition or [])
+    rows = own.read.parquet(source)
+    writer = rows.hint("rebalance", *names).write.mode("overwrite").option("compression", "snappy")
+    (writer.partitionBy(*names) if names else writer).parquet(target)
+
+
+def swap_in(spark: SparkSession, path: str, replacement: str) -> None:
+    """Put a rewritten table in the place of the old one, which is deleted last.
+
+    Between the two renames the table is absent, but both copies exist under their own names. One writer per table.
     """
-    settings = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        rows = spark.read.parquet(source)
-        packed = rows.hint("rebalance", partition) if partition else rows.hint("rebalance")
-        writer = packed.write.mode("overwrite").option("compression", "snappy")
-        (writer.partitionBy(partition) if partition else writer).parquet(target)
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    old = f"{path}-replaced-{uuid.uuid4().hex}"
+    here, aside, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, old, replacement))
+    files = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.rename(here, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(new, here):
+        files.rename(aside, here)
+        raise OSError(f"cannot move {replacement} to {path}")
+    files.delete(aside, True)
 
 
 def zorder_key(*buckets: Column, bits: int = 16) -> Column:
@@ -63,8 +75,31 @@ def zorder_bucket(df: DataFrame, column: str, bits: int = 16) -> Column:
     return F.coalesce(F.floor(place * F.lit(2**bits - 1)), F.lit(0)).cast("bigint")
 
 
+def sortable_number(df: DataFrame, column: str) -> Column:
+    """A number in the order of a column: numbers and times themselves, the first six bytes of anything else."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(column).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    prefix = F.rpad(F.hex(F.substring(F.encode(F.col(column).cast("string"), "UTF-8"), 1, 6)), 12, "0")
+    return F.conv(prefix, 16, 10).cast("double")
+
+
+def quantile_bucket(df: DataFrame, column: str, bits: int = 16) -> Column:
+    """Bucket number of any column: how many of its approximate quantiles lie below a value, so skew fills all buckets."""
+    number = sortable_number(df, column)
+    steps = 2 ** min(bits, 8)
+    shares = F.array(*[F.lit(i / steps) for i in range(1, steps)])
+    cuts = df.agg(F.percentile_approx(number, shares, 10_000).alias("cuts")).first()["cuts"] or []
+    below = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda cut: cut < number))
+    return F.when(number.isNotNull(), F.shiftleft(below.cast("bigint"), bits - min(bits, 8))).otherwise(F.lit(0).cast("bigint"))
+
+
 def zorder(df: DataFrame, *columns: str, bits: int = 16, partitions: int | None = None) -> DataFrame:
-    """Rows laid out so that files can be skipped on any of the columns."""
-    keyed = df.withColumn("_z", zorder_key(*[zorder_bucket(df, c, bits) for c in columns], bits=bits))
+    """Rows laid out so that files can be skipped on any of the columns, text columns too."""
+    keyed = df.withColumn("_z", zorder_key(*[quantile_bucket(df, c, bits) for c in columns], bits=bits))
     ranged = keyed.repartitionByRange(partitions, "_z") if partitions else keyed.repartitionByRange("_z")
     return ranged.sortWithinPartitions("_z").drop("_z")

@@ -174,3 +174,12 @@ def test_removals_are_tombstones(spark):
     assert [(r.k, r.v, r[h.VERSION], r[h.PREVIOUS]) for r in gone.collect()] == [("b", "1", 2, 1)]
     assert [r.k for r in h.as_of(log.unionByName(gone), "k").collect()] == ["a"]
     assert h.removals(log.unionByName(gone), base.filter("k = 'a'"), "k", 3, F.lit("2024-01-03")).count() == 0
+
+
+def test_zorder_takes_text_dates_and_nulls(spark):
+    rows = [(f"name {i % 50:03d}", None if i % 7 == 0 else i % 13, f"2024-01-{1 + i % 28:02d}") for i in range(400)]
+    df = spark.createDataFrame(rows, "name string, n int, day string").withColumn("day", F.col("day").cast("date"))
+    laid = maintenance.zorder(df, "name", "n", "day", partitions=4)
+    assert sorted(laid.collect(), key=repr) == sorted(df.collect(), key=repr)
+    skewed = spark.createDataFrame([(float(10**i),) for i in range(64)], "x double")
+    assert skewed.select(maintenance.quantile_bucket(skewed, "x", 8)).distinct().count() >= 60

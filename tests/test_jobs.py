@@ -51,11 +51,13 @@ def test_the_whole_flow_and_its_rerun(spark, raw_dir, embeddings_raw, tmp_path):
     assert space.current("registry").filter("id__company = 'JP-2209'").first().loc__country == "Japan"
     log = space.log("registry")
     future = "2999-01-01 00:00:00"
-    assert jobs.prune(space, "registry", "id__company", future, "", dry_run=True).count() == log.count() - 5
-    kept = jobs.prune(space, "registry", "id__company", future, str(tmp_path / "pruned"))
-    assert sorted(history.as_of(kept, "id__company").select("id__company", "hdiff").collect()) == sorted(
-        space.current("registry").select("id__company", "hdiff").collect()
-    )
+    assert jobs.prune(space, "registry", "id__company", future, dry_run=True).count() == log.count() - 5
+    before = sorted(space.current("registry").select("id__company", "hdiff").collect())
+    jobs.prune(space, "registry", "id__company", future, "loc__iso2_country_code")
+    assert space.log("registry").count() == 5 and space.version("registry") == 3
+    jobs.compact_table(space, "registry", "loc__iso2_country_code")
+    assert sorted(space.current("registry").select("id__company", "hdiff").collect()) == before
+    assert space.version("registry") == 3
     ledger = space.runs()
     assert ledger.filter("context = 'load' AND data_source = 'registry'").agg(F.sum("total")).first()[0] == 11
 
