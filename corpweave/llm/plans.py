@@ -64,8 +64,12 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    said = "</s>[INST] ok [/INST]"
-    control = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    control = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
     return chat.digests(chat.expand_examples(turns.unionByName(control)))
 
 
