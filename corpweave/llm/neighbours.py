@@ -5,17 +5,20 @@ them unit length, so that a large inner product means a short distance; the grap
 vectors are one node.
 
 1. Start: nodes are sorted by the signs of random projections, several times over, and compared inside blocks of
-   ``BLOCK`` consecutive ones. Blocks are cut by position, so no region of the space fills a task.
+   ``BLOCK`` consecutive ones. Blocks are cut by position, so no region of the space fills a task. Sorts and signs grow
+   with the logarithm of the number of nodes.
 2. NN-descent rounds, as joins: every node goes to its neighbours and to the ``REVERSE`` nearest nodes that have it as
    neighbour; whoever meets at a node is compared there (neighbours of neighbours), and what beats the worst neighbour
    a node has travels back to it. Hubs take no more than ``REVERSE`` of those that point at them, chosen by a rank that
-   is limited before the shuffle. Rounds end when the lists gain less than ``ENOUGH``.
+   is limited before the shuffle. Rounds go on until the lists gain less than ``ENOUGH``.
 3. Greedy search: a query starts at its own node's neighbours, if it is indexed, and at ``ENTRIES`` fixed nodes. Each
    round opens its ``OPEN`` best nodes not yet opened and measures their neighbours, block of nodes by block of nodes:
-   a query is sent once to a block with the ids to measure, and the best come back.
+   a query is sent once to a block with the ids to measure, and the best come back. A query is done when all of its best
+   nodes (``effort``, which grows with the root of the number of nodes) are open.
 4. The best ``RERANK`` are measured again in double precision on the original vectors.
 
 Every vector is in the graph; only what a node remembers is bounded, so recall is measured, not assumed (README).
+Rounds and search steps that do not settle within ``MOST_ROUNDS`` and ``MOST_STEPS`` raise an error.
 Bounds: a task holds one block of nodes (4 MB) or of queries; the driver sees counts, norms and the entries' ids.
 
 Cases: null ids and vectors that are null, empty, zero or hold null or non-finite components take no part; shorter
@@ -26,7 +29,9 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +43,13 @@ from corpweave.llm.common import arrow_map, arrow_schema, meet, stored
 TOP = 20
 DEGREE, REVERSE = 32, 16
 BLOCK, REPEATS, PLANES = 1024, 8, 13
-ROUNDS, ENOUGH, SENT = 3, 0.002, 12
-OPEN, STEPS, POOL, RERANK, ENTRIES = 64, 5, 512, 120, 64
+MOST_ROUNDS, ENOUGH, SENT = 60, 0.002, 12
+OPEN, EFFORT, MOST_STEPS, POOL, RERANK, ENTRIES = 64, 320, 1000, 512, 120, 64
 NODES = 8_192
 QUERIES_A_TASK = 2_000
+#: Nodes for which EFFORT was chosen.
+USUAL = 50_000
+log = logging.getLogger(__name__)
 LIST = "id bigint, nbrs array<bigint>, sims array<int>"
 
 
@@ -154,21 +162,33 @@ def merged(rows: DataFrame, most: int) -> DataFrame:
     return rows.repartition("id").sortWithinPartitions("id").mapInArrow(by_run(merge), LIST)
 
 
+def sorts_and_signs(nodes: int) -> tuple[int, int]:
+    """How often nodes are sorted, and by how many signs: more as the nodes grow in number."""
+    size = log2(max(nodes, 2))
+    return max(REPEATS, ceil(2 * size - 23)), max(PLANES, ceil(size) - 3)
+
+
+def effort(nodes: int) -> int:
+    """How many of its best nodes a query opens."""
+    return ceil(EFFORT * max(1.0, nodes / USUAL) ** 0.5)
+
+
 def start_graph(codes: DataFrame, width: int, nodes: int) -> DataFrame:
     """First lists, from blocks of nodes that several sorts by random projections bring together."""
-    planes = np.random.default_rng(7).standard_normal((REPEATS, width + 1, PLANES + 1)).astype(np.float32)
+    turns, signs_used = sorts_and_signs(nodes)
+    planes = np.random.default_rng(7).standard_normal((turns, width + 1, signs_used + 1)).astype(np.float32)
     fields = "turn:int32 region:int64 along:double id:int64 code:binary"
     schema = arrow_schema(fields)
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = codes_of(batch.column(1))
-            for turn in range(REPEATS):
+            for turn in range(turns):
                 p = x @ planes[turn]
-                signs = (p[:, :PLANES] > 0) @ (1 << np.arange(PLANES))
+                signs = (p[:, :signs_used] > 0) @ (1 << np.arange(signs_used))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), turn, np.int32)), pa.array(signs ^ (signs >> 1)),
-                     pa.array(p[:, PLANES].astype(np.float64)), batch.column(0), batch.column(1)], schema=schema,
+                     pa.array(p[:, signs_used].astype(np.float64)), batch.column(0), batch.column(1)], schema=schema,
                 )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +213,7 @@ def start_graph(codes: DataFrame, width: int, nodes: int) -> DataFrame:
         found = np.take_along_axis(s, at, 1).ravel().astype(np.int64)
         return lists(*best_of(np.repeat(ids, most), ids[at].ravel(), found, most))
 
-    parts = max(1, -(-nodes * REPEATS // (4 * BLOCK)))
+    parts = max(1, -(-nodes * turns // (4 * BLOCK)))
     spread = arrow_map(codes, project, fields)
     ranged = spread.repartitionByRange(parts, "turn", "region", "along", "id").sortWithinPartitions("turn", "region", "along", "id")
     return merged(ranged.mapInArrow(compare, LIST), DEGREE)
@@ -253,12 +273,13 @@ def neighbour_graph(codes: DataFrame, width: int, nodes: int) -> DataFrame:
     """(id, nbrs, sims): up to DEGREE neighbours of every node, nearest first."""
     graph = stored(start_graph(codes, width, nodes), "graph")
     total = _total(graph)
-    for _ in range(ROUNDS):
+    for number in range(MOST_ROUNDS):
         graph = stored(descend(graph, codes), "graph")
         before, total = total, _total(graph)
+        log.info("round %d: lists gained %.4f", number + 1, (total - before) / (abs(before) or 1.0))
         if total - before <= ENOUGH * abs(before):
-            break
-    return graph
+            return graph
+    raise RuntimeError(f"neighbour lists still gain after {MOST_ROUNDS} rounds")
 
 
 def _total(graph: DataFrame) -> float:
@@ -310,7 +331,7 @@ def _opened(asked: pa.Table, index: pa.Table) -> pa.Table:
 
 
 def _measured(asked: pa.Table, index: pa.Table) -> pa.Table:
-    """Similarities of the nodes each query asks for, the best POOL of them."""
+    """Similarities of the nodes each query asks for."""
     schema = arrow_schema("query:int64 found:longs sims:ints")
     if not len(asked) or not len(index):
         return schema.empty_table()
@@ -321,9 +342,8 @@ def _measured(asked: pa.Table, index: pa.Table) -> pa.Table:
     for code, nodes in zip(queries, asked.column("nodes"), strict=True):
         at = _places(ids, nodes.values.to_numpy())
         s = codes[at] @ code
-        keep = np.argsort(-s, kind="stable")[:POOL]
-        found.append(ids[at[keep]])
-        sims.append(s[keep].astype(np.int32))
+        found.append(ids[at])
+        sims.append(s.astype(np.int32))
     return pa.table([asked.column("query"), pa.array(found, pa.list_(pa.int64())), pa.array(sims, pa.list_(pa.int32()))], schema=schema)
 
 
@@ -338,7 +358,8 @@ def greedy_search(queries: DataFrame, codes: DataFrame, graph: DataFrame, nodes:
         F.array(*map(F.lit, entries)).cast("array<bigint>").alias("extra"),
     )
     state = stored(state, "search")
-    for _ in range(STEPS):
+    most = effort(nodes)
+    for number in range(MOST_STEPS):
         # open nodes: the blocks that hold them return their neighbours
         sent = state.select("query", F.explode("next").alias("node"))
         sent = sent.groupBy(block_of("node", blocks).alias("block"), "query").agg(F.collect_list("node").alias("nodes"))
@@ -349,10 +370,11 @@ def greedy_search(queries: DataFrame, codes: DataFrame, graph: DataFrame, nodes:
         ).select("query", "code", F.col("x.block").alias("block"), F.col("x.nodes").alias("nodes"))
         asked = stored(asked, "measure")
         measured = meet(asked, index, "block", _measured, "query bigint, found array<bigint>, sims array<int>", QUERIES_A_TASK)
-        state = stored(_next_state(state, measured), "search")
+        state = stored(_next_state(state, measured, most), "search")
         if not state.where(F.size("next") > 0).limit(1).count():
-            break
-    return state.select("query", "pool")
+            log.info("search settled after %d steps", number + 1)
+            return state.select("query", "pool")
+    raise RuntimeError(f"queries still find nodes to open after {MOST_STEPS} steps")
 
 
 def _by_block(nodes: str, blocks: int) -> Column:
@@ -375,8 +397,8 @@ def _fresh(state: DataFrame, found: DataFrame) -> DataFrame:
     return joined.select("query", "code", F.array_except(ids, F.col("pool")).alias("nodes"))
 
 
-def _next_state(state: DataFrame, measured: DataFrame) -> DataFrame:
-    """Pools with what was measured, what was opened, and what to open next."""
+def _next_state(state: DataFrame, measured: DataFrame, most: int) -> DataFrame:
+    """Pools with what was measured, what was opened, and what to open next of the ``most`` best."""
     told = measured.groupBy("query").agg(
         F.flatten(F.collect_list("found")).alias("found"), F.flatten(F.collect_list("sims")).alias("new")
     )
@@ -386,6 +408,7 @@ def _next_state(state: DataFrame, measured: DataFrame) -> DataFrame:
     )
     fields = "query:int64 code:binary pool:longs sims:ints opened:longs next:longs"
     schema = arrow_schema(fields)
+    held = max(POOL, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -394,9 +417,9 @@ def _next_state(state: DataFrame, measured: DataFrame) -> DataFrame:
                 pool, sims, opened, found, new = (batch.column(i)[row].values.to_numpy() for i in (2, 3, 4, 5, 6))
                 ids, first = np.unique(np.r_[pool, found], return_index=True)
                 s = np.r_[sims, new][first]
-                order = np.lexsort((ids, -s))[:POOL]
+                order = np.lexsort((ids, -s))[:held]
                 pool, s = ids[order], s[order]
-                left = pool[~np.isin(pool, opened)][:OPEN]
+                left = pool[:most][~np.isin(pool[:most], opened)][:OPEN]
                 for column, value in zip(out, (pool, s, opened, left), strict=True):
                     column.append(value)
             arrays = [pa.array(c, t.type) for c, t in zip(out, list(schema)[2:], strict=True)]

@@ -71,3 +71,28 @@ def test_few_and_no_vectors(spark):
     assert run(spark, rows[:1]) == {}
     empty = spark.createDataFrame([], SCHEMA)
     assert neighbours.nearest(empty, empty).count() == 0
+
+
+def test_rounds_go_on_while_the_lists_gain(spark, monkeypatch):
+    """A poor start takes more than three rounds."""
+    monkeypatch.setattr(neighbours, "BLOCK", 32)
+    monkeypatch.setattr(neighbours, "REPEATS", 2)
+    x = np.random.default_rng(8).standard_normal((3000, 12))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<double>")
+    codes = neighbours.stored(neighbours.coded(nodes, 12, 1.0), "codes")
+    rounds = []
+    monkeypatch.setattr(neighbours, "_total", lambda graph, total=neighbours._total: rounds.append(1) or total(graph))
+    graph = {r["id"]: set(r["nbrs"]) for r in neighbours.neighbour_graph(codes, 12, 3000).collect()}
+    s = x @ x.T
+    np.fill_diagonal(s, -9)
+    true = np.argsort(-s, 1)[:, :20]
+    assert np.mean([len(graph[i] & set(true[i].tolist())) / 20 for i in range(3000)]) >= 0.95
+    assert len(rounds) > 4
+
+
+def test_effort_grows_with_the_nodes():
+    sizes = [2_500, 50_000, 1_000_000, 100_000_000]
+    for grown in (neighbours.sorts_and_signs, neighbours.effort):
+        found = [grown(n) for n in sizes]
+        assert found == sorted(found) and found[0] < found[2] < found[3]
