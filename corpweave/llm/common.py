@@ -20,7 +20,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def arrow_schema(fields: str) -> pa.Schema:
     """An Arrow schema from names and kinds, e.g. ``"doc_id:int64 n:int64"``."""
     kinds = {"int64": pa.int64(), "int32": pa.int32(), "string": pa.string(), "binary": pa.binary(), "bool": pa.bool_(),
-             "double": pa.float64(), "longs": pa.list_(pa.int64()), "ints": pa.list_(pa.int32())}
+             "double": pa.float64(), "longs": pa.list_(pa.int64()), "ints": pa.list_(pa.int32()),
+             "doubles": pa.list_(pa.float64())}
     return pa.schema([(name, kinds[kind]) for name, kind in (f.split(":") for f in fields.split())])
 
 
@@ -32,7 +33,8 @@ def to_batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
 def arrow_map(df: DataFrame, function: Callable, fields: str) -> DataFrame:
     """``mapInArrow`` with the output schema given in the notation of ``arrow_schema``."""
     kinds = {"int64": "bigint", "int32": "int", "string": "string", "binary": "binary", "bool": "boolean",
-             "double": "double", "longs": "array<bigint>", "ints": "array<int>"}
+             "double": "double", "longs": "array<bigint>", "ints": "array<int>",
+             "doubles": "array<double>"}
     schema = ", ".join(f"`{n}` {kinds[k]}" for n, k in (f.split(":") for f in fields.split()))
     return df.mapInArrow(function, schema)
 

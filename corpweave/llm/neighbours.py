@@ -1,8 +1,7 @@
 """Nearest neighbours by inner product: NN-descent builds a neighbour graph, queries walk it greedily.
 
-Vectors are scaled by a long norm (the 99th percentile; longer ones are cut to it) and get one more component that makes
-them unit length, so that a large inner product means a short distance; the graph is built on these, as bytes. Equal
-vectors are one node.
+Vectors are scaled by the largest norm and get one more component that makes them unit length, so that a large inner
+product means a short distance; the graph is built on these, as 32-bit floats. Equal vectors are one node.
 
 1. Start: nodes are sorted by the signs of random projections, several times over, and compared inside blocks of
    ``BLOCK`` consecutive ones. Blocks are cut by position, so no region of the space fills a task. Sorts and signs grow
@@ -11,15 +10,16 @@ vectors are one node.
    neighbour; whoever meets at a node is compared there (neighbours of neighbours), and what beats the worst neighbour
    a node has travels back to it. Hubs take no more than ``REVERSE`` of those that point at them, chosen by a rank that
    is limited before the shuffle. Rounds go on until the lists gain less than ``ENOUGH``.
-3. Greedy search: a query starts at its own node's neighbours, if it is indexed, and at ``ENTRIES`` fixed nodes. Each
+3. Greedy search: a query starts at its own node's neighbours, if it is indexed, and at ``ENTRIES`` fixed and ``ENTRIES`` long nodes. Each
    round opens its ``OPEN`` best nodes not yet opened and measures their neighbours, block of nodes by block of nodes:
    a query is sent once to a block with the ids to measure, and the best come back. A query is done when all of its best
    nodes (``effort``, which grows with the root of the number of nodes) are open.
-4. The best ``RERANK`` are measured again in double precision on the original vectors.
+   Nodes whose similarity is within ``ERROR`` of the last that counts are opened and kept, however many they are.
+4. Every node kept that its code does not rule out is measured again in double precision on the original vectors.
 
 Every vector is in the graph; only what a node remembers is bounded, so recall is measured, not assumed (README).
 Rounds and search steps that do not settle within ``MOST_ROUNDS`` and ``MOST_STEPS`` raise an error.
-Bounds: a task holds one block of nodes (4 MB) or of queries; the driver sees counts, norms and the entries' ids.
+Bounds: a task holds one block of nodes (6 MB) or of queries; the driver sees counts, norms and the entries' ids.
 
 Cases: null ids and vectors that are null, empty, zero or hold null or non-finite components take no part; shorter
 vectors count as padded with zeros; rows that repeat an id count once, with the smallest vector; ties go to the
@@ -44,13 +44,15 @@ TOP = 20
 DEGREE, REVERSE = 32, 16
 BLOCK, REPEATS, PLANES = 1024, 8, 13
 MOST_ROUNDS, ENOUGH, SENT = 60, 0.002, 12
-OPEN, EFFORT, MOST_STEPS, POOL, RERANK, ENTRIES = 64, 320, 1000, 512, 120, 64
+OPEN, EFFORT, MOST_STEPS, POOL, ENTRIES = 64, 320, 1000, 512, 64
 NODES = 8_192
 QUERIES_A_TASK = 2_000
 #: Nodes for which EFFORT was chosen.
 USUAL = 50_000
 log = logging.getLogger(__name__)
-LIST = "id bigint, nbrs array<bigint>, sims array<int>"
+#: Beyond what rounding two codes to 32-bit floats can change in a product of unit vectors.
+ERROR = 2.0**-22
+LIST = "id bigint, nbrs array<bigint>, sims array<float>"
 
 
 def usable(vector: Column) -> Column:
@@ -79,7 +81,7 @@ def as_matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
 
 
 def coded(nodes: DataFrame, width: int, longest: float) -> DataFrame:
-    """(id, code): unit vectors of one more component, as signed bytes."""
+    """(id, code): unit vectors of one more component, as 32-bit floats."""
     schema = arrow_schema("id:int64 code:binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,22 +89,16 @@ def coded(nodes: DataFrame, width: int, longest: float) -> DataFrame:
             x = as_matrix(batch.column(1), width) / longest
             x /= np.maximum(1, np.sqrt((x * x).sum(1)))[:, None]
             x = np.column_stack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))])
-            # components of unit vectors are about 1 / sqrt(width); four times that fits nearly all of them
-            codes = np.clip(np.rint(x * 127 * scale(width)), -127, 127).astype(np.int8)
+            codes = x.astype(np.float32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], schema=schema)
 
     return arrow_map(nodes.select("id", "vector"), run, "id:int64 code:binary")
 
 
-def scale(width: int) -> float:
-    """How far components are stretched before they are cut to bytes."""
-    return max(1.0, (width + 1) ** 0.5 / 5)
-
-
 def codes_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Byte codes as a matrix of 32-bit floats, whose products are exact."""
+    """Codes as a matrix."""
     values = column.to_pylist()
-    return np.frombuffer(b"".join(values), np.int8).reshape(len(values), -1).astype(np.float32)
+    return np.frombuffer(b"".join(values), np.float32).reshape(len(values), -1)
 
 
 def best_of(ids: np.ndarray, nbrs: np.ndarray, sims: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -124,7 +120,7 @@ def lists(ids: np.ndarray, nbrs: np.ndarray, sims: np.ndarray) -> pa.RecordBatch
     offsets = pa.array(np.r_[starts, len(ids)].astype(np.int32))
     return pa.RecordBatch.from_arrays(
         [pa.array(ids[starts]), pa.ListArray.from_arrays(offsets, pa.array(nbrs.astype(np.int64))),
-         pa.ListArray.from_arrays(offsets, pa.array(sims.astype(np.int32)))], names=["id", "nbrs", "sims"],
+         pa.ListArray.from_arrays(offsets, pa.array(sims.astype(np.float32)))], names=["id", "nbrs", "sims"],
     )
 
 
@@ -210,7 +206,7 @@ def start_graph(codes: DataFrame, width: int, nodes: int) -> DataFrame:
         if most < 1:
             return lists(ids[:0], ids[:0], ids[:0])
         at = np.argpartition(-s, most - 1, axis=1)[:, :most]
-        found = np.take_along_axis(s, at, 1).ravel().astype(np.int64)
+        found = np.take_along_axis(s, at, 1).ravel()
         return lists(*best_of(np.repeat(ids, most), ids[at].ravel(), found, most))
 
     parts = max(1, -(-nodes * turns // (4 * BLOCK)))
@@ -233,7 +229,7 @@ def descend(graph: DataFrame, codes: DataFrame) -> DataFrame:
     forward = graph.select("id", F.explode("nbrs").alias("at"))
     backward = reversed_links(graph).select(F.col("nbr").alias("at"), "id")
     backward = backward.select("id", "at").unionAll(backward.select(F.col("at").alias("id"), F.col("id").alias("at")))
-    worst = F.when(F.size("sims") >= DEGREE, F.element_at("sims", -1)).otherwise(-(1 << 31) + 1)
+    worst = F.when(F.size("sims") >= DEGREE, F.element_at("sims", -1)).otherwise(-2.0).cast("float")
     own = graph.select("id", worst.alias("worst")).join(codes, "id")
     goes = forward.unionAll(backward).join(own, "id").select("at", "id", "worst", "code")
     goes = goes.repartition("at").sortWithinPartitions("at", "id")
@@ -264,7 +260,7 @@ def _met(table: pa.Table) -> pa.RecordBatch:
         good = (sims > worst[rows][:, :, None]) & ~absent[:, :, None] & (sims > -np.inf)
         group = np.broadcast_to(np.arange(len(first))[:, None, None], best.shape)
         to = np.broadcast_to(ids[rows][:, :, None], best.shape)
-        found.append((to[good], ids[rows][group, best][good], sims[good].astype(np.int64)))
+        found.append((to[good], ids[rows][group, best][good], sims[good]))
     to, nbrs, sims = (np.concatenate(c) for c in zip(*found, strict=True))
     return lists(*best_of(to, nbrs, sims, DEGREE))
 
@@ -332,28 +328,32 @@ def _opened(asked: pa.Table, index: pa.Table) -> pa.Table:
 
 def _measured(asked: pa.Table, index: pa.Table) -> pa.Table:
     """Similarities of the nodes each query asks for."""
-    schema = arrow_schema("query:int64 found:longs sims:ints")
+    schema = arrow_schema("query:int64 found:longs sims:doubles")
     if not len(asked) or not len(index):
         return schema.empty_table()
     ids = np.frombuffer(index.column("ids")[0].as_py(), np.int64)
-    codes = np.frombuffer(index.column("codes")[0].as_py(), np.int8).reshape(len(ids), -1).astype(np.float32)
-    queries = codes_of(asked.column("code"))
+    codes = np.frombuffer(index.column("codes")[0].as_py(), np.float32).reshape(len(ids), -1)
+    queries = codes_of(asked.column("code")).astype(float)
     found, sims = [], []
     for code, nodes in zip(queries, asked.column("nodes"), strict=True):
         at = _places(ids, nodes.values.to_numpy())
         s = codes[at] @ code
         found.append(ids[at])
-        sims.append(s.astype(np.int32))
-    return pa.table([asked.column("query"), pa.array(found, pa.list_(pa.int64())), pa.array(sims, pa.list_(pa.int32()))], schema=schema)
+        sims.append(s)
+    return pa.table([asked.column("query"), pa.array(found, pa.list_(pa.int64())), pa.array(sims, pa.list_(pa.float64()))], schema=schema)
 
 
-def greedy_search(queries: DataFrame, codes: DataFrame, graph: DataFrame, nodes: int) -> DataFrame:
-    """(query, pool): the best nodes found for (query, start, code) rows; start is the query's own node or null."""
+def greedy_search(queries: DataFrame, codes: DataFrame, graph: DataFrame, nodes: int, long: list[int], top: int) -> DataFrame:
+    """(query, pool): the nodes that may be among the ``top + 1`` best for (query, start, code) rows.
+
+    start is the query's own node or null; searches also begin at the nodes ``long``.
+    """
     blocks = max(1, -(-nodes // NODES))
     index = stored(index_blocks(graph, codes, blocks), "index")
     entries = [r["id"] for r in codes.orderBy(F.xxhash64("id"), "id").select("id").limit(ENTRIES).collect()]
+    entries = sorted({*entries, *long})
     state = queries.select(
-        "query", "code", F.array().cast("array<bigint>").alias("pool"), F.array().cast("array<int>").alias("sims"),
+        "query", "code", F.array().cast("array<bigint>").alias("pool"), F.array().cast("array<double>").alias("sims"),
         F.array().cast("array<bigint>").alias("opened"), F.array_compact(F.array("start")).alias("next"),
         F.array(*map(F.lit, entries)).cast("array<bigint>").alias("extra"),
     )
@@ -369,11 +369,13 @@ def greedy_search(queries: DataFrame, codes: DataFrame, graph: DataFrame, nodes:
             "query", "code", F.explode(_by_block("nodes", blocks)).alias("x")
         ).select("query", "code", F.col("x.block").alias("block"), F.col("x.nodes").alias("nodes"))
         asked = stored(asked, "measure")
-        measured = meet(asked, index, "block", _measured, "query bigint, found array<bigint>, sims array<int>", QUERIES_A_TASK)
-        state = stored(_next_state(state, measured, most), "search")
+        measured = meet(asked, index, "block", _measured, "query bigint, found array<bigint>, sims array<double>", QUERIES_A_TASK)
+        state = stored(_next_state(state, measured, most, top), "search")
         if not state.where(F.size("next") > 0).limit(1).count():
             log.info("search settled after %d steps", number + 1)
-            return state.select("query", "pool")
+            last = F.element_at("sims", F.least(F.size("sims"), F.lit(top + 1)))
+            counted = F.size(F.filter("sims", lambda s: s >= last - 2 * ERROR))
+            return state.where(F.size("sims") > 0).select("query", F.slice("pool", F.lit(1), counted).alias("pool"))
     raise RuntimeError(f"queries still find nodes to open after {MOST_STEPS} steps")
 
 
@@ -397,16 +399,16 @@ def _fresh(state: DataFrame, found: DataFrame) -> DataFrame:
     return joined.select("query", "code", F.array_except(ids, F.col("pool")).alias("nodes"))
 
 
-def _next_state(state: DataFrame, measured: DataFrame, most: int) -> DataFrame:
-    """Pools with what was measured, what was opened, and what to open next of the ``most`` best."""
+def _next_state(state: DataFrame, measured: DataFrame, most: int, top: int) -> DataFrame:
+    """Pools with what was measured, what was opened, and what to open next of the ``most`` best and all ties."""
     told = measured.groupBy("query").agg(
         F.flatten(F.collect_list("found")).alias("found"), F.flatten(F.collect_list("sims")).alias("new")
     )
     rows = state.join(told, "query", "left").select(
         "query", "code", "pool", "sims", F.array_union("opened", "next").alias("opened"),
-        F.coalesce("found", F.array().cast("array<bigint>")).alias("found"), F.coalesce("new", F.array().cast("array<int>")).alias("new"),
+        F.coalesce("found", F.array().cast("array<bigint>")).alias("found"), F.coalesce("new", F.array().cast("array<double>")).alias("new"),
     )
-    fields = "query:int64 code:binary pool:longs sims:ints opened:longs next:longs"
+    fields = "query:int64 code:binary pool:longs sims:doubles opened:longs next:longs"
     schema = arrow_schema(fields)
     held = max(POOL, most)
 
@@ -417,9 +419,13 @@ def _next_state(state: DataFrame, measured: DataFrame, most: int) -> DataFrame:
                 pool, sims, opened, found, new = (batch.column(i)[row].values.to_numpy() for i in (2, 3, 4, 5, 6))
                 ids, first = np.unique(np.r_[pool, found], return_index=True)
                 s = np.r_[sims, new][first]
-                order = np.lexsort((ids, -s))[:held]
+                order = np.lexsort((ids, -s))
+                # what rounding alone may keep from the best stays, and is opened, whatever its number
+                ties = int((s >= s[order[min(top, len(s) - 1)]] - 2 * ERROR).sum()) if len(s) else 0
+                order = order[: max(held, ties)]
                 pool, s = ids[order], s[order]
-                left = pool[:most][~np.isin(pool[:most], opened)][:OPEN]
+                left = pool[: max(most, ties)]
+                left = left[~np.isin(left, opened)][: OPEN if ties <= most else None]
                 for column, value in zip(out, (pool, s, opened, left), strict=True):
                     column.append(value)
             arrays = [pa.array(c, t.type) for c, t in zip(out, list(schema)[2:], strict=True)]
@@ -446,7 +452,7 @@ def nearest(
     # equal vectors are one node, named by its smallest id; the smallest top + 1 ids of a node can be in a result
     named = vectors.groupBy("vector").agg(F.min("id").alias("id"))
     nodes = stored(named.select("id", "vector", F.sqrt(inner_product(F.col("vector"), F.col("vector"))).alias("norm")), "nodes")
-    facts = nodes.agg(F.count("*").alias("n"), F.percentile_approx("norm", 0.99, 1000).alias("longest"), F.max(F.size("vector")).alias("width")).first()
+    facts = nodes.agg(F.count("*").alias("n"), F.max("norm").alias("longest"), F.max(F.size("vector")).alias("width")).first()
     if not facts["n"]:
         return rows.sparkSession.createDataFrame([], f"query_id bigint, rank int, {key} bigint, score double")
     n, width, longest = facts["n"], facts["width"], facts["longest"]
@@ -459,8 +465,9 @@ def nearest(
     direction = distinct.select(F.col("query").alias("id"), F.transform("vector", lambda x: x / unit).alias("vector"))
     seek = coded(direction.select("id", "vector"), max(width, 1), 1.0).withColumnRenamed("id", "query")
     seek = distinct.select("query", "start").join(seek, "query")
-    pools = greedy_search(seek, codes, graph, n)
-    pairs = pools.select("query", F.explode(F.slice("pool", 1, RERANK)).alias("node"))
+    long = [r["id"] for r in nodes.orderBy(F.desc("norm"), "id").select("id").limit(ENTRIES).collect()]
+    pools = greedy_search(seek, codes, graph, n, long, top)
+    pairs = pools.select("query", F.explode("pool").alias("node"))
     own = distinct.where("start IS NOT NULL").select("query", F.col("start").alias("node"))
     pairs = pairs.unionByName(own).distinct()
     there = nodes.select(F.col("id").alias("node"), F.col("vector").alias("there"))

@@ -96,3 +96,19 @@ def test_effort_grows_with_the_nodes():
     for grown in (neighbours.sorts_and_signs, neighbours.effort):
         found = [grown(n) for n in sizes]
         assert found == sorted(found) and found[0] < found[2] < found[3]
+
+
+def test_noisy_copies_and_heavy_tailed_norms(spark):
+    """Skewed vectors: copies that differ by little, and a few norms far beyond the others."""
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(32)
+    copies = centre / np.linalg.norm(centre) + 0.001 * rng.standard_normal((2000, 32))
+    copies /= np.linalg.norm(copies, axis=1)[:, None]
+    heavy = rng.standard_normal((2000, 32)) * rng.lognormal(0, 1, (2000, 1))
+    for x in (copies, heavy):
+        x = x.astype(np.float32).astype(float)
+        got = run(spark, [(i, v.tolist(), 0, 0, 0.0, "") for i, v in enumerate(x)])
+        s = x @ x.T
+        np.fill_diagonal(s, -np.inf)
+        true = np.argsort(-s, 1)[:, :20]
+        assert np.mean([len({j for _, j, _ in got[q]} & set(true[q].tolist())) / 20 for q in got]) >= 0.95
