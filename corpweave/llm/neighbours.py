@@ -6,10 +6,10 @@ product means a short distance; the graph is built on these, as 32-bit floats. E
 1. Start: nodes are sorted by the signs of random projections, several times over, and compared inside blocks of
    ``BLOCK`` consecutive ones. Blocks are cut by position, so no region of the space fills a task. Sorts and signs grow
    with the logarithm of the number of nodes.
-2. NN-descent rounds, as joins: every node goes to its neighbours and to the ``REVERSE`` nearest nodes that have it as
+2. NN-descent rounds, as joins: a node's ``DEGREE`` neighbours come to it, and the ``REVERSE`` nearest nodes that have it as
    neighbour; whoever meets at a node is compared there (neighbours of neighbours), and what beats the worst neighbour
    a node has travels back to it. Hubs take no more than ``REVERSE`` of those that point at them, chosen by a rank that
-   is limited before the shuffle. Rounds go on until the lists gain less than ``ENOUGH``.
+   is limited before the shuffle, so no more than ``DEGREE + REVERSE`` meet at a node. Rounds go on until the lists gain less than ``ENOUGH``.
 3. Greedy search: a query starts at its own node's neighbours, if it is indexed, and at ``ENTRIES`` fixed and ``ENTRIES`` long nodes. Each
    round opens its ``OPEN`` best nodes not yet opened and measures their neighbours, block of nodes by block of nodes:
    a query is sent once to a block with the ids to measure, and the best come back. A query is done when all of its best
@@ -223,15 +223,17 @@ def reversed_links(graph: DataFrame) -> DataFrame:
     return links.withColumn("rank", rank).where(F.col("rank") <= REVERSE).select("id", "nbr")
 
 
+def meetings(graph: DataFrame) -> DataFrame:
+    """(at, id): a node's own neighbours come to it, and the nearest of those that have it as neighbour."""
+    own = graph.select(F.col("id").alias("at"), F.explode("nbrs").alias("id"))
+    return own.unionAll(reversed_links(graph).select(F.col("id").alias("at"), F.col("nbr").alias("id")))
+
+
 def descend(graph: DataFrame, codes: DataFrame) -> DataFrame:
     """One round: nodes meet at their neighbours, are compared there, and keep the best."""
-    # a node goes to those it has as neighbours and to those that have it
-    forward = graph.select("id", F.explode("nbrs").alias("at"))
-    backward = reversed_links(graph).select(F.col("nbr").alias("at"), "id")
-    backward = backward.select("id", "at").unionAll(backward.select(F.col("at").alias("id"), F.col("id").alias("at")))
     worst = F.when(F.size("sims") >= DEGREE, F.element_at("sims", -1)).otherwise(-2.0).cast("float")
     own = graph.select("id", worst.alias("worst")).join(codes, "id")
-    goes = forward.unionAll(backward).join(own, "id").select("at", "id", "worst", "code")
+    goes = meetings(graph).join(own, "id").select("at", "id", "worst", "code")
     goes = goes.repartition("at").sortWithinPartitions("at", "id")
     return merged(goes.mapInArrow(by_run(_met, 8_000), LIST).unionByName(graph), DEGREE)
 

@@ -112,3 +112,12 @@ def test_noisy_copies_and_heavy_tailed_norms(spark):
         np.fill_diagonal(s, -np.inf)
         true = np.argsort(-s, 1)[:, :20]
         assert np.mean([len({j for _, j, _ in got[q]} & set(true[q].tolist())) / 20 for q in got]) >= 0.95
+
+
+def test_no_more_than_the_cap_meet_at_a_hub(spark):
+    """A star: the hub is the nearest of every node, yet a task compares at most DEGREE + REVERSE nodes at it."""
+    rows = [(i, ([0] if i else []) + [1 + (i + k) % 399 for k in range(1, 32)], [0.9] * (31 + (i > 0))) for i in range(400)]
+    graph = spark.createDataFrame(rows, neighbours.LIST)
+    groups = neighbours.meetings(graph).distinct().groupBy("at").count()
+    assert groups.agg({"count": "max"}).first()[0] <= neighbours.DEGREE + neighbours.REVERSE
+    assert {r["id"] for r in neighbours.meetings(graph).where("at = 5").collect()} >= set(rows[5][1])
