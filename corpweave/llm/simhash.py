@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpweave.llm.common import arrow_map, arrow_schema, stored, text_or_empty
@@ -85,17 +85,21 @@ def cells(prints: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
+def text_digest(text: str = "text") -> Column:
+    return F.xxhash64(text_or_empty(text))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, print): the fingerprint of every whole text as a signed 64-bit integer."""
-    schema = arrow_schema("doc_id:int64 print:int64")
+    """(doc_id, print, digest): the fingerprint of every whole text as a signed 64-bit integer, and the text's XXH64."""
+    schema = arrow_schema("doc_id:int64 print:int64 digest:int64")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)], schema=schema)
 
-    given = docs.select(docs[key].cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
-    return arrow_map(given, run, "doc_id:int64 print:int64")
+    given = docs.select(docs[key].cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"), text_digest(text).alias("digest"))
+    return arrow_map(given, run, "doc_id:int64 print:int64 digest:int64")
 
 
 def links_in(units: np.ndarray, sides: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -239,14 +243,21 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, one row per id; rows without any id are kept once a group.
+    """One row of every group of near copies: that of its smallest id, or one without an id where none has any.
 
-    Repeated rows of a surviving id are rare, so they are set apart by their ids alone and only they are shuffled whole.
+    Fingerprints are the nodes here, so rows without ids are linked like others, and texts that share an id are not.
+    Rows are told apart by id and digest of the text. Rows alike in both are rare; only they are shuffled whole again.
     """
-    found = stored(near_duplicates(docs, shingle, distance), "simhash-found")
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
-    single = docs.join(stay.where("count = 1").select("doc_id"), "doc_id", "left_semi")
-    shared = stay.where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
-    repeated = docs.join(shared, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where("doc_id IS NULL").dropDuplicates(["text"])
-    return single.unionByName(repeated).unionByName(nameless).select(docs.columns)
+    found = stored(fingerprints(docs, shingle), "simhash-found")
+    prints = stored(found.select("print").distinct(), "simhash-prints")
+    roots = components(near_links(prints.select(F.col("print").alias("rep"), "print"), distance), "simhash-components")
+    groups = prints.join(roots, prints["print"] == roots["node"], "left").select("print", F.coalesce("root", "print").alias("group"))
+    rows = found.groupBy("doc_id", "digest", "print").agg(F.count("*").alias("times")).join(groups, "print")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest", "times")).alias("first")
+    chosen = rows.groupBy("group").agg(first).select("first.doc_id", "first.digest", "first.times")
+    chosen = stored(chosen.toDF("_chosen", "_of", "_times"), "simhash-chosen")
+    marked = docs.withColumn("_id", F.col("doc_id").cast("bigint")).withColumn("_digest", text_digest())
+    same = F.col("_id").eqNullSafe(F.col("_chosen")) & (F.col("_digest") == F.col("_of"))
+    single = marked.join(chosen.where("_times = 1"), same, "left_semi")
+    repeated = marked.join(chosen.where("_times > 1"), same, "left_semi").dropDuplicates(["_id", "_digest"])
+    return single.unionByName(repeated).select(docs.columns)

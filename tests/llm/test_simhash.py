@@ -113,3 +113,24 @@ def test_awkward_rows(spark, awkward, nothing):
     kept = simhash.one_of_each(awkward)
     assert kept.columns == awkward.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([1, 2, 5, 6, 7, None], key=repr)
+
+
+def test_one_of_each_without_ids_and_with_repeated_ids(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+
+    def near(text):
+        """Another text within three bits, not zero."""
+        while True:
+            words = text.split()
+            words[rng.randrange(len(words))] = word()
+            other = " ".join(words)
+            if 0 < (simhash.fingerprint(text) ^ simhash.fingerprint(other)).bit_count() <= 3:
+                return other
+
+    a, b, c, d = (" ".join(word() for _ in range(400)) for _ in range(4))
+    rows = [(None, a), (None, near(a)), (None, near(a)), (7, b), (None, b), (None, near(b)), (9, c), (9, d), (9, d)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"] for r in kept), key=repr) == sorted([None, 7, 9, 9], key=repr)
+    texts = {(r["doc_id"], r["text"]) for r in kept}
+    assert {(7, b), (9, c), (9, d)} < texts and [t for i, t in texts if i is None][0] in {t for _, t in rows[:3]}
