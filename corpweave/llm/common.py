@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from corpweave.session import scratch_path, stored
 
-__all__ = ["arrow_map", "arrow_schema", "meet", "scratch_path", "stored", "table", "text_or_empty", "to_batch"]
+__all__ = ["arrow_map", "arrow_schema", "meet", "scratch_path", "stored", "table", "text_or_empty", "to_batch", "unused"]
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of a folder; read by Spark alone, so any store that Spark reaches will do."""
@@ -43,6 +44,14 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name like ``name`` that differs from all of ``columns``, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def meet(
     asked: DataFrame, index: DataFrame, key: str, function: Callable, schema: str, most: int
 ) -> DataFrame:

@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpweave.llm import bpe_pieces, chat, linedup, neighbours, packing, quality, secrets, simhash, toxicity, warc
+from corpweave.llm import bpe_pieces, chat, linedup, mixing, neighbours, packing, periodic, quality, secrets, simhash, toxicity
+from corpweave.llm import variants, warc
 from corpweave.llm.common import table
 
 PACKING_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -80,10 +81,23 @@ def op10_revisits(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.run_digests(periodic.periodic_runs(table(spark, folder, "documents"), prepare=periodic.repeat_tail))
+
+
+def op12_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, folder, "documents"), loses=97)
+
+
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = mixing.sized(table(spark, folder, "documents"))
+    return mixing.mix_counts(sizes, mixing.repetitions(sizes))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_toxicity, op2_neighbours, op3_packing, op4_quality, op5_secrets, op6_byte_bpe, op7_simhash,
-              op8_line_dedup, op9_chat, op10_revisits)
+              op8_line_dedup, op9_chat, op10_revisits, op11_runs, op12_variants, op13_mixing)
 }
 
 ORACLES: dict[str, str] = {}
@@ -164,3 +178,26 @@ SELECT record_id, CASE WHEN outcome LIKE 'resolved%' THEN seen END AS resolved_i
        CASE WHEN outcome LIKE 'resolved%' THEN md5(html) END AS body_md5
 FROM judged, nl
 """
+
+ORACLES["op13_mixing"] = r"""
+WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                      coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) AS name FROM documents),
+weighed AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM sized GROUP BY source),
+ranked AS (SELECT *, row_number() OVER (ORDER BY 3 * source_size / w, source NULLS LAST) AS k FROM weighed),
+ahead AS (SELECT *, sum(source_size) OVER () - coalesce(3 * sum(source_size) OVER before, 0) AS rest,
+                 sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS shares
+          FROM ranked WINDOW before AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT * FROM ahead WHERE w * rest <= 3 * source_size * shares ORDER BY k LIMIT 1),
+aimed AS (SELECT a.source, a.source_size, CASE WHEN a.k < l.k THEN CAST(3 * a.source_size AS DOUBLE)
+                 ELSE CAST(a.w * l.rest AS DOUBLE) / CAST(l.shares AS DOUBLE) END AS target FROM ahead a, level l),
+rated AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM aimed),
+drawn AS (SELECT s.*, r.source_size, r.target, seed, CAST(floor(rate) AS BIGINT) + CASE WHEN
+            CAST(CAST('0x' || substr(md5(seed || ':' || name), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 < rate - floor(rate)
+            THEN 1 ELSE 0 END AS times
+          FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source, range(32) t(seed)),
+tried AS (SELECT source, seed, abs(CAST(sum(size * times) AS DOUBLE) - first(target)) AS miss FROM drawn GROUP BY source, seed),
+chosen AS (SELECT source, seed FROM tried QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, seed) = 1)
+SELECT doc_id, size, source_size, target, size * times AS taken
+FROM drawn d JOIN chosen c ON d.source IS NOT DISTINCT FROM c.source AND d.seed = c.seed
+"""

@@ -70,5 +70,5 @@ def test_empty_documents_pass_through_all_stages(spark):
 
 def test_registered_once_per_operator():
     names = [n for n in entry_point.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert "pipeline" in entry_point.queries()
