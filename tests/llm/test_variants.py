@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,17 +63,26 @@ def rows_of(df):
 LETTERS = st.text(alphabet="abcé", min_size=1, max_size=8)
 
 
-@settings(max_examples=300, deadline=None)
+SIGNERS = [variants.Signer({}, 0), variants.Signer({("a", 1): 5, ("b", 1): 3, ("a", 2): 2, ("é", 1): 1}, 9)]
+
+
+@pytest.mark.parametrize("signer", SIGNERS)
+@settings(max_examples=200, deadline=None)
 @given(LETTERS, LETTERS)
-def test_near_words_share_a_signature(a, b):
+def test_near_words_share_a_signature_and_count_once(signer, a, b):
     apart = brute_distance(a, b) == 1
     assert variants.one_edit_apart(a, b) == apart
     letters = variants.Letters([a, b])
-    assert letters.near(variants.np.array([0]), variants.np.array([1])).tolist() == [apart]
-    if apart:
-        first, second = variants.signatures(a), variants.signatures(b)
-        assert set(first[0]) & set(second[0])
-        assert bin((first[1] ^ second[1]) & (2**64 - 1)).count("1") <= 2
+    assert letters.near(np.array([0]), np.array([1])).tolist() == [apart]
+    rows = signer.signatures([a, b])
+    counted = 0
+    for x, side in zip(rows[0].tolist(), variants.SIDES.tolist()):
+        for y, other in zip(rows[1].tolist(), variants.SIDES.tolist()):
+            if x == y:
+                sides = np.array([side, other])
+                i, _ = variants.near_in(np.zeros(2, int), sides, np.zeros(2, int), np.array([x & 31] * 2), letters, signer)
+                counted += len(i)
+    assert counted == int(apart)
 
 
 def test_words_wider_than_the_rows_of_letters():
@@ -82,7 +92,7 @@ def test_words_wider_than_the_rows_of_letters():
     for i in range(len(words)):
         for j in range(len(words)):
             if i != j:
-                got = letters.near(variants.np.array([i]), variants.np.array([j])).tolist()
+                got = letters.near(np.array([i]), np.array([j])).tolist()
                 assert got == [brute_distance(words[i], words[j]) == 1]
 
 
@@ -117,18 +127,25 @@ def test_against_brute_force(spark, monkeypatch, group, loses):
 
 def test_crowded_units_are_compared_in_blocks():
     words = ["".join(p) for p in __import__("itertools").permutations("abcde")]
-    np = variants.np
-    folded = np.array([variants.signatures(w)[1] for w in words], np.int64)
-    words += [w + "x" for w in words]
-    folded = np.r_[folded, [variants.signatures(w)[1] for w in words[120:]]]
-    i, j = variants.near_in(np.zeros(240, np.int64), np.zeros(240, np.int64), folded, variants.Letters(words))
+    words += [w[:2] + "x" + w[2:] for w in words]
+    sides = np.array([1] * 120 + [2] * 120)
+    zero = np.zeros(240, int)
+    i, j = variants.near_in(zero, sides, zero, zero + 10, variants.Letters(words), SIGNERS[0])
     got = {frozenset((words[a], words[b])) for a, b in zip(i.tolist(), j.tolist(), strict=True)}
     assert len(got) == len(i)
-    assert got == {frozenset((a, b)) for a in words for b in words if a < b and brute_distance(a, b) == 1}
+    assert got == {frozenset((a, b)) for a in words[:120] for b in words[120:] if brute_distance(a, b) == 1}
+
+
+def test_tables_and_long_words_sign_alike(monkeypatch):
+    words = ["aabab" * 3, "abcdéé", "zzzzzzzzzzzz", "ÿÿÿab"]
+    want = SIGNERS[1].signatures(words)
+    monkeypatch.setattr(variants, "WIDEST", 4)
+    assert (SIGNERS[1].signatures(words) == want).all()
 
 
 def test_awkward_rows(awkward, nothing):
     assert variants.spelling_variants(nothing).count() == 0
+    assert variants.runs_in("Ab\u00c0c \u0130x\U0001f600y\u00ff \u00aa1") == [b"ab\xc0c", b"x", b"y\xff"]
     many = awkward.unionAll(awkward).unionAll(awkward)
     rows = [(r["doc_id"], r["text"]) for r in many.collect()]
     clash = many.withColumnRenamed("cell", "word").withColumnRenamed("piece", "sig")
