@@ -17,9 +17,12 @@ Pieces get their places in a distributed way: a piece's rank among those of its
 plus the sizes of the shares before, and ranks are dealt to the configurations in the plan's order. So no length, were
 it a third of all pieces, is gathered in one task.
 
-Bounds: histogram, plan and places have at most some ten thousand entries each; a worker remembers ``CACHE`` words.
+Bounds: the histogram has at most as many entries as the capacity, plan and places some ten thousand; the table of shares
+has one row per length and ``SHARE`` pieces of it. A worker remembers twice ``CACHE`` pre-tokens.
 Texts are read once; what is shuffled are rows of about 40 bytes per piece.
 
+Ids are those of the library with ``add_special_tokens=False``: strings of added tokens in a text become these tokens.
+
 Cases: null text counts as empty, which is one piece of the single id 0; repeated rows and ids are packed row by row;
 null ids are packed too; an empty table gives no rows; extra columns are ignored.
 """
@@ -44,12 +47,15 @@ CAPACITY = 2048
 #: Rounds of weights in each solution, solutions before best fit takes the rest, how far from the dearest a
 #: configuration may be to gain weight, the step of the prices, and what a round remembers of the coverage before.
 ROUNDS, SOLUTIONS, SLACK, RATE, FORGET = 80, 4, 0.01, 0.005, 0.9
-#: Words whose ids a worker remembers; pieces in one share of a length.
-CACHE, SHARE = 250_000, 8_192
-#: Texts encoded together.
-TEXTS = 256
-#: The splits the vocabulary file makes, restated for words of lower-case ASCII; others are split by the library.
-ASCII_PART = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Pre-tokens whose ids a worker remembers, twice; pieces in one share of a length.
+CACHE, SHARE = 300_000, 8_192
+#: Texts encoded together, and words the library encodes in one string.
+TEXTS, TOGETHER = 256, 1_000
+#: Texts and words whose splits are restated here: ASCII and the letters from U+00C0 to U+00FF. The library splits others.
+#: (Four control characters are left out that Python alone takes for white space.)
+PLAIN = re.compile("[\0-\x1b\x20-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+#: The splits the vocabulary file makes of such texts in lower case.
+PART = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ \t\n\r\f\va-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 #: Stands between words that are encoded in one go; a control character is a pre-token of its own.
 MARK = "\x01"
@@ -57,70 +63,90 @@ MARK = "\x01"
 Plan = list[tuple[tuple[int, ...], int]]
 
 
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write a byte: printable ones as themselves, others from U+0100 on, in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordIds:
-    """Token ids of texts, word by word: no token of the vocabulary spans ASCII white space."""
+    """Token ids of texts, pre-token by pre-token: no token of the vocabulary spans ASCII white space.
+
+    Ids are remembered in two generations: what the older one holds moves to the newer when it is asked for.
+    """
 
     def __init__(self, vocabulary: str) -> None:
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
-        by_id = self.tokenizer.get_vocab(with_added_tokens=True)
-        suffix = self.tokenizer.model.end_of_word_suffix
-        self.ends = np.zeros(max(by_id.values()) + 1, bool)
-        self.ends[[i for token, i in by_id.items() if token.endswith(suffix)]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
+        self.letters = byte_letters()
+        #: Tokens the library takes out of a text before anything else.
+        added = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def plain(self, text: str) -> bool:
+        return bool(PLAIN.fullmatch(text)) and not ("<" in text and self.added.search(text))
+
+    def parts(self, text: str) -> list[str]:
+        """The pre-tokens of a text, in lower case; words that only the library can split stand as they are."""
+        out: list[str] = []
+        if self.plain(text):
+            for word in text.lower().split():
+                if word.isalpha():
+                    out.append(word)
+                else:
+                    out += PART.findall(word)
+            return out
+        for word in map(bytes.decode, text.encode().split()):
+            if self.plain(word):
+                out += PART.findall(word.lower())
+            else:
+                out.append(word)
+        return out
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, with id 0 behind them."""
-        split = [text.encode().split() for text in texts]
-        new = set().union(*split).difference(self.words)
-        learnt = self.learn(new) if new else {}
-        if len(self.words) + len(learnt) <= CACHE:
-            self.words.update(learnt)
-            known = self.words
-        else:
-            # full of words seen earlier, which are the frequent ones, unless most of these are new
-            known = {w: self.words[w] for words in split for w in words if w in self.words} | learnt
-            if len(learnt) > len(known) // 2:
-                self.words = dict(learnt)
-        return [b"".join(map(known.__getitem__, words)) + b"\0\0\0\0" for words in split]
-
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        split = {w: ASCII_PART.findall(w.lower()) if w.isascii() else [w] for w in words}
-        parts = {p for some in split.values() for p in some}
-        if len(self.parts) > CACHE:
-            self.parts.clear()
-        new = parts.difference(self.parts)
-        self.learn_parts([p for p in new if p.isascii()])
-        for word, encoded in zip(others := [p for p in new if not p.isascii()], self.library([p.decode() for p in others]), strict=True):
-            self.parts[word] = encoded
-        return {w: b"".join(map(self.parts.__getitem__, some)) for w, some in split.items()}
-
-    def learn_parts(self, parts: list[bytes]) -> None:
-        """Encode parts in one go; each is one pre-token, so its ids go up to the next id that ends a word."""
-        if not parts:
-            return
-        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(parts).decode()], add_special_tokens=False)[0].ids, "<u4")
-        cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
-        if len(cuts) != len(parts):
-            self.parts.update(zip(parts, self.library([p.decode() for p in parts]), strict=True))
-            return
-        data, at = ids.tobytes(), 0
-        for part, cut in zip(parts, cuts.tolist(), strict=True):
-            self.parts[part] = data[at:cut]
-            at = cut
+        split = [self.parts(text) for text in texts]
+        if len(self.new) > CACHE:
+            self.new, self.old = {}, self.new
+        used = set().union(*split)
+        asked = used.difference(self.new)
+        known = asked.intersection(self.old)
+        self.new.update(zip(known, map(self.old.__getitem__, known), strict=True))
+        self.learn(asked - known)
+        # a small table of what these texts use is quicker to look up than the large one
+        ids = dict(zip(used, map(self.new.__getitem__, used), strict=True)).__getitem__
+        return [b"".join(map(ids, parts)) + b"\0\0\0\0" for parts in split]
+
+    def learn(self, parts: set[str]) -> None:
+        tokens, ids, others = self.model.tokenize, self.bytes, []
+        for part in parts:
+            if part.isascii() and part.isprintable():
+                shown = part
+            elif self.plain(part):
+                shown = part.encode().decode("latin-1").translate(self.letters)
+            else:
+                others.append(part)
+                continue
+            if "<" in part and self.added.search(part):
+                others.append(part)
+                continue
+            self.new[part] = b"".join([ids[t.id] for t in tokens(shown)])
+        for at in range(0, len(others), TOGETHER):
+            some = others[at : at + TOGETHER]
+            self.new.update(zip(some, self.library(some), strict=True))
 
     def library(self, words: list[str]) -> list[bytes]:
         """Words of several or unknown pre-tokens: in one go between marks, or one by one where a word holds the mark."""
-        if not words:
-            return []
         if not any(MARK in w for w in words):
             mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
             ids = np.array(self.tokenizer.encode_batch_fast([f" {MARK} ".join(words)], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else []
             if len(at) == len(words) - 1:
-                return [part.tobytes() for part in (np.split(ids, at) if not len(at) else
-                        [ids[a:b] for a, b in zip([0, *(at + 1)], [*at, len(ids)], strict=True)])]
+                return [ids[a:b].tobytes() for a, b in zip([0, *(at + 1)], [*at, len(ids)], strict=True)]
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
@@ -292,11 +318,13 @@ class Places:
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with sequence_id and offset; ``pieces`` is read twice, so hand in a stored table."""
-    shares = max(1, -(-pieces.count() // SHARE))
-    dealt = pieces.withColumn("share", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shares)).cast("int"))
+    lengths = stored(pieces.groupBy("length").agg(F.count("*").alias("n")), "packing-lengths")
+    places = Places(solve({r["length"]: r["n"] for r in lengths.collect()}, capacity))
+    # a row per length at most, so the capacity bounds what is broadcast
+    shares = F.broadcast(lengths.select("length", F.ceil(F.col("n") / SHARE).cast("int").alias("shares")))
+    share = F.pmod(F.xxhash64("doc_id", "piece"), F.col("shares")).cast("int")
+    dealt = pieces.join(shares, "length").withColumn("share", share).drop("shares")
     sizes = stored(dealt.groupBy("length", "share").count(), "packing-sizes")
-    histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("count").alias("n")).collect()}
-    places = Places(solve(histogram, capacity))
     before = F.sum("count").over(Window.partitionBy("length").orderBy("share")) - F.col("count")
     starts = sizes.select("length", "share", before.alias("ahead"))
     rank = F.row_number().over(Window.partitionBy("length", "share").orderBy("doc_id", "piece", "ids_crc32"))

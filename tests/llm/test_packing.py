@@ -21,12 +21,11 @@ VOCABULARY = open(PATH).read()
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids + [0]
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet=st.one_of(st.sampled_from("abcDEF's'tll 0189.,!?\n\t\x01\x1c\x85\xa0éİΣςſ漢́‍"), st.characters(codec="utf-8")), max_size=60))
+@given(st.lists(st.one_of(st.sampled_from("abcDEF's'tll 0189.,!?\n\t\x01\x1c\x85\xa0éİΣςſ漢́‍"), st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "À", "ÿ", "ß", "×", "÷", "ª", "¼", "é\u0301"]), st.characters(codec="utf-8")), max_size=60).map("".join))
 def test_word_ids_equal_the_library(library, text):
     encoder = packing.word_ids(VOCABULARY)
     assert np.frombuffer(encoder.encode_all([text])[0], "<u4").tolist() == library(text)
@@ -38,7 +37,25 @@ def test_full_memory_changes_nothing(monkeypatch, library):
     encoder = packing.WordIds(VOCABULARY)
     for _ in range(2):
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(texts)] == [library(t) for t in texts]
-    assert len(encoder.words) <= len({w for t in texts for w in t.split()})
+    assert len(encoder.new) <= 40 + len({p for t in texts for p in encoder.parts(t)})
+
+
+def test_added_tokens_are_the_librarys(library):
+    encoder = packing.WordIds(VOCABULARY)
+    for text in ("a <|endoftext|> b", "<|startoftext|>A<|endoftext|>é", "<|EndOfText|> <|endoftext|", "x<|endoftext|>"):
+        assert np.frombuffer(encoder.encode_all([text])[0], "<u4").tolist() == library(text)
+    assert np.frombuffer(encoder.encode_all(["a <|endoftext|> b"])[0], "<u4").tolist() == [320, 49407, 321, 0]
+
+
+def test_shares_are_few(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARE", 10)
+    pieces = spark.range(500).selectExpr("id doc_id", "0L piece", "0L start", "if(id < 300, 7L, 1 + id % 5) length", "id ids_crc32")
+    kept = []
+    monkeypatch.setattr(packing, "stored", lambda df, name: kept.append((name, df.cache())) or df)
+    found = packing.pack(pieces, 50).collect()
+    sizes = dict(kept)["packing-sizes"]
+    assert sizes.count() <= 300 // 10 + 1 + 5 * 5
+    assert len(found) == 500 and check_places(found, 50)
 
 
 def check_plan(histogram, plan, capacity):
