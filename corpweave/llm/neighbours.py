@@ -1,7 +1,10 @@
 """Nearest neighbours by inner product: NN-descent builds a neighbour graph, queries walk it greedily.
 
-Vectors are scaled by the largest norm and get one more component that makes them unit length, so that a large inner
-product means a short distance; the graph is built on these, as 32-bit floats. Equal vectors are one node.
+A node's code is its direction, as 32-bit floats, and its norm over the largest, in double precision. Distances are those
+of the vectors with one more component that makes them as long as the longest, so that a short distance means a large
+inner product. They are taken from norms and differences of norms directly, so vectors much shorter than the longest keep
+their distances apart, and lists hold the logarithm of the distance, which has the same grain at every scale. Equal vectors
+are one node.
 
 1. Start: nodes are sorted by the signs of random projections, several times over, and compared inside blocks of
    ``BLOCK`` consecutive ones. Blocks are cut by position, so no region of the space fills a task. Sorts and signs grow
@@ -10,16 +13,16 @@ product means a short distance; the graph is built on these, as 32-bit floats. E
    neighbour; whoever meets at a node is compared there (neighbours of neighbours), and what beats the worst neighbour
    a node has travels back to it. Hubs take no more than ``REVERSE`` of those that point at them, chosen by a rank that
    is limited before the shuffle, so no more than ``DEGREE + REVERSE`` meet at a node. Rounds go on until the lists gain less than ``ENOUGH``.
-3. Greedy search: a query starts at its own node's neighbours, if it is indexed, and at ``ENTRIES`` fixed and ``ENTRIES`` long nodes. Each
+3. Greedy search: a query starts at its own node, if it is indexed, and at ``ENTRIES`` fixed and ``ENTRIES`` long nodes. Each
    round opens its ``OPEN`` best nodes not yet opened and measures their neighbours, block of nodes by block of nodes:
-   a query is sent once to a block with the ids to measure, and the best come back. A query is done when all of its best
-   nodes (``effort``, which grows with the root of the number of nodes) are open.
-   Nodes whose similarity is within ``ERROR`` of the last that counts are opened and kept, however many they are.
-4. Every node kept that its code does not rule out is measured again in double precision on the original vectors.
+   a query is sent once to a block with the ids to measure, and those come back that are among its best so far. A query is
+   done when all of its best nodes (``effort``, which grows with the root of the number of nodes) are open.
+4. Measures are inner products of the original vectors in double precision, added component by component as Spark adds
+   them, so what the search keeps is final: its pool never exceeds ``effort`` nodes, however many lie close together.
 
 Every vector is in the graph; only what a node remembers is bounded, so recall is measured, not assumed (README).
 Rounds and search steps that do not settle within ``MOST_ROUNDS`` and ``MOST_STEPS`` raise an error.
-Bounds: a task holds one block of nodes (6 MB) or of queries; the driver sees counts, norms and the entries' ids.
+Bounds: a task holds one block of nodes (some 4 MB of vectors, 3 MB of links) or of queries; the driver sees counts, norms and the entries' ids.
 
 Cases: null ids and vectors that are null, empty, zero or hold null or non-finite components take no part; shorter
 vectors count as padded with zeros; rows that repeat an id count once, with the smallest vector; ties go to the
@@ -44,14 +47,14 @@ TOP = 20
 DEGREE, REVERSE = 32, 16
 BLOCK, REPEATS, PLANES = 1024, 8, 13
 MOST_ROUNDS, ENOUGH, SENT = 60, 0.002, 12
-OPEN, EFFORT, MOST_STEPS, POOL, ENTRIES = 64, 320, 1000, 512, 64
+OPEN, EFFORT, MOST_STEPS, ENTRIES = 128, 320, 1000, 64
 NODES = 8_192
 QUERIES_A_TASK = 2_000
 #: Nodes for which EFFORT was chosen.
 USUAL = 50_000
 log = logging.getLogger(__name__)
-#: Beyond what rounding two codes to 32-bit floats can change in a product of unit vectors.
-ERROR = 2.0**-22
+#: Below the logarithm of any distance, for lists that are not full.
+ANY = -1e9
 LIST = "id bigint, nbrs array<bigint>, sims array<float>"
 
 
@@ -81,24 +84,43 @@ def as_matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
 
 
 def coded(nodes: DataFrame, width: int, longest: float) -> DataFrame:
-    """(id, code): unit vectors of one more component, as 32-bit floats."""
+    """(id, code): directions as 32-bit floats, followed by the norm over the longest as a double."""
     schema = arrow_schema("id:int64 code:binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = as_matrix(batch.column(1), width) / longest
-            x /= np.maximum(1, np.sqrt((x * x).sum(1)))[:, None]
-            x = np.column_stack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))])
-            codes = x.astype(np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], schema=schema)
+            x = as_matrix(batch.column(1), width)
+            largest = np.abs(x).max(1, initial=0, keepdims=True)
+            x = x / largest
+            norm = np.sqrt((x * x).sum(1, keepdims=True))
+            code = np.column_stack([(x / norm).astype(np.float32).view(np.uint8), (largest / longest * norm).view(np.uint8)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in code], pa.binary())], schema=schema)
 
     return arrow_map(nodes.select("id", "vector"), run, "id:int64 code:binary")
 
 
-def codes_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Codes as a matrix."""
+def codes_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Directions, one row each, and norms of codes."""
     values = column.to_pylist()
-    return np.frombuffer(b"".join(values), np.float32).reshape(len(values), -1)
+    raw = np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
+    return raw[:, :-8].copy().view(np.float32).astype(float), raw[:, -8:].copy().view(float)[:, 0]
+
+
+def squared_distances(x: np.ndarray, y: np.ndarray, norm_x: np.ndarray, norm_y: np.ndarray) -> np.ndarray:
+    """Between the rows of x and of y, each over one axis more than the norms, with the completing component.
+
+    The last component of a vector of norm r is sqrt(1 - r * r); differences of these are taken as quotients of differences.
+    """
+    a, b = (norm_x * norm_x)[..., :, None], (norm_y * norm_y)[..., None, :]
+    high = np.sqrt(np.maximum(0, 1 - a)) + np.sqrt(np.maximum(0, 1 - b))
+    last = np.divide(b - a, high, out=np.zeros(np.broadcast(a, b).shape), where=high > 0)
+    plain = a + b - 2 * (x @ np.swapaxes(y, -1, -2))
+    return np.maximum(plain, 0) + last * last
+
+
+def nearness(squared: np.ndarray) -> np.ndarray:
+    """Falls as the distance grows, with the same grain at every scale."""
+    return (-np.log2(np.maximum(squared, 1e-300))).astype(np.float32)
 
 
 def best_of(ids: np.ndarray, nbrs: np.ndarray, sims: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,19 +194,19 @@ def effort(nodes: int) -> int:
 def start_graph(codes: DataFrame, width: int, nodes: int) -> DataFrame:
     """First lists, from blocks of nodes that several sorts by random projections bring together."""
     turns, signs_used = sorts_and_signs(nodes)
-    planes = np.random.default_rng(7).standard_normal((turns, width + 1, signs_used + 1)).astype(np.float32)
+    planes = np.random.default_rng(7).standard_normal((turns, width, signs_used + 1))
     fields = "turn:int32 region:int64 along:double id:int64 code:binary"
     schema = arrow_schema(fields)
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = codes_of(batch.column(1))
+            x, _ = codes_of(batch.column(1))
             for turn in range(turns):
                 p = x @ planes[turn]
                 signs = (p[:, :signs_used] > 0) @ (1 << np.arange(signs_used))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), turn, np.int32)), pa.array(signs ^ (signs >> 1)),
-                     pa.array(p[:, signs_used].astype(np.float64)), batch.column(0), batch.column(1)], schema=schema,
+                     pa.array(p[:, signs_used]), batch.column(0), batch.column(1)], schema=schema,
                 )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,14 +221,15 @@ def start_graph(codes: DataFrame, width: int, nodes: int) -> DataFrame:
             yield block(pa.Table.from_batches(held))
 
     def block(table: pa.Table) -> pa.RecordBatch:
-        ids, x = table.column(3).to_numpy(), codes_of(table.column(4))
-        s = x @ x.T
-        np.fill_diagonal(s, -np.inf)
+        ids, (x, norm) = table.column(3).to_numpy(), codes_of(table.column(4))
+        x *= norm[:, None]
+        squared = squared_distances(x, x, norm, norm)
+        np.fill_diagonal(squared, np.inf)
         most = min(DEGREE, len(ids) - 1)
         if most < 1:
             return lists(ids[:0], ids[:0], ids[:0])
-        at = np.argpartition(-s, most - 1, axis=1)[:, :most]
-        found = np.take_along_axis(s, at, 1).ravel()
+        at = np.argpartition(squared, most - 1, axis=1)[:, :most]
+        found = nearness(np.take_along_axis(squared, at, 1)).ravel()
         return lists(*best_of(np.repeat(ids, most), ids[at].ravel(), found, most))
 
     parts = max(1, -(-nodes * turns // (4 * BLOCK)))
@@ -231,7 +254,7 @@ def meetings(graph: DataFrame) -> DataFrame:
 
 def descend(graph: DataFrame, codes: DataFrame) -> DataFrame:
     """One round: nodes meet at their neighbours, are compared there, and keep the best."""
-    worst = F.when(F.size("sims") >= DEGREE, F.element_at("sims", -1)).otherwise(-2.0).cast("float")
+    worst = F.when(F.size("sims") >= DEGREE, F.element_at("sims", -1)).otherwise(ANY).cast("float")
     own = graph.select("id", worst.alias("worst")).join(codes, "id")
     goes = meetings(graph).join(own, "id").select("at", "id", "worst", "code")
     goes = goes.repartition("at").sortWithinPartitions("at", "id")
@@ -240,9 +263,10 @@ def descend(graph: DataFrame, codes: DataFrame) -> DataFrame:
 
 def _met(table: pa.Table) -> pa.RecordBatch:
     at, ids, worst = (table.column(i).to_numpy() for i in range(3))
-    x = codes_of(table.column(3))
+    x, norm = codes_of(table.column(3))
+    x *= norm[:, None]
     fresh = np.r_[True, (at[1:] != at[:-1]) | (ids[1:] != ids[:-1])]
-    at, ids, worst, x = at[fresh], ids[fresh], worst[fresh], x[fresh]
+    at, ids, worst, x, norm = at[fresh], ids[fresh], worst[fresh], x[fresh], norm[fresh]
     starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     sizes = np.diff(np.r_[starts, len(at)])
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -253,13 +277,14 @@ def _met(table: pa.Table) -> pa.RecordBatch:
         absent = np.arange(most) >= size[:, None]
         rows = np.where(absent, 0, rows)
         v = x[rows]
-        s = v @ v.transpose(0, 2, 1)
-        s[np.broadcast_to(absent[:, None, :], s.shape)] = -np.inf
-        s[:, np.arange(most), np.arange(most)] = -np.inf
+        squared = squared_distances(v, v, norm[rows], norm[rows])
+        squared[np.broadcast_to(absent[:, None, :], squared.shape)] = np.inf
+        squared[:, np.arange(most), np.arange(most)] = np.inf
         take = min(SENT, most)
-        best = np.argpartition(-s, take - 1, axis=2)[:, :, :take]
-        sims = np.take_along_axis(s, best, 2)
-        good = (sims > worst[rows][:, :, None]) & ~absent[:, :, None] & (sims > -np.inf)
+        best = np.argpartition(squared, take - 1, axis=2)[:, :, :take]
+        squared = np.take_along_axis(squared, best, 2)
+        sims = nearness(squared)
+        good = (sims > worst[rows][:, :, None]) & ~absent[:, :, None] & (squared < np.inf)
         group = np.broadcast_to(np.arange(len(first))[:, None, None], best.shape)
         to = np.broadcast_to(ids[rows][:, :, None], best.shape)
         found.append((to[good], ids[rows][group, best][good], sims[good]))
@@ -270,39 +295,52 @@ def _met(table: pa.Table) -> pa.RecordBatch:
 def neighbour_graph(codes: DataFrame, width: int, nodes: int) -> DataFrame:
     """(id, nbrs, sims): up to DEGREE neighbours of every node, nearest first."""
     graph = stored(start_graph(codes, width, nodes), "graph")
-    total = _total(graph)
+    total, entries = _total(graph)
     for number in range(MOST_ROUNDS):
         graph = stored(descend(graph, codes), "graph")
-        before, total = total, _total(graph)
-        log.info("round %d: lists gained %.4f", number + 1, (total - before) / (abs(before) or 1.0))
-        if total - before <= ENOUGH * abs(before):
+        (before, had), (total, entries) = (total, entries), _total(graph)
+        log.info("round %d: lists gained %.4f an entry", number + 1, (total - before) / max(entries, 1))
+        if entries == had and total - before <= ENOUGH * entries:
             return graph
     raise RuntimeError(f"neighbour lists still gain after {MOST_ROUNDS} rounds")
 
 
-def _total(graph: DataFrame) -> float:
-    return graph.agg(F.sum(F.aggregate("sims", F.lit(0.0), lambda a, s: a + s))).first()[0] or 0.0
+def _total(graph: DataFrame) -> tuple[float, int]:
+    """Sum and number of the entries of all lists."""
+    sums = F.sum(F.aggregate("sims", F.lit(0.0), lambda a, s: a + s))
+    found = graph.agg(sums.alias("total"), F.sum(F.size("sims")).alias("entries")).first()
+    return found["total"] or 0.0, found["entries"] or 0
 
 
-def index_blocks(graph: DataFrame, codes: DataFrame, blocks: int) -> DataFrame:
-    """One row per block of nodes: ids, codes, and the neighbours of each in both directions."""
+def link_blocks(graph: DataFrame, nodes: DataFrame, blocks: int) -> DataFrame:
+    """One row per block of nodes: ids, and the neighbours of each in both directions."""
     back = reversed_links(graph).groupBy("id").agg(F.collect_list("nbr").alias("back"))
     empty = F.array().cast("array<bigint>")
-    nodes = codes.join(graph.select("id", "nbrs"), "id", "left").join(back, "id", "left")
-    nodes = nodes.select(
-        block_of("id", blocks).alias("block"), "id", "code",
-        F.array_union(F.coalesce("nbrs", empty), F.coalesce("back", empty)).alias("links"),
-    )
+    rows = nodes.select("id").join(graph.select("id", "nbrs"), "id", "left").join(back, "id", "left")
+    links = F.array_union(F.coalesce("nbrs", empty), F.coalesce("back", empty))
 
     def build(group: pa.Table) -> pa.Table:
         group = group.sort_by("id")
         links = group.column("links").combine_chunks()
         ends = np.r_[0, np.cumsum(links.value_lengths().to_numpy())].astype(np.int64)
-        row = [group.column("block")[0].as_py(), group.column("id").to_numpy().tobytes(), b"".join(group.column("code").to_pylist()),
-               ends.tobytes(), links.flatten().to_numpy().tobytes()]
-        return pa.table([[v] for v in row], schema=arrow_schema("block:int32 ids:binary codes:binary ends:binary links:binary"))
+        row = [group.column("block")[0].as_py(), group.column("id").to_numpy().tobytes(), ends.tobytes(), links.flatten().to_numpy().tobytes()]
+        return pa.table([[v] for v in row], schema=arrow_schema("block:int32 ids:binary ends:binary links:binary"))
+
+    rows = rows.select(block_of("id", blocks).alias("block"), "id", links.alias("links"))
+    return rows.groupBy("block").applyInArrow(build, "block int, ids binary, ends binary, links binary")
+
+
+def vector_blocks(nodes: DataFrame, width: int, blocks: int) -> DataFrame:
+    """One row per block of nodes: ids, and their vectors component by component."""
+
+    def build(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id").combine_chunks()
+        x = np.ascontiguousarray(as_matrix(group.column("vector"), width).T)
+        row = [group.column("block")[0].as_py(), group.column("id").to_numpy().tobytes(), x.tobytes()]
+        return pa.table([[v] for v in row], schema=arrow_schema("block:int32 ids:binary vectors:binary"))
 
-    return nodes.groupBy("block").applyInArrow(build, "block int, ids binary, codes binary, ends binary, links binary")
+    rows = nodes.select(block_of("id", blocks).alias("block"), "id", "vector")
+    return rows.groupBy("block").applyInArrow(build, "block int, ids binary, vectors binary")
 
 
 def block_of(column: str, blocks: int) -> Column:
@@ -329,55 +367,58 @@ def _opened(asked: pa.Table, index: pa.Table) -> pa.Table:
 
 
 def _measured(asked: pa.Table, index: pa.Table) -> pa.Table:
-    """Similarities of the nodes each query asks for."""
+    """Inner products of the nodes each query asks for, of those that reach its bar."""
     schema = arrow_schema("query:int64 found:longs sims:doubles")
     if not len(asked) or not len(index):
         return schema.empty_table()
     ids = np.frombuffer(index.column("ids")[0].as_py(), np.int64)
-    codes = np.frombuffer(index.column("codes")[0].as_py(), np.float32).reshape(len(ids), -1)
-    queries = codes_of(asked.column("code")).astype(float)
+    vectors = np.frombuffer(index.column("vectors")[0].as_py(), float).reshape(-1, len(ids))
     found, sims = [], []
-    for code, nodes in zip(queries, asked.column("nodes"), strict=True):
+    for query, bar, nodes in zip(asked.column("vector").to_pylist(), asked.column("bar").to_pylist(), asked.column("nodes"), strict=True):
         at = _places(ids, nodes.values.to_numpy())
-        s = codes[at] @ code
-        found.append(ids[at])
-        sims.append(s)
+        some, total = vectors[:, at], np.zeros(len(at))
+        for component, row in zip(query, some, strict=False):  # missing components count as zero
+            total += component * row
+        good = total >= bar
+        found.append(ids[at[good]])
+        sims.append(total[good])
     return pa.table([asked.column("query"), pa.array(found, pa.list_(pa.int64())), pa.array(sims, pa.list_(pa.float64()))], schema=schema)
 
 
-def greedy_search(queries: DataFrame, codes: DataFrame, graph: DataFrame, nodes: int, long: list[int], top: int) -> DataFrame:
-    """(query, pool): the nodes that may be among the ``top + 1`` best for (query, start, code) rows.
+def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, many: int, width: int, long: list[int], top: int) -> DataFrame:
+    """(query, node, score): the ``top + 1`` best nodes found for (query, start, vector) rows.
 
     start is the query's own node or null; searches also begin at the nodes ``long``.
     """
-    blocks = max(1, -(-nodes // NODES))
-    index = stored(index_blocks(graph, codes, blocks), "index")
-    entries = [r["id"] for r in codes.orderBy(F.xxhash64("id"), "id").select("id").limit(ENTRIES).collect()]
+    blocks = max(1, -(-many // NODES))
+    links = stored(link_blocks(graph, nodes, blocks), "links")
+    vectors = stored(vector_blocks(nodes, width, blocks), "blocks")
+    entries = [r["id"] for r in nodes.orderBy(F.xxhash64("id"), "id").select("id").limit(ENTRIES).collect()]
     entries = sorted({*entries, *long})
+    own = F.array_compact(F.array("start"))
     state = queries.select(
-        "query", "code", F.array().cast("array<bigint>").alias("pool"), F.array().cast("array<double>").alias("sims"),
-        F.array().cast("array<bigint>").alias("opened"), F.array_compact(F.array("start")).alias("next"),
-        F.array(*map(F.lit, entries)).cast("array<bigint>").alias("extra"),
+        "query", "vector", F.array().cast("array<bigint>").alias("pool"), F.array().cast("array<double>").alias("sims"),
+        F.array().cast("array<bigint>").alias("opened"), own.alias("next"),
+        F.array_union(F.array(*map(F.lit, entries)).cast("array<bigint>"), own).alias("extra"),
     )
     state = stored(state, "search")
-    most = effort(nodes)
+    held = max(effort(many), top + 1)
     for number in range(MOST_STEPS):
         # open nodes: the blocks that hold them return their neighbours
         sent = state.select("query", F.explode("next").alias("node"))
         sent = sent.groupBy(block_of("node", blocks).alias("block"), "query").agg(F.collect_list("node").alias("nodes"))
-        found = meet(stored(sent, "open"), index, "block", _opened, "query bigint, found array<bigint>", QUERIES_A_TASK)
-        asked = _fresh(state, found)
-        asked = asked.select(
-            "query", "code", F.explode(_by_block("nodes", blocks)).alias("x")
-        ).select("query", "code", F.col("x.block").alias("block"), F.col("x.nodes").alias("nodes"))
+        found = meet(stored(sent, "open"), links, "block", _opened, "query bigint, found array<bigint>", QUERIES_A_TASK)
+        bar = F.when(F.size("sims") >= held, F.element_at("sims", -1)).otherwise(float("-inf"))
+        asked = _fresh(state, found, bar)
+        asked = asked.select("query", "vector", "bar", F.explode(_by_block("nodes", blocks)).alias("x"))
+        asked = asked.select("query", "vector", "bar", F.col("x.block").alias("block"), F.col("x.nodes").alias("nodes"))
         asked = stored(asked, "measure")
-        measured = meet(asked, index, "block", _measured, "query bigint, found array<bigint>, sims array<double>", QUERIES_A_TASK)
-        state = stored(_next_state(state, measured, most, top), "search")
+        measured = meet(asked, vectors, "block", _measured, "query bigint, found array<bigint>, sims array<double>", QUERIES_A_TASK)
+        state = stored(_next_state(state, measured, held), "search")
         if not state.where(F.size("next") > 0).limit(1).count():
             log.info("search settled after %d steps", number + 1)
-            last = F.element_at("sims", F.least(F.size("sims"), F.lit(top + 1)))
-            counted = F.size(F.filter("sims", lambda s: s >= last - 2 * ERROR))
-            return state.where(F.size("sims") > 0).select("query", F.slice("pool", F.lit(1), counted).alias("pool"))
+            best = F.explode(F.arrays_zip(F.slice("pool", 1, top + 1).alias("node"), F.slice("sims", 1, top + 1).alias("score")))
+            return state.select("query", best.alias("x")).select("query", "x.node", "x.score")
     raise RuntimeError(f"queries still find nodes to open after {MOST_STEPS} steps")
 
 
@@ -393,26 +434,25 @@ def _by_block(nodes: str, blocks: int) -> Column:
     )
 
 
-def _fresh(state: DataFrame, found: DataFrame) -> DataFrame:
-    """(query, code, nodes): what a query has found and not measured, with its entries in the first round."""
+def _fresh(state: DataFrame, found: DataFrame, bar: Column) -> DataFrame:
+    """(query, vector, bar, nodes): what a query has found and does not hold, with its entries in the first round."""
     told = found.groupBy("query").agg(F.flatten(F.collect_list("found")).alias("found"))
     joined = state.join(told, "query", "left")
     ids = F.array_distinct(F.concat(F.coalesce("found", F.array().cast("array<bigint>")), "extra"))
-    return joined.select("query", "code", F.array_except(ids, F.col("pool")).alias("nodes"))
+    return joined.select("query", "vector", bar.alias("bar"), F.array_except(ids, F.col("pool")).alias("nodes"))
 
 
-def _next_state(state: DataFrame, measured: DataFrame, most: int, top: int) -> DataFrame:
-    """Pools with what was measured, what was opened, and what to open next of the ``most`` best and all ties."""
+def _next_state(state: DataFrame, measured: DataFrame, held: int) -> DataFrame:
+    """The ``held`` best nodes of each query, which of these are open, and the best to open next."""
     told = measured.groupBy("query").agg(
         F.flatten(F.collect_list("found")).alias("found"), F.flatten(F.collect_list("sims")).alias("new")
     )
     rows = state.join(told, "query", "left").select(
-        "query", "code", "pool", "sims", F.array_union("opened", "next").alias("opened"),
+        "query", "vector", "pool", "sims", F.array_union("opened", "next").alias("opened"),
         F.coalesce("found", F.array().cast("array<bigint>")).alias("found"), F.coalesce("new", F.array().cast("array<double>")).alias("new"),
     )
-    fields = "query:int64 code:binary pool:longs sims:doubles opened:longs next:longs"
+    fields = "query:int64 vector:doubles pool:longs sims:doubles opened:longs next:longs"
     schema = arrow_schema(fields)
-    held = max(POOL, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -421,14 +461,10 @@ def _next_state(state: DataFrame, measured: DataFrame, most: int, top: int) -> D
                 pool, sims, opened, found, new = (batch.column(i)[row].values.to_numpy() for i in (2, 3, 4, 5, 6))
                 ids, first = np.unique(np.r_[pool, found], return_index=True)
                 s = np.r_[sims, new][first]
-                order = np.lexsort((ids, -s))
-                # what rounding alone may keep from the best stays, and is opened, whatever its number
-                ties = int((s >= s[order[min(top, len(s) - 1)]] - 2 * ERROR).sum()) if len(s) else 0
-                order = order[: max(held, ties)]
+                order = np.lexsort((ids, -s))[:held]
                 pool, s = ids[order], s[order]
-                left = pool[: max(most, ties)]
-                left = left[~np.isin(left, opened)][: OPEN if ties <= most else None]
-                for column, value in zip(out, (pool, s, opened, left), strict=True):
+                is_open = np.isin(pool, opened)
+                for column, value in zip(out, (pool, s, pool[is_open], pool[~is_open][:OPEN]), strict=True):
                     column.append(value)
             arrays = [pa.array(c, t.type) for c, t in zip(out, list(schema)[2:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], schema=schema)
@@ -453,28 +489,19 @@ def nearest(
     asked = stored(distinct_vectors(queries, key, vector), "asked")
     # equal vectors are one node, named by its smallest id; the smallest top + 1 ids of a node can be in a result
     named = vectors.groupBy("vector").agg(F.min("id").alias("id"))
-    nodes = stored(named.select("id", "vector", F.sqrt(inner_product(F.col("vector"), F.col("vector"))).alias("norm")), "nodes")
+    largest = F.array_max(F.transform("vector", lambda x: F.abs(x)))
+    scaled = F.transform("vector", lambda x: x / largest)
+    nodes = stored(named.select("id", "vector", (largest * F.sqrt(inner_product(scaled, scaled))).alias("norm")), "nodes")
     facts = nodes.agg(F.count("*").alias("n"), F.max("norm").alias("longest"), F.max(F.size("vector")).alias("width")).first()
     if not facts["n"]:
         return rows.sparkSession.createDataFrame([], f"query_id bigint, rank int, {key} bigint, score double")
     n, width, longest = facts["n"], facts["width"], facts["longest"]
-    codes = stored(coded(nodes, width, longest), "codes")
-    graph = neighbour_graph(codes, width, n)
+    graph = neighbour_graph(stored(coded(nodes, width, longest), "codes"), width, n)
     # queries of equal vectors are searched once
     distinct = asked.groupBy("vector").agg(F.min("id").alias("query"))
     distinct = stored(distinct.join(nodes.select("vector", F.col("id").alias("start")), "vector", "left"), "queries")
-    unit = F.sqrt(inner_product(F.col("vector"), F.col("vector")))
-    direction = distinct.select(F.col("query").alias("id"), F.transform("vector", lambda x: x / unit).alias("vector"))
-    seek = coded(direction.select("id", "vector"), max(width, 1), 1.0).withColumnRenamed("id", "query")
-    seek = distinct.select("query", "start").join(seek, "query")
     long = [r["id"] for r in nodes.orderBy(F.desc("norm"), "id").select("id").limit(ENTRIES).collect()]
-    pools = greedy_search(seek, codes, graph, n, long, top)
-    pairs = pools.select("query", F.explode("pool").alias("node"))
-    own = distinct.where("start IS NOT NULL").select("query", F.col("start").alias("node"))
-    pairs = pairs.unionByName(own).distinct()
-    there = nodes.select(F.col("id").alias("node"), F.col("vector").alias("there"))
-    scored = pairs.join(there, "node").join(distinct.select("query", F.col("vector").alias("here")), "query")
-    scored = stored(scored.select("query", "node", inner_product(F.col("here"), F.col("there")).alias("score")), "scored")
+    scored = stored(greedy_search(distinct, nodes, graph, n, width, long, top), "scored")
     rank = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     member = vectors.withColumn("rank", rank).where(F.col("rank") <= top + 1).select("vector", "id")
     member = member.join(nodes.select("vector", F.col("id").alias("node")), "vector").select("node", F.col("id").alias(key))

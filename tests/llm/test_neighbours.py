@@ -114,6 +114,43 @@ def test_noisy_copies_and_heavy_tailed_norms(spark):
         assert np.mean([len({j for _, j, _ in got[q]} & set(true[q].tolist())) / 20 for q in got]) >= 0.95
 
 
+def recall(got, x):
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    true = np.argsort(-s, 1, kind="stable")[:, :20]
+    return np.mean([len({j for _, j, _ in got[q]} & set(true[q].tolist())) / 20 for q in got])
+
+
+@pytest.mark.parametrize("ratio", [1e2, 1e4, 1e6])
+def test_one_long_vector_spoils_nothing(spark, ratio):
+    x = np.random.default_rng(9).standard_normal((2000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[77] *= ratio
+    x = x.astype(np.float32).astype(float)
+    got = run(spark, [(i, v.tolist(), 0, 0, 0.0, "") for i, v in enumerate(x)])
+    assert len(got) == 100 and recall(got, x) >= 0.95
+
+
+@pytest.mark.parametrize("noise", [0.001, 0.0003, 0.0001])
+def test_near_copies_at_any_noise(spark, noise):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1, 32))
+    x = x / np.linalg.norm(x) + noise * rng.standard_normal((2000, 32))
+    x = x.astype(np.float32).astype(float)
+    got = run(spark, [(i, v.tolist(), 0, 0, 0.0, "") for i, v in enumerate(x)])
+    assert len(got) == 100 and recall(got, x) >= 0.95
+
+
+def test_distances_keep_apart_far_below_the_longest():
+    rng = np.random.default_rng(2)
+    x = np.r_[rng.standard_normal((50, 8)) * 1e-6, [[1.0] + [0.0] * 7]]
+    norm = np.linalg.norm(x, axis=1)
+    got = neighbours.nearness(neighbours.squared_distances(x, x, norm, norm))
+    true = ((x[:50, None] - x[None, :50]) ** 2).sum(2)
+    off = ~np.eye(50, dtype=bool)
+    assert np.allclose(got[:50, :50][off], -np.log2(true[off]), atol=1e-4)
+
+
 def test_no_more_than_the_cap_meet_at_a_hub(spark):
     """A star: the hub is the nearest of every node, yet a task compares at most DEGREE + REVERSE nodes at it."""
     rows = [(i, ([0] if i else []) + [1 + (i + k) % 399 for k in range(1, 32)], [0.9] * (31 + (i > 0))) for i in range(400)]
