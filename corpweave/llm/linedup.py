@@ -17,7 +17,8 @@ Bounds: a shard's index has about 20 bytes per hash, a probing task ``PROBES`` h
 
 Cases: null and empty texts are one empty line, which is never dropped; a null id counts as one document below all
 others; rows of one id are one document, and all of them keep or lose the key's lines; repeated lines inside a
-document go or stay together; an empty table gives no rows; other columns pass through ``drop_lines`` untouched.
+document go or stay together; ids may be any bigint; very long texts are taken whole; an empty table gives no rows; other
+columns pass through ``drop_lines`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,14 +32,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.common import arrow_map, arrow_schema, meet, stored, to_batch
+from corpweave.llm.common import arrow_map, arrow_schema, meet, stored, to_batch, unused
 
 LEAST_CHARS, LEAST_DOCS = 40, 5
 SHARD, PROBES = 8_192, 65_536
 #: Bits per hash in a level, and the levels before what is left is looked up in a sorted list.
 ROOM, LEVELS = 2, 24
-#: Stands for a null document id.
-NO_ID = -(1 << 63)
 
 
 def line_key(line: bytes) -> bytes:
@@ -125,6 +124,11 @@ class PerfectHash:
         return cls(bits, np.frombuffer(rest, np.int64).reshape(-1, 2))
 
 
+def split_nulls(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the integers are null, and their values with 0 for null."""
+    return column.is_null().to_numpy(), column.fill_null(0).to_numpy()
+
+
 def line_hashes(docs: DataFrame) -> DataFrame:
     """(doc_id, high, low) of the long enough line keys of every whole text, once per row."""
     schema = arrow_schema("doc_id:int64 high:int64 low:int64")
@@ -136,32 +140,34 @@ def line_hashes(docs: DataFrame) -> DataFrame:
                 rows += [(i, *key_hash(key)) for key in {key for _, key in long_keys(text)}]
             yield to_batch(rows, schema)
 
-    given = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), "text")
+    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return arrow_map(given, run, "doc_id:int64 high:int64 low:int64")
 
 
-INDEX = "shard:int32 bits:binary sizes:longs rest:binary prints:binary counts:binary keepers:binary"
+INDEX = "shard:int32 bits:binary sizes:longs rest:binary prints:binary counts:binary keepers:binary nameless:binary"
 
 
 def build_index(hashes: DataFrame) -> tuple[DataFrame, int]:
     """The index and its number of shards. One row per shard: its perfect hash and the arrays that its slots index."""
     counted = hashes.groupBy("high", "low").agg(
-        F.count_distinct("doc_id").alias("docs"), F.max("doc_id").alias("keeper")
+        (F.count_distinct("doc_id") + F.max(F.col("doc_id").isNull().cast("int"))).alias("docs"), F.max("doc_id").alias("keeper")
     )
     counted = stored(counted, "line-counts")
     shards = max(1, -(-counted.count() // SHARD))
     schema = arrow_schema(INDEX)
 
     def build(group: pa.Table) -> pa.Table:
-        high, low, docs, keeper, shard = (group.column(i).to_numpy() for i in range(5))
+        high, low, docs, shard = (group.column(c).to_numpy() for c in ("high", "low", "docs", "shard"))
+        nameless, keeper = split_nulls(group.column("keeper"))
         table = PerfectHash.build(high, low)
         order = np.argsort(table.slots(high, low))
-        arrays = (low.astype(np.uint32)[order], np.minimum(docs, 0xFFFFFFFF).astype(np.uint32)[order], keeper[order])
+        arrays = (low.astype(np.uint32)[order], np.minimum(docs, 0xFFFFFFFF).astype(np.uint32)[order], keeper[order], nameless[order])
         row = (int(shard[0]), *table.dump(), *(a.tobytes() for a in arrays))
         return pa.Table.from_batches([to_batch([row], schema)])
 
     dealt = counted.withColumn("shard", F.pmod("high", F.lit(shards)).cast("int"))
-    columns = "shard int, bits binary, sizes array<bigint>, rest binary, prints binary, counts binary, keepers binary"
+    columns = "shard int, bits binary, sizes array<bigint>, rest binary, prints binary, counts binary, "
+    columns += "keepers binary, nameless binary"
     return stored(dealt.groupBy("shard").applyInArrow(build, columns), "line-index"), shards
 
 
@@ -176,11 +182,13 @@ def probe(hashes: DataFrame, index: DataFrame, shards: int, least_docs: int = LE
         row = tables.slice(0, 1).to_pylist()[0]
         table = PerfectHash.load(row["bits"], row["sizes"], row["rest"])
         prints, counts = (np.frombuffer(row[c], np.uint32) for c in ("prints", "counts"))
-        keepers = np.frombuffer(row["keepers"], np.int64)
-        doc, high, low = (lines.column(c).to_numpy() for c in ("doc_id", "high", "low"))
+        keepers, nobody = np.frombuffer(row["keepers"], np.int64), np.frombuffer(row["nameless"], bool)
+        high, low = (lines.column(c).to_numpy() for c in ("high", "low"))
+        nameless, doc = split_nulls(lines.column("doc_id"))
         slot = table.slots(high, low)
-        drop = (slot >= 0) & (prints[slot] == low.astype(np.uint32)) & (counts[slot] >= least_docs) & (keepers[slot] != doc)
-        return pa.table([pa.array(a[drop]) for a in (doc, high, low)], schema=schema)
+        other = (keepers[slot] != doc) | (nobody[slot] != nameless)
+        drop = (slot >= 0) & (prints[slot] == low.astype(np.uint32)) & (counts[slot] >= least_docs) & other
+        return pa.table([pa.array(doc[drop], mask=nameless[drop]), pa.array(high[drop]), pa.array(low[drop])], schema=schema)
 
     return meet(asked, index, "shard", look_up, "doc_id bigint, high bigint, low bigint", PROBES)
 
@@ -202,11 +210,11 @@ def kept_lines(text: str | None, drop: list | None) -> tuple[int, int, str]:
     return len(lines), len(lines) - len(kept), b"\n".join(kept).decode()
 
 
-def with_drops(docs: DataFrame) -> DataFrame:
-    """``docs`` and the column ``__drop``."""
-    to_drop = lines_to_drop(docs).select(F.col("doc_id").alias("__drop_id"), F.col("drop").alias("__drop"))
-    own = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID))
-    return docs.join(to_drop, own == F.col("__drop_id"), "left").drop("__drop_id")
+def with_drops(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` and a column of the hashes to drop; its name."""
+    drop, of = unused("drop", docs.columns), unused("drop_of", docs.columns)
+    to_drop = lines_to_drop(docs).select(F.col("doc_id").alias(of), F.col("drop").alias(drop))
+    return docs.join(to_drop, F.col("doc_id").cast("bigint").eqNullSafe(F.col(of)), "left").drop(of), drop
 
 
 def line_digests(docs: DataFrame) -> DataFrame:
@@ -223,7 +231,8 @@ def line_digests(docs: DataFrame) -> DataFrame:
             yield to_batch(rows, schema)
 
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return arrow_map(with_drops(own).select("doc_id", "text", "__drop"), run, fields)
+    marked, drop = with_drops(own)
+    return arrow_map(marked.select("doc_id", "text", drop), run, fields)
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
@@ -233,4 +242,5 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     def rewrite(texts, drops):  # noqa: ANN001, ANN202
         return texts.combine(drops, lambda t, d: t if t is None else kept_lines(t, None if d is None else list(d))[2])
 
-    return with_drops(docs).withColumn("text", rewrite("text", "__drop")).select(docs.columns)
+    marked, drop = with_drops(docs)
+    return marked.withColumn("text", rewrite("text", drop)).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -7,7 +7,7 @@ are dealt into ``BLOCKS`` blocks, at most ``distance`` of which can differ at al
 the same unit cell of at least one projection on ``BLOCKS - distance`` blocks. The range join is therefore an
 equi-join on (projection, cell), followed by the Manhattan bound and then by the exact Hamming distance.
 
-Only distinct fingerprints are joined, each with its smallest document id. Fingerprints of a cell meet in a task that
+Only distinct fingerprints are joined, and documents' ids are looked up at the end. Fingerprints of a cell meet in a task that
 compares them in blocks and hands on no pairs but a spanning forest of the links it found; cells beyond ``CELL`` rows
 are cut into chunks, and every two chunks meet in a unit of their own. Components come from join rounds.
 
@@ -16,7 +16,8 @@ A cell of m distinct fingerprints costs m * m / 2 comparisons, spread over its u
 
 Cases: texts without words (null or empty too) have fingerprint zero and are linked like any other; repeated rows
 share their component; rows with null ids take part, and the smallest id that is not null names the component (null
-where there is none); an empty table gives no rows; columns besides the two named are ignored.
+where there is none); ids may be any bigint; an empty table gives no rows; columns besides the two named are ignored by
+``near_duplicates`` and pass through ``one_of_each``, whatever their names; very long texts are taken whole.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.common import arrow_map, arrow_schema, stored, text_or_empty
+from corpweave.llm.common import arrow_map, arrow_schema, stored, text_or_empty, unused
 from corpweave.llm.components import components
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
@@ -38,8 +39,6 @@ SHINGLE, SEED, DISTANCE = 3, 42, 3
 BLOCKS = ((0, 6), (6, 12), (12, 17), (17, 22), (22, 27), (27, 32))
 #: Most rows of a cell that are compared as one unit; units up to SMALL are compared by shifting.
 CELL, SMALL = 4096, 24
-#: Document ids lie below this.
-NO_ID = 1 << 62
 LOW = np.uint64(0x5555555555555555)
 ONE = np.uint64(1)
 
@@ -229,35 +228,36 @@ def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, print, component_id) for every row; component_id is the smallest id reachable over links."""
-    prints = stored(fingerprints(docs, shingle, key, text), "simhash-prints")
+    prints = stored(fingerprints(docs, shingle, key, text).drop("digest"), "simhash-prints")
     reps = stored(prints.groupBy("print").agg(F.min("doc_id").alias("rep")), "simhash-reps")
-    # prints without any id get a stand-in beyond all ids, turned back into null at the end
-    stand_in = F.lit(NO_ID) + F.pmod(F.xxhash64("print"), F.lit(NO_ID))
-    named = reps.select(F.coalesce("rep", stand_in).alias("rep"), "print")
-    roots = components(near_links(named, distance), "simhash-components")
-    found = named.join(roots, named["rep"] == roots["node"], "left").select(
-        "print", F.coalesce("root", "rep").alias("component_id")
-    )
-    found = found.withColumn("component_id", F.when(F.col("component_id") < NO_ID, F.col("component_id")))
+    groups = print_groups(reps, distance).join(reps, "print")
+    least = groups.groupBy("group").agg(F.min("rep").alias("component_id"))
+    found = groups.join(least, "group").select("print", "component_id")
     return prints.join(found, "print").select(F.col("doc_id").alias(key), "print", "component_id")
 
 
+def print_groups(prints: DataFrame, distance: int) -> DataFrame:
+    """(print, group) for the stored distinct fingerprints: the smallest one reachable over links names the group."""
+    roots = components(near_links(prints.select(F.col("print").alias("rep"), "print"), distance), "simhash-components")
+    return prints.select("print").join(roots, prints["print"] == roots["node"], "left").select("print", F.coalesce("root", "print").alias("group"))
+
+
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of every group of near copies: that of its smallest id, or one without an id where none has any.
 
-    Fingerprints are the nodes here, so rows without ids are linked like others, and texts that share an id are not.
-    Rows are told apart by id and digest of the text. Rows alike in both are rare; only they are shuffled whole again.
+    Rows without ids are linked like others, and texts that share an id are not. Rows are told apart by id and digest of
+    the text. Rows alike in both are rare; only they are shuffled whole again. Columns of any name pass through.
     """
     found = stored(fingerprints(docs, shingle), "simhash-found")
     prints = stored(found.select("print").distinct(), "simhash-prints")
-    roots = components(near_links(prints.select(F.col("print").alias("rep"), "print"), distance), "simhash-components")
-    groups = prints.join(roots, prints["print"] == roots["node"], "left").select("print", F.coalesce("root", "print").alias("group"))
-    rows = found.groupBy("doc_id", "digest", "print").agg(F.count("*").alias("times")).join(groups, "print")
+    rows = found.groupBy("doc_id", "digest", "print").agg(F.count("*").alias("times")).join(print_groups(prints, distance), "print")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest", "times")).alias("first")
     chosen = rows.groupBy("group").agg(first).select("first.doc_id", "first.digest", "first.times")
-    chosen = stored(chosen.toDF("_chosen", "_of", "_times"), "simhash-chosen")
-    marked = docs.withColumn("_id", F.col("doc_id").cast("bigint")).withColumn("_digest", text_digest())
-    same = F.col("_id").eqNullSafe(F.col("_chosen")) & (F.col("_digest") == F.col("_of"))
-    single = marked.join(chosen.where("_times = 1"), same, "left_semi")
-    repeated = marked.join(chosen.where("_times > 1"), same, "left_semi").dropDuplicates(["_id", "_digest"])
-    return single.unionByName(repeated).select(docs.columns)
+    chosen = stored(chosen.toDF("chosen_id", "chosen_digest", "chosen_times"), "simhash-chosen")
+    own, digest, *theirs = (unused(c, docs.columns) for c in ("own_id", "own_digest", *chosen.columns))
+    chosen = chosen.toDF(*theirs)
+    marked = docs.withColumn(own, F.col("doc_id").cast("bigint")).withColumn(digest, text_digest())
+    same = F.col(own).eqNullSafe(F.col(theirs[0])) & (F.col(digest) == F.col(theirs[1]))
+    single = marked.join(chosen.where(F.col(theirs[2]) == 1), same, "left_semi")
+    repeated = marked.join(chosen.where(F.col(theirs[2]) > 1), same, "left_semi").dropDuplicates([own, digest])
+    return single.unionByName(repeated).select(*(F.col(f"`{c}`") for c in docs.columns))

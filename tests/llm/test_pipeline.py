@@ -2,9 +2,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
-from corpweave.llm import secrets, simhash
+from corpweave.llm import linedup, secrets, simhash
 from corpweave.llm.common import table
 
+from .conftest import CLASHES
 from .test_linedup import brute as brute_lines
 from .test_simhash import brute_components
 
@@ -68,6 +69,41 @@ def test_empty_documents_pass_through_all_stages(spark):
     assert docs.count() == 0
 
 
+def test_stages_leave_columns_of_any_name_alone(spark, clashing):
+    given = {tuple(r[c] for c in CLASHES): (r["doc_id"], r["text"]) for r in clashing.collect()}
+    docs = clashing
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, FOLDER)
+        assert after.columns == clashing.columns, name
+        rows = after.collect()
+        assert rows and all(tuple(r[c] for c in CLASHES) in given for r in rows), name
+        assert all(given[tuple(r[c] for c in CLASHES)][0] == r["doc_id"] for r in rows), name
+        docs = spark.createDataFrame(rows, after.schema)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert sorted(r["doc_id"] or 0 for r in pieces.collect()) == sorted(r["doc_id"] or 0 for r in docs.collect())
+
+
+def test_edge_ids_against_brute_force(spark, clashing):
+    rows = [(r["doc_id"], r["text"]) for r in clashing.collect()]
+    wanted = {(i, digest) for i, _, _, digest in brute_lines(rows)}
+    got = linedup.line_digests(clashing).collect()
+    assert {(r["doc_id"], r["kept_sha256"]) for r in got} == wanted and len(got) == len(rows)
+    prints = {}
+    for i, text in rows:
+        prints.setdefault(simhash.fingerprint(text or ""), []).append(i)
+    near = lambda a, b: bin(a ^ b).count("1") <= 3
+    groups = []
+    for p in prints:
+        joined = [g for g in groups if any(near(p, q) for q in g)]
+        groups = [g for g in groups if g not in joined] + [{p}.union(*joined)]
+    smallest = {p: min((i for q in g for i in prints[q] if i is not None), default=None) for g in groups for p in g}
+    found = simhash.near_duplicates(clashing).collect()
+    expected = sorted(((i, smallest[p]) for p, ids in prints.items() for i in ids), key=repr)
+    assert sorted(((r["doc_id"], r["component_id"]) for r in found), key=repr) == expected
+    left = [r["doc_id"] for r in simhash.one_of_each(clashing).collect()]
+    assert sorted(left, key=repr) == sorted((smallest[min(g)] for g in groups), key=repr)
+
+
 def test_registered_once_per_operator():
     names = [n for n in entry_point.queries() if n.startswith("op")]
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
