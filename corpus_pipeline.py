@@ -8,6 +8,13 @@ the last return the columns of documents; ``n_chars`` follows the text.
 * near-dedup: one document of each group of near copies stays, the one with the smallest id.
 * secrets: every span found is replaced by a placeholder; documents stay.
 * packing: the token pieces of what is left, placed in sequences.
+
+Cases, at every stage: a null text counts as empty and stays null until packing, where it is one piece of the single id 0;
+empty and blank texts are clean, have no lines to drop and no secrets, and share the fingerprint zero, so one of them stays;
+very long texts are taken whole; rows without an id take part like others, and in a group of near copies give way to rows
+with one; of repeated rows one stays; ties go to the smaller id; texts that share an id but are no copies both stay; an
+empty table stays empty. Columns of any name pass through all stages but the last: helper columns are named so that they
+differ from all given ones.
 """
 
 from __future__ import annotations
