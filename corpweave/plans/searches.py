@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpweave.operators import search as s
+from corpweave.operators import vector_index as v
 from corpweave.plans import oracle as o
-from corpweave.plans.domain import DIM, Tables
+from corpweave.plans.domain import Tables
+from corpweave.session import scratch_path
 from corpweave.specs import INTENT_BOOSTS, TEXT_SEARCH_BOOSTS
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -251,30 +253,20 @@ def search_batch_knn(t: Tables) -> DataFrame:
     return _out(s.search_knn_batch(t.serving(), queries, "embedding_global_vector", SIZE))
 
 
-_PLANES = ", ".join(f"({i}, CAST({row} AS DOUBLE[]))" for i, row in enumerate(s.hash_planes(DIM, 128)))
-_UNIT = "list_transform({v}, lambda x: x / sqrt(list_dot_product({v}, {v})))"
-_SLOTS = """SELECT id, plane // 8 AS band, string_agg(CAST(CAST(floor(list_dot_product(v, c) / 0.3) AS BIGINT) AS VARCHAR), ',' ORDER BY plane) AS bucket
-FROM {units}, planes GROUP BY id, plane // 8"""
-
-
 @query(
-    "search_knn_lsh",
+    "search_knn_index",
     o.query(
         _top("pairs"),
         "gold",
         extra={
-            "planes": f"SELECT * FROM (VALUES {_PLANES}) p(plane, c)",
-            "doc_units": f"SELECT hk AS id, {_UNIT.format(v='embedding_global_vector')} AS v FROM gold WHERE embedding_global_vector IS NOT NULL",
-            "query_units": f"SELECT vec_id AS id, {_UNIT.format(v='e')} AS v FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)",
-            "doc_slots": _SLOTS.format(units="doc_units"),
-            "query_slots": _SLOTS.format(units="query_units"),
-            "met": "SELECT DISTINCT q.id AS qid, d.id AS did FROM doc_slots d JOIN query_slots q USING (band, bucket)",
-            "pairs": """SELECT qid AS query_id, did AS hk, round((1 + list_dot_product(d.v, q.v)) / 2, 9) AS score
-FROM met JOIN doc_units d ON d.id = did JOIN query_units q ON q.id = qid""",
+            "pairs": """SELECT vec_id AS query_id, hk, round((1 + list_cosine_similarity(embedding_global_vector, CAST(embedding AS DOUBLE[]))) / 2, 9) AS score
+FROM gold, embeddings WHERE embedding_global_vector IS NOT NULL AND vec_id % 50 = 0"""
         },
     ),
 )
-def search_knn_lsh(t: Tables) -> DataFrame:
-    queries = t["embeddings"].select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
-    # the buckets its SQL is written for; the operator's own defaults find far more (README)
-    return _out(s.search_knn_approximate(t.serving(), queries, "embedding_global_vector", SIZE, rows=8, bucket_length=0.3, fewest=0))
+def search_knn_index(t: Tables) -> DataFrame:
+    """Every 50th vector asked of a stored index of inverted lists."""
+    path = scratch_path(t.spark, "vector-index")
+    index = v.build_vector_index(t.serving(), "embedding_global_vector", path)
+    queries = t["embeddings"].filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
+    return _out(v.search_index(index, queries, SIZE))
