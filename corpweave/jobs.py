@@ -213,17 +213,22 @@ def index_search(space: Workspace) -> int:
 def audit_table(space: Workspace, name: str, total_rows: int = sample.SAMPLE_SIZE, whole: bool = False) -> DataFrame:
     """Audit the current state of a table, on a sample by its partition column or as a whole.
 
-    Returns the results; the verdict is :func:`corpweave.operators.audit.verdict` of them.
+    In the sample every partition has its share of ``total_rows``, and one row at least; the run's record holds the rows by
+    partition of the table and of the sample. Returns the results; the verdict is :func:`corpweave.operators.audit.verdict` of them.
     """
     started = _now()
     rows = space.current(name)
-    key = "id__company" if name == INTEGRATED else SOURCES[name].key
-    rules = audit.silver_rules(key)
+    key, group = ("id__company", "loc__iso2_country_code") if name == INTEGRATED else (SOURCES[name].key, SOURCES[name].partition)
+    rules, counts = audit.silver_rules(key), {}
     if not whole:
-        winners = sample.uniform_sample(rows, key, total_rows)
+        winners = stored(sample.stratified_sample(rows, key, group, total_rows), f"{name}-sample")
+        counts = {
+            "raw_distribution": sample.distribution_map(rows, group),
+            "sampled_distribution": sample.distribution_map(winners, group),
+        }
         rows = sample.fetch_sample(rows, winners, key, *audit.audit_columns(rules, rows.columns, key))
     results = stored(audit.audit(rows, key, rules), f"{name}-audit")
-    space.record("audit", name, started, space.version(name))
+    space.record("audit", name, started, space.version(name), counts)
     return results
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpweave.operators.joins import top_k
+from corpweave.session import stored
 
 SAMPLE_SIZE = 1000
+#: Groups named in the record of a run.
+MOST_GROUPS = 300
 
 
 def uniform_draw(key: Column, seed: str = "") -> Column:
@@ -50,6 +53,31 @@ def uniform_sample(df: DataFrame, key: str, k: int = SAMPLE_SIZE, seed: str = ""
     return weighted_sample(df, key, k=k, seed=seed)
 
 
+def stratified_sample(df: DataFrame, key: str, group: str, k: int = SAMPLE_SIZE, seed: str = "") -> DataFrame:
+    """(key, group, score, group_rows) of a sample in which every group has its share of ``k`` rows, and one at least.
+
+    The table is read once, for keys, groups and draws; group sizes and winners come from these. A group's quota is its
+    share of ``k``, rounded up, so the sample has at most ``k`` rows and one more per group; null is a group too. Spark cuts
+    each task's rows to the ``k`` best of a group before they are moved, so a hot group is no hot task.
+    """
+    draws = stored(df.select(key, group, uniform_draw(F.col(key), seed).alias("score")), "sample-draws")
+    sizes = draws.groupBy(F.col(group).alias("_group")).agg(F.count(F.lit(1)).alias("group_rows"))
+    total = draws.count()
+    quota = F.greatest(F.lit(1), F.ceil(F.col("group_rows") * k / F.lit(max(total, 1))))
+    best = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("score"), F.asc(key)))
+    winners = draws.withColumn("_place", best).filter(F.col("_place") <= max(k, 1))
+    met = winners.join(sizes, F.col(group).eqNullSafe(F.col("_group"))).filter(F.col("_place") <= quota)
+    return met.select(key, group, "score", "group_rows")
+
+
+def distribution_map(df: DataFrame, group: str, most: int = MOST_GROUPS) -> dict[str, int]:
+    """Rows per group, for a run's record: the ``most`` frequent groups by name, all others together under ``*``."""
+    counts = distribution(df, group)
+    named = {r[group] or "null": r["count"] for r in counts.limit(most).collect()}
+    others = df.count() - sum(named.values())
+    return {**named, "*": others} if others else named
+
+
 def fetch_sample(df: DataFrame, winners: DataFrame, key: str, *columns: str) -> DataFrame:
     """Full rows of the winners. Spark knows the winners' number from the limit and broadcasts a small sample."""
     rows = df.select(*dict.fromkeys([key, *columns])) if columns else df

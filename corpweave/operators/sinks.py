@@ -10,7 +10,8 @@ from corpweave.operators.gold import to_ndjson
 CHUNK_ROWS = 10_000
 LEDGER_SCHEMA = (
     "run_id string, context string, data_source string, input string, output string, "
-    "start_timestamp timestamp, end_timestamp timestamp, success bigint, failures bigint, total bigint"
+    "start_timestamp timestamp, end_timestamp timestamp, success bigint, failures bigint, total bigint, "
+    "raw_distribution map<string,bigint>, sampled_distribution map<string,bigint>"
 )
 
 

@@ -324,6 +324,33 @@ def audit_sampled(t: Tables) -> DataFrame:
     return audits.audit(sample.fetch_sample(rows, _weighted(t), "id__company", *columns), "id__company", rules)
 
 
+_STRATIFIED = f"""SELECT r.* FROM (SELECT *, row_number() OVER (PARTITION BY loc__country ORDER BY {_U.format(seed="'strata'")} DESC, id__company) AS place,
+  count(*) OVER (PARTITION BY loc__country) AS n, count(*) OVER () AS total FROM registry) r WHERE place <= greatest(1, ceil(n * {_K} / CAST(total AS DOUBLE)))"""
+
+
+@query(
+    "audit_stratified",
+    o.query(_audit_sql("sampled"), "registry", extra={"sampled": _STRATIFIED}),
+)
+def audit_stratified(t: Tables) -> DataFrame:
+    """The audit of a sample in which every country has its share."""
+    rows = t.registry()
+    rules = audits.silver_rules("id__company")
+    columns = audits.audit_columns(rules, rows.columns, "id__company")
+    winners = sample.stratified_sample(rows, "id__company", "loc__country", _K, seed="strata")
+    return audits.audit(sample.fetch_sample(rows, winners, "id__company", *columns), "id__company", rules)
+
+
+@query(
+    "sample_stratified",
+    o.query(f"SELECT id__company, loc__country, n AS group_rows FROM ({_STRATIFIED})", "registry"),
+)
+def sample_stratified(t: Tables) -> DataFrame:
+    """Which rows that sample holds, and how many rows their countries have."""
+    winners = sample.stratified_sample(t.registry(), "id__company", "loc__country", _K, seed="strata")
+    return winners.select("id__company", "loc__country", "group_rows")
+
+
 @query(
     "audit_verdict",
     o.query(

@@ -67,3 +67,20 @@ def test_sampled_audit_reads_audited_columns_only(people):
     winners = sample.uniform_sample(people, "id__company", 30)
     fetched = sample.fetch_sample(people, winners, "id__company", "cnt__employees")
     assert fetched.columns == ["id__company", "cnt__employees"] and fetched.count() == 30
+
+
+def test_stratified_sample_gives_every_group_its_share(spark):
+    rows = [(f"c{i:04d}", "big" if i % 10 else f"small{i % 3}") for i in range(1000)] + [("lone", "one"), ("none", None)]
+    people = spark.createDataFrame(rows, "id string, place string").repartition(5)
+    got = sample.stratified_sample(people, "id", "place", 100).collect()
+    sizes, drawn = {}, {}
+    for _, g in rows:
+        sizes[g] = sizes.get(g, 0) + 1
+    for r in got:
+        drawn[r["place"]] = drawn.get(r["place"], 0) + 1
+        assert r["group_rows"] == sizes[r["place"]]
+    assert drawn == {g: max(1, -(-n * 100 // len(rows))) for g, n in sizes.items()}
+    again = sample.stratified_sample(people.repartition(2), "id", "place", 100).collect()
+    assert {r["id"] for r in got} == {r["id"] for r in again}
+    assert sample.stratified_sample(people.filter("false"), "id", "place", 100).count() == 0
+    assert sample.distribution_map(people, "place", 2) == {"big": 900, "small0": sizes["small0"], "*": 1002 - 900 - sizes["small0"]}

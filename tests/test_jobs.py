@@ -37,6 +37,8 @@ def test_the_whole_flow_and_its_rerun(spark, raw_dir, embeddings_raw, tmp_path):
     assert [r.company_id for r in found.collect()] == ["PT-0417"]
     assert audit.verdict(jobs.audit_table(space, "registry")).first().passed
     assert audit.verdict(jobs.audit_table(space, "integrated", whole=True)).first().passed
+    record = space.runs().filter("context = 'audit' AND data_source = 'registry'").first()
+    assert sum(record.raw_distribution.values()) == 5 and record.raw_distribution == record.sampled_distribution
 
     # one changed company travels through all tables, and only it
     changed = tmp_path / "dataset_1_new.jsonl"
