@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,20 +54,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-_written: list[str] = []
+#: Folders of the innermost ``released`` block; every thread has blocks of its own.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 @contextmanager
 def released(spark: SparkSession) -> Iterator[None]:
     """Delete the stored frames that are made inside the block once it ends; results must be written elsewhere by then."""
-    before = len(_written)
+    paths: list[str] = []
+    outer = _written.set(paths)
     try:
         yield
     finally:
-        for path in _written[before:]:
+        _written.reset(outer)
+        for path in paths:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-        del _written[before:]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -75,7 +78,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Unlike a checkpoint the table keeps column pruning and filter push-down.
     """
     path = scratch_path(df.sparkSession, name)
-    _written.append(path)
+    paths = _written.get()
+    if paths is not None:
+        paths.append(path)
     df.write.option("compression", "snappy").parquet(path)
     return df.sparkSession.read.parquet(path)
 

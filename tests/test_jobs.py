@@ -100,3 +100,25 @@ def test_rolled_back_records_leave_every_table(spark, raw_dir, embeddings_raw, t
     assert [jobs.integrate_sources(space), jobs.serve_gold(space), jobs.index_search(space)] == [2, 2, 2]
     assert space.current("integrated").count() == space.current("gold").count() == 5
     assert [r.value for r in spark.read.text(space.documents + "/deleted/version=2").collect()] == ['{"delete":{"_id":"%s"}}' % gone]
+
+
+def test_scratch_tables_belong_to_the_block_that_made_them(spark):
+    from threading import Thread
+
+    from corpweave.session import released, stored
+
+    def other():
+        with released(spark):
+            stored(spark.range(2), "theirs")
+
+    with released(spark):
+        kept = stored(spark.range(3), "ours")
+        with released(spark):
+            stored(spark.range(4), "inner")
+        thread = Thread(target=other)
+        thread.start()
+        thread.join()
+        assert kept.count() == 3
+        folder = kept.inputFiles()[0].rsplit("/", 1)[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
