@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpweave.operators import intents as many
 from corpweave.operators import search as s
 from corpweave.operators import vector_index as v
 from corpweave.plans import oracle as o
@@ -270,3 +271,77 @@ def search_knn_index(t: Tables) -> DataFrame:
     index = v.build_vector_index(t.serving(), "embedding_global_vector", path)
     queries = t["embeddings"].filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
     return _out(v.search_index(index, queries, SIZE))
+
+
+# Intents of every kind, one a benchmark text: (column, when it is given, its value), the same words in both engines.
+_INTENT_COLUMNS = (
+    ("query_text", "i % 4 IN (0, 2)", "text"),
+    ("country", "i % 5 = 1", "concat('NATION_', CAST(i % 25 AS STRING))"),
+    ("company_id", "i % 16 = 3", "concat('cmp_', CAST(i AS STRING))"),
+    ("min_employees", "i % 3 = 2", "i * 7"),
+    ("max_employees", "i % 7 = 2", "4000"),
+    ("min_founded_year", "i % 6 = 3", "1950 + i % 60"),
+    ("max_founded_year", "i % 9 = 3", "2010"),
+    ("min_revenue", "i % 10 = 5", "5"),
+    ("max_revenue", "i % 10 = 7", "100"),
+)
+_SOME_TEXT_FIELDS = ("industry", "description_long")
+
+
+def _intents_sql() -> str:
+    columns = ", ".join(f"CASE WHEN {when} THEN {value} END AS {name}" for name, when, value in _INTENT_COLUMNS)
+    fields, vectors = (", ".join(f"'{f}'" for f in names) for names in (_SOME_TEXT_FIELDS, _FIELDS))
+    return f"""SELECT i AS query_id, 1 + i % 12 AS k, {columns}, CASE WHEN i % 3 = 0 THEN [{fields}] END AS fields,
+  CASE WHEN i % 4 IN (1, 2) THEN CAST(embedding AS DOUBLE[]) END AS vector,
+  CASE WHEN i % 8 IN (1, 2) THEN [{vectors}] ELSE ['{_FIELDS[0]}'] END AS vector_fields
+FROM (SELECT item_id AS i, text, embedding FROM benchmark LEFT JOIN embeddings ON vec_id = item_id)"""
+
+
+_PASSES = """(i.country IS NULL OR coalesce(replace(strip_accents(lower(g.country)), 'ß', 'ss') = lower(i.country), false))
+  AND (i.company_id IS NULL OR coalesce(g.company_id = i.company_id, false))
+  AND (i.min_employees IS NULL OR coalesce(g.employees_count >= i.min_employees, false))
+  AND (i.max_employees IS NULL OR coalesce(g.employees_count <= i.max_employees, false))
+  AND (i.min_founded_year IS NULL OR coalesce(g.founded_year >= i.min_founded_year, false))
+  AND (i.max_founded_year IS NULL OR coalesce(g.founded_year <= i.max_founded_year, false))
+  AND (i.min_revenue IS NULL OR coalesce(g.revenue_quantity_lower_bound >= i.min_revenue, false))
+  AND (i.max_revenue IS NULL OR coalesce(g.revenue_quantity_upper_bound <= i.max_revenue, false))"""
+
+
+def _intent_steps() -> dict[str, str]:
+    steps = {"intents": _intents_sql(), **_bm25_steps("SELECT query_id, query_text AS text FROM intents WHERE query_text IS NOT NULL", INTENT_BOOSTS)}
+    boost = "CASE field " + " ".join(f"WHEN '{f}' THEN {b}" for f, b in INTENT_BOOSTS.items()) + " END"
+    steps["passing"] = f"SELECT i.query_id, g.hk FROM intents i JOIN gold g ON {_PASSES}"
+    del steps["bm25"]  # it comes again below, behind what it needs
+    steps["bm25"] = f"""SELECT query_id, hk, round(max(s), 9) AS score FROM (
+  SELECT query_id, hk, field, sum(qtf * {boost} * idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / avg_len))) AS s
+  FROM postings JOIN term_stats USING (field, term) JOIN query_terms USING (term) JOIN intents USING (query_id)
+  WHERE fields IS NULL OR list_contains(fields, field) GROUP BY query_id, hk, field) x SEMI JOIN passing USING (query_id, hk) GROUP BY query_id, hk"""
+    steps["knn"] = " UNION ALL ".join(
+        f"""SELECT query_id, hk, score FROM (SELECT query_id, hk, round((1 + list_cosine_similarity({f}, vector)) / 2, 9) AS score
+  FROM passing JOIN intents USING (query_id) JOIN gold USING (hk)
+  WHERE vector IS NOT NULL AND {f} IS NOT NULL AND list_contains(vector_fields, '{f}'))
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, hk) <= {SIZE}"""
+        for f in (f"{name}" for name in _FIELDS)
+    )
+    steps["scored"] = """SELECT query_id, hk, round(sum(score), 9) AS score FROM (
+  SELECT * FROM bm25 UNION ALL SELECT query_id, hk, round(sum(score), 9) FROM (SELECT * FROM knn) GROUP BY query_id, hk) GROUP BY query_id, hk
+UNION ALL SELECT query_id, hk, 1.0 FROM passing JOIN intents USING (query_id) WHERE query_text IS NULL AND vector IS NULL"""
+    return steps
+
+
+@query(
+    "search_batch_intents",
+    o.query(f"SELECT h.* FROM ({_top('scored')}) h JOIN intents USING (query_id) WHERE rank <= k", "gold", extra=_intent_steps()),
+)
+def search_batch_intents(t: Tables) -> DataFrame:
+    """One intent a benchmark text, of all four strategies, each with filters of its own."""
+    i = t["benchmark"].join(t["embeddings"], F.col("vec_id") == F.col("item_id"), "left").withColumn("i", F.col("item_id"))
+    intents = i.select(
+        F.col("i").alias("query_id"),
+        F.expr("1 + i % 12").alias("k"),
+        *[F.expr(f"CASE WHEN {when} THEN {value} END").alias(name) for name, when, value in _INTENT_COLUMNS],
+        F.when(F.col("i") % 3 == 0, F.array(*[F.lit(f) for f in _SOME_TEXT_FIELDS])).alias("query_text_fields"),
+        F.when((F.col("i") % 4).isin(1, 2), F.col("embedding").cast("array<double>")).alias("vector"),
+        F.when((F.col("i") % 8).isin(1, 2), F.array(*[F.lit(f) for f in _FIELDS])).alias("embedding_fields"),
+    )
+    return _out(many.search_intents(t.serving(), intents, SIZE))
