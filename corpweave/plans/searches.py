@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpweave.operators import intents as many
+from corpweave.operators import pruned
 from corpweave.operators import search as s
 from corpweave.operators import vector_index as v
 from corpweave.plans import oracle as o
@@ -237,6 +238,21 @@ def search_batch_bm25(t: Tables) -> DataFrame:
     return _out(s.search_text(t.serving(), queries, INTENT_BOOSTS, SIZE))
 
 
+@query(
+    "search_batch_pruned",
+    o.query(
+        _top("bm25"),
+        "gold",
+        extra=_bm25_steps("SELECT item_id AS query_id, text FROM benchmark", INTENT_BOOSTS),
+    ),
+)
+def search_batch_pruned(t: Tables) -> DataFrame:
+    """Every benchmark text asked of a stored impact index, which leaves out what cannot reach the tenth score."""
+    index = pruned.build_impacts(t.serving(), scratch_path(t.spark, "impact-index"), list(INTENT_BOOSTS))
+    queries = t["benchmark"].select(F.col("item_id").alias("query_id"), "text")
+    return _out(pruned.search_pruned(index, queries, INTENT_BOOSTS, SIZE))
+
+
 @query(
     "search_batch_knn",
     o.query(
