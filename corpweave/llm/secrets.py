@@ -4,8 +4,8 @@ Patterns give ``assign``, ``access`` and ``hex`` spans. The entropy scan looks a
 key-like characters, and slides a window over each: the window's character counts, and with them the sum of
 ``c log2 c``, are updated by the one character that enters and the one that leaves. A window counts when its entropy
 reaches the threshold of the narrowest character class that holds all of it (digits, lower-case hexadecimal, letters
-of one case with digits, base64) and when it mixes kinds of characters as keys do; overlapping windows join into one
-span of kind ``entropy``. The allow-list suppresses entropy spans alone: identifiers and addresses in common public
+of one case with digits, base64) and when it mixes kinds of characters as keys do; separators are neutral in strings that
+have a key-like group. The span of kind ``entropy`` is the whole candidate around such windows, after a name and ``=``. The allow-list suppresses entropy spans alone: identifiers and addresses in common public
 forms, and strings without a digit or of one case without digits, which are words.
 
 Everything happens row by row where the text is read; no shuffle. Spans are in code points, ends exclusive.
@@ -53,11 +53,16 @@ CLOGC = [0.0] + [c * log2(c) for c in range(1, WINDOW + 1)]
 ALLOWED = re.compile(
     r"""[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}
       | sha(?:256|384|512)-[A-Za-z0-9+/]+=*
-      | [a-z]+(?:[-_/][a-z0-9]{1,12})+
+      | [a-z]+(?:[-_/](?:[a-z]{1,12}|[0-9]{1,12}|[a-z]+[0-9]+|[0-9]+[a-z]+))+
       | (?:0123456789)?(?:abcdefghijklmnopqrstuvwxyz|ABCDEFGHIJKLMNOPQRSTUVWXYZ)+(?:0123456789)?[+/]*
       | [0-9+/_=-]+""",
     re.VERBOSE,
 )
+#: A group between separators that mixes digits and small letters as keys do: in strings that have one, separators are
+#: neutral to the class of a window.
+KEY_GROUP = re.compile(r"(?<![A-Za-z0-9])(?=[a-z]*[0-9]+[a-z]+[0-9])[a-z0-9]{12,}(?![A-Za-z0-9])")
+IDENTIFIER = re.compile(r"(?<![A-Za-z0-9])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![A-Za-z0-9])")
+SEPARATORS = "-_"
 DIGIT, LOWER, UPPER = re.compile("[0-9]"), re.compile("[a-z]"), re.compile("[A-Z]")
 PLACEHOLDER = "<SECRET>"
 
@@ -73,13 +78,14 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
-def window_class(counts: dict[str, int], digits: int, lower: int, upper: int, outside_hex: int) -> str | None:
-    """The narrowest class of a window's characters, or None for windows that are words."""
-    if not digits or digits == WINDOW:
+def window_class(counts: dict[str, int], digits: int, lower: int, upper: int, outside_hex: int, neutral: int = 0) -> str | None:
+    """The narrowest class of a window's characters but ``neutral`` separators, or None for windows that are words."""
+    size = WINDOW - neutral
+    if not digits or digits == size:
         return None
-    if not outside_hex:
+    if outside_hex == neutral:
         return "hex"
-    if digits + lower == WINDOW or digits + upper == WINDOW:
+    if digits + lower == size or digits + upper == size:
         return "alnum"
     return "base64" if lower and upper else None
 
@@ -88,7 +94,8 @@ def entropy_windows(candidate: str) -> Iterator[int]:
     """Starts of the windows whose entropy reaches their class's threshold, by incremental counts."""
     counts: dict[str, int] = {}
     total = 0.0
-    digits = lower = upper = outside_hex = 0
+    digits = lower = upper = outside_hex = neutral = 0
+    separators = SEPARATORS if KEY_GROUP.search(candidate) else ""
     for at, c in enumerate(candidate):
         n = counts.get(c, 0)
         counts[c] = n + 1
@@ -97,6 +104,7 @@ def entropy_windows(candidate: str) -> Iterator[int]:
         lower += "a" <= c <= "z"
         upper += "A" <= c <= "Z"
         outside_hex += c not in HEX_CHARS
+        neutral += c in separators
         if at >= WINDOW:
             gone = candidate[at - WINDOW]
             n = counts[gone]
@@ -106,8 +114,9 @@ def entropy_windows(candidate: str) -> Iterator[int]:
             lower -= "a" <= gone <= "z"
             upper -= "A" <= gone <= "Z"
             outside_hex -= gone not in HEX_CHARS
+            neutral -= gone in separators
         if at >= WINDOW - 1:
-            kind = window_class(counts, digits, lower, upper, outside_hex)
+            kind = window_class(counts, digits, lower, upper, outside_hex, neutral)
             least = THRESHOLDS[kind] if kind else None
             # entropy = log2(W) - sum(c log2 c) / W
             if least is not None and LOG_WINDOW - total / WINDOW >= least:
@@ -117,22 +126,29 @@ def entropy_windows(candidate: str) -> Iterator[int]:
 LOG_WINDOW = log2(WINDOW)
 
 
+def keyed(part: str) -> bool:
+    """Whether any window of a string reaches its class's entropy."""
+    return next(entropy_windows(part), None) is not None
+
+
 def entropy_spans(text: str) -> list[Span]:
-    """Joined high-entropy windows of every candidate string that the allow-list does not suppress."""
+    """Candidate strings with a high-entropy window that the allow-list does not suppress, but for a name before ``=``."""
     spans: list[Span] = []
     for match in CANDIDATE.finditer(text):
-        candidate = match.group()
-        if not DIGIT.search(candidate) or not (LOWER.search(candidate) or UPPER.search(candidate)) or ALLOWED.fullmatch(candidate):
+        if ALLOWED.fullmatch(match.group()):
             continue
-        start = end = -1
-        for at in entropy_windows(candidate):
-            if at > end:
-                if end >= 0:
-                    spans.append((match.start() + start, match.start() + end, "entropy"))
-                start = at
-            end = at + WINDOW
-        if end >= 0:
-            spans.append((match.start() + start, match.start() + end, "entropy"))
+        # identifiers inside paths and names are no keys; what stands around them is looked at by itself
+        cuts = [match.start(), *(x for m in IDENTIFIER.finditer(match.group()) for x in (match.start() + m.start(), match.start() + m.end()))]
+        for start, end in zip(cuts[::2], [*cuts[1::2], match.end()], strict=True):
+            part = text[start:end]
+            if not DIGIT.search(part) or not (LOWER.search(part) or UPPER.search(part)):
+                continue
+            first = next(entropy_windows(part), None)
+            if first is not None:
+                # the windows' ends are no ends of the key: the whole unbroken string is taken
+                value = part.rfind("=", 0, first + WINDOW - 1) + 1
+                named = value and keyed(part[value:]) and not keyed(part[:value])
+                spans.append((start + value if named else start, end, "entropy"))
     return spans
 
 
