@@ -75,7 +75,8 @@ def upsert(
 
     The batch is reduced to one row per key first. Unchanged rows add nothing, so a batch loaded twice is
     written once. Rows of this version or later already in the log (a write that failed half way) are ignored.
-    Only the key, the hash and the version of the log are read.
+    Only the key, the hash and the version of the log are read. The batch is read twice, first its keys alone, so
+    store one that is costly to make.
     """
     keys = _keys(key)
     source = dedupe_latest(batch, keys, newest_first, ties)
@@ -84,7 +85,7 @@ def upsert(
     else:
         # only what the log knows about the batch's keys is ranked and shuffled
         known_rows = log.filter(F.col(VERSION) < version).select(*keys, guard, VERSION, CHANGE)
-        state = newest(known_rows.join(_reduced(source.select(*keys)), keys, "left_semi"), keys).select(
+        state = newest(known_rows.join(_reduced(batch.select(*keys)), keys, "left_semi"), keys).select(
             *keys, F.col(guard).alias("_old"), F.col(VERSION).alias("_old_version"), F.col(CHANGE).alias("_old_change")
         )
         joined = source.join(state, keys, "left")

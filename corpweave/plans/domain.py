@@ -159,6 +159,11 @@ class Tables:
     def registry(self) -> DataFrame:
         return good_rows(self.registry_checked())
 
+    @planned_once
+    def registry_table(self) -> DataFrame:
+        """The registry as a stored table, for jobs that load it several times."""
+        return stored(self.registry(), "registry")
+
     @planned_once
     def enrichment(self) -> DataFrame:
         return dedupe_latest(

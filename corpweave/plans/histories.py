@@ -36,7 +36,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _generations(t: Tables) -> list[DataFrame]:
-    rows = t.registry()
+    rows = t.registry_table()
     staff = F.col("cnt__employees")
     grown = F.when(F.col("dt__founded_year") < 1980, staff + 1).otherwise(staff)
     loads = [
