@@ -170,31 +170,33 @@ def rollback_changes(
     """The rows to append so that the table is again as it was at ``to_version``.
 
     Keys inserted since then get a tombstone with their last values, changed and deleted keys get the old row.
+    Both states meet column by column, so columns nobody reads are not shuffled.
     """
     keys = _keys(key)
     business = [c for c in log.columns if c not in [*META, "load_ldts"]]
+    values = [c for c in business if c not in keys]
     now = newest(log.filter(F.col(VERSION) < version), keys)
     then = as_of(log, keys, to_version)
-    a = then.select(*keys, F.struct(*business).alias("_then"))
+    a = then.select(*keys, *[F.col(c).alias(f"_then_{c}") for c in values], F.lit(True).alias("_was"))
     b = now.select(
-        *keys, F.struct(*business).alias("_now"), F.col(VERSION).alias("_known"), (F.col(CHANGE) == "delete").alias("_gone")
+        *keys,
+        *[F.col(c).alias(f"_now_{c}") for c in values],
+        F.col(VERSION).alias("_known"),
+        (F.col(CHANGE) == "delete").alias("_gone"),
     )
     pairs = a.join(b, keys, "full_outer")
+    was = F.coalesce(F.col("_was"), F.lit(False))
     gone = F.coalesce(F.col("_gone"), F.lit(True))
-    undo = F.col("_then").isNull() & ~gone
-    restore = F.col("_then").isNotNull() & (gone | ~F.col(f"_then.{guard}").eqNullSafe(F.col(f"_now.{guard}")))
-    row = F.when(undo, F.col("_now")).otherwise(F.col("_then"))
+    undo = ~was & ~gone
+    restore = was & (gone | ~F.col(f"_then_{guard}").eqNullSafe(F.col(f"_now_{guard}")))
+    row = {c: F.when(undo, F.col(f"_now_{c}")).otherwise(F.col(f"_then_{c}")).alias(c) for c in values}
     kind = F.when(undo, F.lit("delete")).when(gone, F.lit("insert")).otherwise(F.lit("update"))
-    return (
-        pairs.filter(undo | restore)
-        .select(row.alias("_row"), kind.alias(CHANGE), F.col("_known").cast("int").alias(PREVIOUS))
-        .select(
-            "_row.*",
-            _moment(load_ldts).alias("load_ldts"),
-            F.lit(version).alias(VERSION),
-            PREVIOUS,
-            CHANGE,
-        )
+    return pairs.filter(undo | restore).select(
+        *[row.get(c, c) for c in business],
+        _moment(load_ldts).alias("load_ldts"),
+        F.lit(version).alias(VERSION),
+        F.col("_known").cast("int").alias(PREVIOUS),
+        kind.alias(CHANGE),
     )
 
 
