@@ -13,7 +13,7 @@ from corpweave.operators.gold import gold_hdiff
 from corpweave.plans import oracle as o
 from corpweave.plans.cleaning import _D1_HASHED, GOLD_HASH
 from corpweave.plans.domain import Tables
-from corpweave.session import scratch_path
+from corpweave.session import scratch_path, stored
 from corpweave.specs import EMBEDDING_FIELDS
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -202,8 +202,10 @@ FROM second_sync b LEFT JOIN first_sync a USING (hk) WHERE a.hk IS NULL OR a.hdi
 )
 def upsert_gold_distinct(t: Tables) -> DataFrame:
     gold = t.gold()
-    rows = gold.withColumn("hdiff", gold_hdiff(gold, set(EMBEDDING_FIELDS)))
     columns = ["hk", "company_id", "hdiff"]
+    hashed = gold.withColumn("hdiff", gold_hdiff(gold, set(EMBEDDING_FIELDS)))
+    # both syncs read keys and hashes, which are worked out once
+    rows = stored(hashed.select(*columns, "normalized_request_url", "country"), "gold-hashes")
     first = rows.filter(F.col("normalized_request_url").isNotNull()).select(*columns)
     second = rows.select("hk", "company_id", F.when(F.col("country").isNotNull(), F.col("hdiff")).alias("hdiff"))
     log = history.upsert(None, first, "hk", 1, LOADS[0])
