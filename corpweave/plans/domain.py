@@ -191,10 +191,16 @@ class Tables:
     def gold(self) -> DataFrame:
         return to_gold(self.integrated())
 
-    @planned_once
-    def serving(self) -> DataFrame:
-        """Gold as a stored table, as searches read it: several scans of a few columns each."""
-        return stored(self.gold(), "gold")
+    def serving(self, *columns: str) -> DataFrame:
+        """Gold as a stored table, as searches read it: several scans of a few columns each.
+
+        Only ``columns`` are worked out and stored when given: texts, vectors and hashes a job never reads would make up
+        nearly all of a table with one wide row a company.
+        """
+        name = "serving:" + ",".join(columns)
+        if name not in self.plans:
+            self.plans[name] = stored(self.gold().select(*columns) if columns else self.gold(), "gold")
+        return self.plans[name]
 
 
 @lru_cache(maxsize=16)

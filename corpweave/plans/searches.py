@@ -284,7 +284,7 @@ FROM gold, embeddings WHERE embedding_global_vector IS NOT NULL AND vec_id % 50
 def search_knn_index(t: Tables) -> DataFrame:
     """Every 50th vector asked of a stored index of inverted lists."""
     path = scratch_path(t.spark, "vector-index")
-    index = v.build_vector_index(t.serving(), "embedding_global_vector", path)
+    index = v.build_vector_index(t.serving("hk", "embedding_global_vector"), "embedding_global_vector", path)
     queries = t["embeddings"].filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
     return _out(v.search_index(index, queries, SIZE))
 
