@@ -218,7 +218,7 @@ def search_hybrid(t: Tables) -> DataFrame:
     ),
 )
 def search_enriched(t: Tables) -> DataFrame:
-    gold = t.serving()
+    gold = t.serving("hk", "company_id", "industry", "description_long", "embedding_global_vector")
     hits = s.search_knn(gold, _query_vector(t), ["embedding_global_vector"], SIZE)
     records = s.enrich(hits, gold.select("hk", "company_id", "industry", "description_long"))
     return records.select(F.col("rank").cast("bigint").alias("rank"), "hk", "company_id", "industry", "description_long", "score")
