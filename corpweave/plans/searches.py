@@ -95,7 +95,7 @@ WHERE strip_accents(lower(country)) = 'nation_3' AND strip_accents(lower(iso2_co
 )
 def filter_only_search(t: Tables) -> DataFrame:
     intent = s.SearchIntent(k=SIZE, country="Nation_3", iso2_country_code="DY")
-    return _out(s.search(t.serving(), intent, SIZE))
+    return _out(s.search(t.serving("hk", "country", "iso2_country_code"), intent, SIZE))
 
 
 @query(
@@ -111,7 +111,8 @@ def range_filter_search(t: Tables) -> DataFrame:
     intent = s.SearchIntent(
         k=50, min_employees=200, max_employees=900, min_founded_year=1960, max_founded_year=2010, min_revenue=5, max_revenue=100
     )
-    return _out(s.search(t.serving(), intent, 50))
+    ranges = ("employees_count", "founded_year", "revenue_quantity_lower_bound", "revenue_quantity_upper_bound")
+    return _out(s.search(t.serving("hk", *ranges), intent, 50))
 
 
 @query(
@@ -124,7 +125,7 @@ QUALIFY rank <= {SIZE}""",
     ),
 )
 def keyword_exact(t: Tables) -> DataFrame:
-    return _out(s.search_keyword(t.serving(), "market_niches", "SRC3", SIZE))
+    return _out(s.search_keyword(t.serving("hk", "market_niches"), "market_niches", "SRC3", SIZE))
 
 
 @query(
@@ -134,7 +135,7 @@ def keyword_exact(t: Tables) -> DataFrame:
     ),
 )
 def keyword_match(t: Tables) -> DataFrame:
-    return _out(s.search_keyword(t.serving(), "market_niches", "Src3 en", SIZE, exact=False))
+    return _out(s.search_keyword(t.serving("hk", "market_niches"), "market_niches", "Src3 en", SIZE, exact=False))
 
 
 _TEXT = "furniture machinery that and estion queaux"
@@ -149,7 +150,8 @@ _TEXT = "furniture machinery that and estion queaux"
     ),
 )
 def search_bm25(t: Tables) -> DataFrame:
-    return _out(s.search(t.serving(), s.SearchIntent(k=SIZE, query_text=_TEXT, min_employees=100), SIZE))
+    gold = t.serving("hk", "employees_count", *INTENT_BOOSTS)
+    return _out(s.search(gold, s.SearchIntent(k=SIZE, query_text=_TEXT, min_employees=100), SIZE))
 
 
 @query(
@@ -162,7 +164,7 @@ def search_bm25(t: Tables) -> DataFrame:
 )
 def search_bm25_min_score(t: Tables) -> DataFrame:
     queries = t.spark.createDataFrame([("q", _TEXT)], "query_id string, text string")
-    return _out(s.search_text(t.serving(), queries, TEXT_SEARCH_BOOSTS, 500, 1.5))
+    return _out(s.search_text(t.serving("hk", *TEXT_SEARCH_BOOSTS), queries, TEXT_SEARCH_BOOSTS, 500, 1.5))
 
 
 _FIELDS = ["embedding_global_vector", "embedding_description_short"]
@@ -177,7 +179,7 @@ _FILTERED = "(SELECT * FROM gold WHERE employees_count >= 100)"
 )
 def search_knn(t: Tables) -> DataFrame:
     intent = s.SearchIntent(k=SIZE, semantic_query="like the first vector", embedding_fields=_FIELDS, min_employees=100)
-    return _out(s.search(t.serving(), intent, SIZE, query_vector=_query_vector(t)))
+    return _out(s.search(t.serving("hk", "employees_count", *_FIELDS), intent, SIZE, query_vector=_query_vector(t)))
 
 
 @query(
@@ -204,7 +206,8 @@ def search_hybrid(t: Tables) -> DataFrame:
         embedding_fields=_FIELDS,
         min_employees=100,
     )
-    return _out(s.search(t.serving(), intent, SIZE, query_vector=_query_vector(t)))
+    gold = t.serving("hk", "employees_count", "industry", "description_long", *_FIELDS)
+    return _out(s.search(gold, intent, SIZE, query_vector=_query_vector(t)))
 
 
 @query(
@@ -235,7 +238,7 @@ def search_enriched(t: Tables) -> DataFrame:
 def search_batch_bm25(t: Tables) -> DataFrame:
     """Every benchmark text asked at once, over all text fields."""
     queries = t["benchmark"].select(F.col("item_id").alias("query_id"), "text")
-    return _out(s.search_text(t.serving(), queries, INTENT_BOOSTS, SIZE))
+    return _out(s.search_text(t.serving("hk", *INTENT_BOOSTS), queries, INTENT_BOOSTS, SIZE))
 
 
 @query(
@@ -248,7 +251,7 @@ def search_batch_bm25(t: Tables) -> DataFrame:
 )
 def search_batch_pruned(t: Tables) -> DataFrame:
     """Every benchmark text asked of a stored impact index, which leaves out what cannot reach the tenth score."""
-    index = pruned.build_impacts(t.serving(), scratch_path(t.spark, "impact-index"), list(INTENT_BOOSTS))
+    index = pruned.build_impacts(t.serving("hk", *INTENT_BOOSTS), scratch_path(t.spark, "impact-index"), list(INTENT_BOOSTS))
     queries = t["benchmark"].select(F.col("item_id").alias("query_id"), "text")
     return _out(pruned.search_pruned(index, queries, INTENT_BOOSTS, SIZE))
 
@@ -267,7 +270,7 @@ FROM gold, embeddings WHERE embedding_global_vector IS NOT NULL"""
 def search_batch_knn(t: Tables) -> DataFrame:
     """The nearest companies of every vector of the embeddings table."""
     queries = t["embeddings"].select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
-    return _out(s.search_knn_batch(t.serving(), queries, "embedding_global_vector", SIZE))
+    return _out(s.search_knn_batch(t.serving("hk", "embedding_global_vector"), queries, "embedding_global_vector", SIZE))
 
 
 @query(
@@ -360,4 +363,6 @@ def search_batch_intents(t: Tables) -> DataFrame:
         F.when((F.col("i") % 4).isin(1, 2), F.col("embedding").cast("array<double>")).alias("vector"),
         F.when((F.col("i") % 8).isin(1, 2), F.array(*[F.lit(f) for f in _FIELDS])).alias("embedding_fields"),
     )
-    return _out(many.search_intents(t.serving(), intents, SIZE))
+    filtered = [*many.EQUAL, *(name for name, _, _ in many.RANGES)]
+    gold = t.serving("hk", *filtered, *INTENT_BOOSTS, *_FIELDS)
+    return _out(many.search_intents(gold, intents, SIZE))

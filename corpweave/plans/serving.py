@@ -98,7 +98,7 @@ def search_doc_ndjson(t: Tables) -> DataFrame:
     o.query("SELECT hk, company_id, country, industry FROM gold ORDER BY hk LIMIT 100", "gold"),
 )
 def gold_head(t: Tables) -> DataFrame:
-    return gold_ops.table_head(t.serving(), 100, "hk", "company_id", "country", "industry")
+    return gold_ops.table_head(t.serving("hk", "company_id", "country", "industry"), 100, "hk", "company_id", "country", "industry")
 
 
 _WANTED = f"""SELECT {o.hub_key('s_name')} AS hk, row_number() OVER (ORDER BY s_suppkey) AS rank FROM (
@@ -119,7 +119,7 @@ def lookup_by_keys(t: Tables) -> DataFrame:
 
     company = F.concat(F.lit("cmp_"), (F.col("s_suppkey") * 2).cast("string"))
     keys = t["supplier"].select(hub_key(company, "integrated").alias("hk"), (F.col("s_suppkey") + 1).alias("rank"))
-    found = gold_ops.lookup(t.serving(), keys)
+    found = gold_ops.lookup(t.serving("hk", "company_id", "normalized_request_url"), keys)
     return found.select("rank", "hk", "company_id", "normalized_request_url")
 
 
@@ -128,7 +128,7 @@ def lookup_by_keys(t: Tables) -> DataFrame:
     o.query("SELECT hk, company_id FROM gold WHERE hk > '7fffffff-ffff-5fff-bfff-ffffffffffff' ORDER BY hk", "gold"),
 )
 def cursor_resume_scan(t: Tables) -> DataFrame:
-    return gold_ops.resume_after(t.serving().select("hk", "company_id"), "hk", "7fffffff-ffff-5fff-bfff-ffffffffffff")
+    return gold_ops.resume_after(t.serving("hk", "company_id"), "hk", "7fffffff-ffff-5fff-bfff-ffffffffffff")
 
 
 # reports
@@ -157,7 +157,7 @@ FROM (SELECT coalesce(iso2_country_code, '__null__') AS partition_value, count(*
     ),
 )
 def partition_distribution(t: Tables) -> DataFrame:
-    return report.partition_share(t.serving())
+    return report.partition_share(t.serving("iso2_country_code"))
 
 
 @query(
