@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpweave.functions.paths import parent_metadata_path
 from corpweave.operators.joins import hot_keys, keep_matching, salted_left_join
 from corpweave.operators.validate import merge_metrics
+from corpweave.session import stored
 
 
 def latest_run(runs: DataFrame, *by: str, started: str = "start_timestamp", unfinished_only: bool = False) -> DataFrame:
@@ -102,23 +103,31 @@ def reconcile_errors(parents: DataFrame, recorded: DataFrame, listing: DataFrame
     to the run its folder points at, or is an orphan when that run has no manifest.
     """
     known = parents.select("parent_metadata_path").distinct()
-    by_folder = listing.select(parent_metadata_path(F.col("path")).alias("parent_metadata_path"))
-    hot = hot_keys(by_folder.unionAll(recorded.select("parent_metadata_path")), "parent_metadata_path")
-    named = keep_matching(recorded.distinct(), known, "parent_metadata_path", "path", hot=hot)
-    found = listing.select("path").distinct().withColumn("_listed", F.lit(True))
-    pairs = named.withColumn("_named", F.lit(True)).join(found, "path", "full_outer")
-    inferred = pairs.withColumn(
-        "parent_metadata_path", F.coalesce("parent_metadata_path", parent_metadata_path(F.col("path")))
+    by_folder = listing.select(parent_metadata_path(F.col("path")).alias("parent_metadata_path"), "path")
+    both = recorded.select("parent_metadata_path", "path", F.lit(True).alias("_named"), F.lit(False).alias("_listed")).unionAll(
+        by_folder.select("*", F.lit(False), F.lit(True))
     )
-    placed = salted_left_join(inferred, [known.withColumn("_known", F.lit(True))], "parent_metadata_path", "path", hot=hot)
-    listed = F.coalesce(F.col("_listed"), F.lit(False))
-    return placed.select(
+    # a file named by its own run and found is one row from here on; stored, since its runs are counted before the join
+    files = both.groupBy("parent_metadata_path", "path").agg(F.max("_named").alias("_named"), F.max("_listed").alias("_listed"))
+    files = stored(files, "error-files")
+    hot = hot_keys(files, "parent_metadata_path")
+    placed = salted_left_join(files, [known.withColumn("_known", F.lit(True))], "parent_metadata_path", "path", hot=hot)
+    is_known = F.coalesce(F.col("_known"), F.lit(False))
+    same = Window.partitionBy("path")
+
+    def anywhere(flag: str) -> Column:
+        return F.col("path").isNotNull() & F.max(flag).over(same)
+
+    marked = placed.withColumn("_known", is_known).withColumn("_named", F.col("_named") & F.col("_known"))
+    marked = marked.withColumn("_any_named", anywhere("_named")).withColumn("_any_listed", anywhere("_listed"))
+    listed = F.when(F.col("_named"), F.col("_any_listed")).otherwise(True)
+    return marked.filter(F.col("_named") | (F.col("_listed") & ~F.col("_any_named"))).select(
         "parent_metadata_path",
         "path",
         listed.alias("object_exists"),
         listed.alias("listed_in_store"),
-        F.coalesce(F.col("_named"), F.lit(False)).alias("recorded_in_metadata"),
-        F.col("_known").isNull().alias("orphan"),
+        F.col("_named").alias("recorded_in_metadata"),
+        (~F.col("_known")).alias("orphan"),
     )
 
 

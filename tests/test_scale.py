@@ -78,3 +78,42 @@ def test_grid_scores_a_vector_of_many_companies_once(spark):
     direct = sorted(map(tuple, s.search_knn_batch(docs, queries, "v", 13).collect()))
     grid = s.search_knn_batch(docs, queries, "v", 13, max_broadcast=5, block_docs=7, block_queries=5)
     assert sorted(map(tuple, grid.collect())) == direct
+
+
+def test_hash_diff_works_tables_out_once(tables):
+    from corpweave.plans import cleaning
+
+    # its silver tables come from stored frames, so no customer or document is cleaned again
+    assert "c_custkey" not in plan(cleaning.hash_diff(tables))
+
+
+def test_reconciliation_joins_manifests_once(spark):
+    from corpweave.operators import runs
+
+    parents = spark.createDataFrame([("a/r1/metadata.json",), ("a/r3/metadata.json",)], "parent_metadata_path string")
+    recorded = spark.createDataFrame(
+        [
+            ("a/r1/metadata.json", "a/r1/errors/1.parquet"),
+            ("a/r1/metadata.json", "a/r1/errors/1.parquet"),
+            ("a/r3/metadata.json", "a/r1/errors/1.parquet"),
+            ("a/r3/metadata.json", "a/r3/errors/9.parquet"),
+            ("a/r3/metadata.json", None),
+            ("a/r2/metadata.json", "a/r2/errors/2.parquet"),
+        ],
+        "parent_metadata_path string, path string",
+    )
+    found = ["a/r1/errors/1.parquet", "a/r1/errors/5.parquet", "a/r2/errors/2.parquet", "a/r2/errors/2.parquet", None]
+    listing = spark.createDataFrame([(p,) for p in found], "path string")
+    out = runs.reconcile_errors(parents, recorded, listing)
+    assert plan(out).count("Join") == 1
+    rows = {(r[0], r[1]): tuple(r)[2:] for r in out.collect()}
+    assert len(rows) == out.count() == 7
+    assert rows == {
+        ("a/r1/metadata.json", "a/r1/errors/1.parquet"): (True, True, True, False),
+        ("a/r3/metadata.json", "a/r1/errors/1.parquet"): (True, True, True, False),
+        ("a/r3/metadata.json", "a/r3/errors/9.parquet"): (False, False, True, False),
+        ("a/r3/metadata.json", None): (False, False, True, False),
+        ("a/r1/metadata.json", "a/r1/errors/5.parquet"): (True, True, False, False),
+        ("a/r2/metadata.json", "a/r2/errors/2.parquet"): (True, True, False, True),
+        (None, None): (True, True, False, True),
+    }
