@@ -11,8 +11,8 @@ from corpweave.functions import text, urls, vectors
 from corpweave.functions.keys import hub_key, key_hash, payload_hash, uuid5
 from corpweave.functions.revenue import parse_revenue
 from corpweave.operators import embed
-from corpweave.operators.integrate import dedupe_latest, decode_partition, encode_partition, union_chunks, unmatched
-from corpweave.operators.gold import confidential, gold_hdiff, redact
+from corpweave.operators.integrate import dedupe_latest, decode_partition, encode_partition, integrate, union_chunks, unmatched
+from corpweave.operators.gold import confidential, gold_hdiff, redact, to_gold
 from corpweave.operators.report import table_counts
 from corpweave.operators.standardise import to_bronze
 from corpweave.operators.validate import bad_rows, validation_metrics
@@ -309,13 +309,15 @@ def hash_diff(t: Tables) -> DataFrame:
         value = payload_hash(df, [c for c in df.columns if c != key])
         return df.select(F.lit(stage).alias("stage"), F.col(key).alias("key"), value.alias("hdiff"))
 
-    gold = t.gold()
+    # both tables are hashed and joined into gold: they are worked out once
+    registry, enrichment = t.registry_table(), t.enrichment_table()
+    gold = to_gold(integrate(registry, enrichment, t.embeddings()))
     gold_part = gold.select(
         F.lit("gold").alias("stage"), F.col("hk").alias("key"), gold_hdiff(gold, set(EMBEDDING_FIELDS)).alias("hdiff")
     )
     return (
-        hashed(t.registry(), "registry", "id__company")
-        .unionByName(hashed(t.enrichment(), "enrichment", "url__normalized_request_url"))
+        hashed(registry, "registry", "id__company")
+        .unionByName(hashed(enrichment, "enrichment", "url__normalized_request_url"))
         .unionByName(gold_part)
     )
 

@@ -172,6 +172,11 @@ class Tables:
             ties=["url__request_url", "desc__description_long", "desc__market_niches"],
         )
 
+    @planned_once
+    def enrichment_table(self) -> DataFrame:
+        """The enrichment as a stored table, for jobs that read it several times."""
+        return stored(self.enrichment(), "enrichment")
+
     @planned_once
     def embeddings(self) -> DataFrame:
         return dedupe_latest(
