@@ -53,16 +53,19 @@ def unused(name: str, columns: list[str]) -> str:
 
 
 def meet(
-    asked: DataFrame, index: DataFrame, key: str, function: Callable, schema: str, most: int
+    asked: DataFrame, index: DataFrame, key: str, function: Callable, schema: str, most: int,
+    weight: Column | None = None, by: list[str] | None = None,
 ) -> DataFrame:
     """Rows that ask and the index row of their ``key``, together in ``function(asked, index)`` over Arrow tables.
 
-    Keys asked by more than ``most`` rows are dealt over several tasks, each with a salted share of the rows and a copy
-    of the index row. ``asked`` is read twice: hand in a stored table.
+    Keys asked by more than ``most`` rows, or by rows that weigh more together, are dealt over several tasks, each with a
+    salted share of the rows (by the columns ``by``, or all but the key) and a copy of the index row. ``asked`` is read
+    twice: hand in a stored table.
     """
-    salts = asked.groupBy(key).count().select(key, F.ceil(F.col("count") / most).cast("int").alias("salts"))
+    total = F.sum(F.lit(1) if weight is None else weight)
+    salts = asked.groupBy(key).agg(total.alias("total")).select(key, F.ceil(F.col("total") / most).cast("int").alias("salts"))
     dealt = asked.join(salts.where("salts > 1"), key, "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64(*[c for c in asked.columns if c != key]), F.col("salts")), F.lit(0)).cast("int")
+        "salt", F.coalesce(F.pmod(F.xxhash64(*(by or [c for c in asked.columns if c != key])), F.col("salts")), F.lit(0)).cast("int")
     )
     copies = index.join(salts, key).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     return (

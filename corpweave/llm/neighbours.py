@@ -15,14 +15,16 @@ are one node.
    is limited before the shuffle, so no more than ``DEGREE + REVERSE`` meet at a node. Rounds go on until the lists gain less than ``ENOUGH``.
 3. Greedy search: a query starts at its own node, if it is indexed, and at ``ENTRIES`` fixed and ``ENTRIES`` long nodes. Each
    round opens its ``OPEN`` best nodes not yet opened and measures their neighbours, block of nodes by block of nodes:
-   a query is sent once to a block with the ids to measure, and those come back that are among its best so far. A query is
-   done when all of its best nodes (``effort``, which grows with the root of the number of nodes) are open.
+   a query is sent once to a block with the ids to measure, and those come back that are among its best so far. A block is
+   copied once for every ``IDS_A_TASK`` ids asked of it, so copies follow what is measured, not queries times nodes. A query is
+   done when all of its best nodes (``effort``, which grows with the root of the number of nodes) are open; then it is put
+   aside, and later steps move the others only.
 4. Measures are inner products of the original vectors in double precision, added component by component as Spark adds
    them, so what the search keeps is final: its pool never exceeds ``effort`` nodes, however many lie close together.
 
 Every vector is in the graph; only what a node remembers is bounded, so recall is measured, not assumed (README).
 Rounds and search steps that do not settle within ``MOST_ROUNDS`` and ``MOST_STEPS`` raise an error.
-Bounds: a task holds one block of nodes (some 4 MB of vectors, 3 MB of links) or of queries; the driver sees counts, norms and the entries' ids.
+Bounds: a task holds one block of nodes (some 8 MB of vectors, 6 MB of links) and the ids asked of it (16 MB), or a share of the queries; the driver sees counts, norms and the entries' ids.
 
 Cases: null ids and vectors that are null, empty, zero or hold null or non-finite components take no part; shorter
 vectors count as padded with zeros; rows that repeat an id count once, with the smallest vector; ties go to the
@@ -34,6 +36,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterator
+from functools import reduce
 from math import ceil, log2
 
 import numpy as np
@@ -48,8 +51,9 @@ DEGREE, REVERSE = 32, 16
 BLOCK, REPEATS, PLANES = 1024, 8, 13
 MOST_ROUNDS, ENOUGH, SENT = 60, 0.002, 12
 OPEN, EFFORT, MOST_STEPS, ENTRIES = 128, 320, 1000, 64
-NODES = 8_192
-QUERIES_A_TASK = 2_000
+NODES = 16_384
+#: Ids that one task opens or measures, and pairs of query and node it measures in one go.
+IDS_A_TASK, PAIRS = 2_000_000, 65_536
 #: Nodes for which EFFORT was chosen.
 USUAL = 50_000
 log = logging.getLogger(__name__)
@@ -326,7 +330,7 @@ def link_blocks(graph: DataFrame, nodes: DataFrame, blocks: int) -> DataFrame:
         row = [group.column("block")[0].as_py(), group.column("id").to_numpy().tobytes(), ends.tobytes(), links.flatten().to_numpy().tobytes()]
         return pa.table([[v] for v in row], schema=arrow_schema("block:int32 ids:binary ends:binary links:binary"))
 
-    rows = rows.select(block_of("id", blocks).alias("block"), "id", links.alias("links"))
+    rows = with_block(rows.select("id", links.alias("links")), "id bigint, links array<bigint>", blocks)
     return rows.groupBy("block").applyInArrow(build, "block int, ids binary, ends binary, links binary")
 
 
@@ -339,12 +343,32 @@ def vector_blocks(nodes: DataFrame, width: int, blocks: int) -> DataFrame:
         row = [group.column("block")[0].as_py(), group.column("id").to_numpy().tobytes(), x.tobytes()]
         return pa.table([[v] for v in row], schema=arrow_schema("block:int32 ids:binary vectors:binary"))
 
-    rows = nodes.select(block_of("id", blocks).alias("block"), "id", "vector")
+    rows = with_block(nodes.select("id", "vector"), "id bigint, vector array<double>", blocks)
     return rows.groupBy("block").applyInArrow(build, "block int, ids binary, vectors binary")
 
 
-def block_of(column: str, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
+def block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of each id, spread whatever ids have in common."""
+    return ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(blocks)).astype(np.int32)
+
+
+def with_block(rows: DataFrame, schema: str, blocks: int) -> DataFrame:
+    """``rows``, of an id and other columns, and the block of the id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = pa.array(block_of(batch.column(0).to_numpy(), blocks))
+            yield pa.RecordBatch.from_arrays([*batch.columns, block], names=[*batch.schema.names, "block"])
+
+    return rows.mapInArrow(run, f"{schema}, block int")
+
+
+def by_block(ids: np.ndarray, blocks: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The blocks that hold some of the ids, and the ids each holds; one sort, however many blocks there are."""
+    block = block_of(ids, blocks)
+    order = np.argsort(block, kind="stable")
+    used, first = np.unique(block[order], return_index=True)
+    return used, np.split(ids[order], first[1:]) if len(ids) else []
 
 
 def _places(ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -359,11 +383,11 @@ def _opened(asked: pa.Table, index: pa.Table) -> pa.Table:
     if not len(asked) or not len(index):
         return schema.empty_table()
     ids, ends, links = (np.frombuffer(index.column(c)[0].as_py(), np.int64) for c in ("ids", "ends", "links"))
-    out = []
-    for query, nodes in zip(asked.column("query").to_pylist(), asked.column("nodes").to_pylist(), strict=True):
-        at = _places(ids, np.array(nodes, np.int64))
-        out.append((query, np.unique(np.concatenate([links[ends[a] : ends[a + 1]] for a in at])) if len(at) else at))
-    return pa.table([pa.array([q for q, _ in out], pa.int64()), pa.array([f for _, f in out], pa.list_(pa.int64()))], schema=schema)
+    found = []
+    for nodes in asked.column("nodes"):
+        at = _places(ids, nodes.values.to_numpy())
+        found.append(np.unique(np.concatenate([links[ends[a] : ends[a + 1]] for a in at])) if len(at) else at)
+    return pa.table([asked.column("query"), pa.array(found, pa.list_(pa.int64()))], schema=schema)
 
 
 def _measured(asked: pa.Table, index: pa.Table) -> pa.Table:
@@ -373,16 +397,33 @@ def _measured(asked: pa.Table, index: pa.Table) -> pa.Table:
         return schema.empty_table()
     ids = np.frombuffer(index.column("ids")[0].as_py(), np.int64)
     vectors = np.frombuffer(index.column("vectors")[0].as_py(), float).reshape(-1, len(ids))
-    found, sims = [], []
-    for query, bar, nodes in zip(asked.column("vector").to_pylist(), asked.column("bar").to_pylist(), asked.column("nodes"), strict=True):
-        at = _places(ids, nodes.values.to_numpy())
-        some, total = vectors[:, at], np.zeros(len(at))
-        for component, row in zip(query, some, strict=False):  # missing components count as zero
-            total += component * row
-        good = total >= bar
-        found.append(ids[at[good]])
-        sims.append(total[good])
-    return pa.table([asked.column("query"), pa.array(found, pa.list_(pa.int64())), pa.array(sims, pa.list_(pa.float64()))], schema=schema)
+    out, sizes = [], pa.compute.list_value_length(asked.column("nodes")).to_numpy()
+    ends = np.cumsum(sizes)
+    low = 0
+    while low < len(asked):  # as many queries as ask for PAIRS ids, one at least
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + PAIRS, "right")))
+        out.append(_products(asked.slice(low, high - low).combine_chunks(), ids, vectors, schema))
+        low = high
+    return pa.concat_tables(out)
+
+
+def _products(asked: pa.Table, ids: np.ndarray, vectors: np.ndarray, schema: pa.Schema) -> pa.Table:
+    """Of all pairs of these queries at once, added component by component; missing components count as zero."""
+    wanted, given, bars = (asked.column(c).combine_chunks() for c in ("nodes", "vector", "bar"))
+    queries = as_matrix(given, max(len(vectors), pa.compute.max(given.value_lengths()).as_py()))
+    row = np.repeat(np.arange(len(asked)), wanted.value_lengths().to_numpy())
+    nodes = wanted.flatten().to_numpy()
+    at = np.minimum(np.searchsorted(ids, nodes), len(ids) - 1)
+    here = ids[at] == nodes
+    at, row = at[here], row[here]
+    total = np.zeros(len(at))
+    for component, values in zip(queries.T, vectors, strict=False):
+        total += component[row] * values[at]
+    good = total >= bars.to_numpy()[row]
+    at, row, total = at[good], row[good], total[good]
+    offsets = pa.array(np.searchsorted(row, np.arange(len(asked) + 1)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(values)) for values in (ids[at], total)]
+    return pa.table([asked.column("query"), *lists], schema=schema)
 
 
 def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, many: int, width: int, long: list[int], top: int) -> DataFrame:
@@ -403,43 +444,68 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, many:
     )
     state = stored(state, "search")
     held = max(effort(many), top + 1)
+    first = F.arrays_zip(F.slice("pool", 1, top + 1).alias("node"), F.slice("sims", 1, top + 1).alias("score"))
+    settled: list[DataFrame] = []
     for number in range(MOST_STEPS):
         # open nodes: the blocks that hold them return their neighbours
-        sent = state.select("query", F.explode("next").alias("node"))
-        sent = sent.groupBy(block_of("node", blocks).alias("block"), "query").agg(F.collect_list("node").alias("nodes"))
-        found = meet(stored(sent, "open"), links, "block", _opened, "query bigint, found array<bigint>", QUERIES_A_TASK)
+        sent = stored(_sent(state, blocks), "open")
+        found = meet(sent, links, "block", _opened, "query bigint, found array<bigint>", IDS_A_TASK, F.size("nodes"), ["query"])
         bar = F.when(F.size("sims") >= held, F.element_at("sims", -1)).otherwise(float("-inf"))
-        asked = _fresh(state, found, bar)
-        asked = asked.select("query", "vector", "bar", F.explode(_by_block("nodes", blocks)).alias("x"))
-        asked = asked.select("query", "vector", "bar", F.col("x.block").alias("block"), F.col("x.nodes").alias("nodes"))
-        asked = stored(asked, "measure")
-        measured = meet(asked, vectors, "block", _measured, "query bigint, found array<bigint>, sims array<double>", QUERIES_A_TASK)
-        state = stored(_next_state(state, measured, held), "search")
-        if not state.where(F.size("next") > 0).limit(1).count():
+        asked = stored(_fresh(state, found, bar, blocks), "measure")
+        # a query's vector weighs as well
+        measured = meet(
+            asked, vectors, "block", _measured, "query bigint, found array<bigint>, sims array<double>", IDS_A_TASK,
+            F.size("nodes") + F.size("vector"), ["query"],
+        )
+        after = stored(_next_state(state, measured, held), "search")
+        settled.append(after.where(F.size("next") == 0).select("query", F.explode(first).alias("x")).select("query", "x.node", "x.score"))
+        state = after.where(F.size("next") > 0)
+        if not state.limit(1).count():
             log.info("search settled after %d steps", number + 1)
-            best = F.explode(F.arrays_zip(F.slice("pool", 1, top + 1).alias("node"), F.slice("sims", 1, top + 1).alias("score")))
-            return state.select("query", best.alias("x")).select("query", "x.node", "x.score")
+            return reduce(DataFrame.unionAll, settled)
     raise RuntimeError(f"queries still find nodes to open after {MOST_STEPS} steps")
 
 
-def _by_block(nodes: str, blocks: int) -> Column:
-    """Ids dealt to the blocks that hold them, as an array of (block, nodes)."""
-    pairs = F.transform(nodes, lambda n: F.struct(F.pmod(F.xxhash64(n), F.lit(blocks)).cast("int").alias("block"), n.alias("node")))
-    used = F.array_distinct(F.transform(pairs, lambda p: p["block"]))
-    return F.transform(
-        used,
-        lambda b: F.struct(
-            b.alias("block"), F.transform(F.filter(pairs, lambda p: p["block"] == b), lambda p: p["node"]).alias("nodes")
-        ),
-    )
+def _sent(state: DataFrame, blocks: int) -> DataFrame:
+    """(block, query, nodes): the nodes each query opens next, dealt to the blocks that hold them."""
+    fields = "block:int32 query:int64 nodes:longs"
+    schema = arrow_schema(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dealt = [by_block(nodes.values.to_numpy(), blocks) for nodes in batch.column(1)]
+            query = np.repeat(batch.column(0).to_numpy(), [len(used) for used, _ in dealt])
+            block = np.concatenate([np.empty(0, np.int32), *(used for used, _ in dealt)])
+            nodes = [part for _, parts in dealt for part in parts]
+            yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(query), pa.array(nodes, pa.list_(pa.int64()))], schema=schema)
 
+    return arrow_map(state.select("query", "next"), run, fields)
 
-def _fresh(state: DataFrame, found: DataFrame, bar: Column) -> DataFrame:
-    """(query, vector, bar, nodes): what a query has found and does not hold, with its entries in the first round."""
+
+def _fresh(state: DataFrame, found: DataFrame, bar: Column, blocks: int) -> DataFrame:
+    """(query, vector, bar, block, nodes): what a query has found and does not hold, with its entries in the first round,
+    dealt to the blocks that hold it."""
     told = found.groupBy("query").agg(F.flatten(F.collect_list("found")).alias("found"))
-    joined = state.join(told, "query", "left")
-    ids = F.array_distinct(F.concat(F.coalesce("found", F.array().cast("array<bigint>")), "extra"))
-    return joined.select("query", "vector", bar.alias("bar"), F.array_except(ids, F.col("pool")).alias("nodes"))
+    none = F.array().cast("array<bigint>")
+    rows = state.join(told, "query", "left").select("query", "vector", bar.alias("bar"), F.coalesce("found", none), "extra", "pool")
+    fields = "query:int64 vector:doubles bar:double block:int32 nodes:longs"
+    schema = arrow_schema(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, block, nodes = [], [np.empty(0, np.int32)], []
+            for row, lists in enumerate(zip(*(batch.column(i) for i in (3, 4, 5)), strict=True)):
+                told, extra, pool = (x.values.to_numpy() for x in lists)
+                used, parts = by_block(np.setdiff1d(np.r_[told, extra], pool), blocks)
+                rows += [row] * len(used)
+                block.append(used)
+                nodes += parts
+            given = batch.select([0, 1, 2]).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*given.columns, pa.array(np.concatenate(block)), pa.array(nodes, pa.list_(pa.int64()))], schema=schema
+            )
+
+    return arrow_map(rows, run, fields)
 
 
 def _next_state(state: DataFrame, measured: DataFrame, held: int) -> DataFrame:

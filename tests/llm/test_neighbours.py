@@ -1,9 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from corpweave.llm import neighbours
+from corpweave.llm.common import meet
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, rank int, score double, node string"
 
@@ -158,3 +161,54 @@ def test_no_more_than_the_cap_meet_at_a_hub(spark):
     groups = neighbours.meetings(graph).distinct().groupBy("at").count()
     assert groups.agg({"count": "max"}).first()[0] <= neighbours.DEGREE + neighbours.REVERSE
     assert {r["id"] for r in neighbours.meetings(graph).where("at = 5").collect()} >= set(rows[5][1])
+
+
+def test_settled_queries_are_put_aside(spark, monkeypatch):
+    """Later steps move only the queries that still have nodes to open, and every query is returned once."""
+    moved = []
+    keep = neighbours.stored
+    monkeypatch.setattr(neighbours, "OPEN", 40)
+    monkeypatch.setattr(neighbours, "stored", lambda df, name: (lambda t: moved.append((name, t.count())) or t)(keep(df, name)))
+    x = np.random.default_rng(5).standard_normal((1500, 12)).astype(np.float32)
+    got = run(spark, [(i, v.tolist(), 0, 0, 0.0, "") for i, v in enumerate(x)])
+    steps = [n for name, n in moved if name == "search"]
+    assert steps[0] == 75 and steps[-1] < 75 and steps == sorted(steps, reverse=True)
+    assert len(got) == 75 and all(len(v) == 20 for v in got.values())
+
+
+def test_blocks_are_copied_by_the_ids_asked_of_them(spark):
+    asked = spark.createDataFrame([(0, q, [1, 2]) for q in range(60)] + [(1, 0, [1] * 30)], "block int, query bigint, nodes array<bigint>")
+    index = spark.createDataFrame([(0,), (1,)], "block int")
+
+    def seen(rows, _):
+        return rows.group_by("block").aggregate([("query", "count")]).rename_columns(["block", "n"])
+
+    for most, copies in ((200, 1), (20, 6)):
+        found = meet(asked, index, "block", seen, "block int, n bigint", most, F.size("nodes"), ["query"]).collect()
+        assert 1 <= sum(r["block"] == 0 for r in found) <= copies and sum(r["n"] for r in found) == 61
+
+
+def test_ids_are_dealt_to_the_blocks_that_hold_them():
+    ids = np.arange(0, 200_000, 20)
+    used, parts = neighbours.by_block(ids, 37)
+    assert sorted(np.concatenate(parts).tolist()) == ids.tolist() and len(used) == 37
+    assert all((neighbours.block_of(p, 37) == b).all() for b, p in zip(used, parts, strict=True))
+    assert max(map(len, parts)) < 2 * len(ids) / 37
+    assert neighbours.by_block(ids[:0], 37)[1] == []
+
+
+@pytest.mark.parametrize("pairs", [1, 50, 65_536])
+def test_products_of_many_pairs_equal_those_of_one(monkeypatch, pairs):
+    monkeypatch.setattr(neighbours, "PAIRS", pairs)
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((30, 5))
+    index = pa.table({"block": [0], "ids": [np.arange(30).tobytes()], "vectors": [np.ascontiguousarray(x.T).tobytes()]})
+    queries = [x[0].tolist(), x[1, :3].tolist(), [*x[2].tolist(), 9.0], x[3].tolist()]
+    nodes = [[1, 2, 29], [], [5, 77], list(range(30))]
+    bars = [-np.inf, 0.0, -np.inf, 0.5]
+    asked = pa.table({"query": [7, 8, 9, 10], "vector": pa.array(queries), "bar": bars, "nodes": pa.array(nodes, pa.list_(pa.int64()))})
+    found = neighbours._measured(asked, index).to_pylist()
+    assert [r["query"] for r in found] == [7, 8, 9, 10]
+    for row, query, some, bar in zip(found, queries, nodes, bars, strict=True):
+        want = {n: sum((a * b for a, b in zip(query, x[n], strict=False)), 0.0) for n in some if n < 30}
+        assert dict(zip(row["found"], row["sims"], strict=True)) == {n: s for n, s in want.items() if s >= bar}
