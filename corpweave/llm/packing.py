@@ -49,8 +49,8 @@ CAPACITY = 2048
 ROUNDS, SOLUTIONS, SLACK, RATE, FORGET = 80, 4, 0.01, 0.005, 0.9
 #: Pre-tokens whose ids a worker remembers, twice; pieces in one share of a length.
 CACHE, SHARE = 300_000, 8_192
-#: Texts encoded together, and words the library encodes in one string.
-TEXTS, TOGETHER = 256, 1_000
+#: Characters of texts encoded together, and words the library encodes in one string.
+CHARS, TOGETHER = 4_000_000, 1_000
 #: Texts and words whose splits are restated here: ASCII and the letters from U+00C0 to U+00FF. The library splits others.
 #: (Four control characters are left out that Python alone takes for white space.)
 PLAIN = re.compile("[\0-\x1b\x20-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
@@ -92,14 +92,9 @@ class WordIds:
 
     def parts(self, text: str) -> list[str]:
         """The pre-tokens of a text, in lower case; words that only the library can split stand as they are."""
-        out: list[str] = []
         if self.plain(text):
-            for word in text.lower().split():
-                if word.isalpha():
-                    out.append(word)
-                else:
-                    out += PART.findall(word)
-            return out
+            return PART.findall(text.lower())  # no part holds white space
+        out: list[str] = []
         for word in map(bytes.decode, text.encode().split()):
             if self.plain(word):
                 out += PART.findall(word.lower())
@@ -157,6 +152,20 @@ def word_ids(vocabulary: str) -> WordIds:
     return WordIds(vocabulary)
 
 
+def grouped(texts: pa.Array) -> Iterator[list[str]]:
+    """Texts in groups that hold ``CHARS`` characters, up to the last text of each."""
+    group: list[str] = []
+    held = 0
+    for text in texts:
+        group.append(text.as_py())
+        held += len(group[-1])
+        if held >= CHARS:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     fields = "doc_id:int64 piece:int64 start:int64 length:int64 ids_crc32:int64"
@@ -167,8 +176,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, key: s
         for batch in batches:
             rows = []
             keys = batch.column(0).to_pylist()
-            parts = (batch.column(1).slice(at, TEXTS).to_pylist() for at in range(0, len(keys), TEXTS))
-            for i, ids in zip(keys, (ids for texts in parts for ids in encoder.encode_all(texts)), strict=True):
+            for i, ids in zip(keys, (ids for texts in grouped(batch.column(1)) for ids in encoder.encode_all(texts)), strict=True):
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -47,6 +48,16 @@ def test_added_tokens_are_the_librarys(library):
     assert np.frombuffer(encoder.encode_all(["a <|endoftext|> b"])[0], "<u4").tolist() == [320, 49407, 321, 0]
 
 
+def test_texts_are_grouped_by_their_characters(monkeypatch):
+    """Few long texts or many short ones: a group holds about as many characters, so as many words to look up at once."""
+    monkeypatch.setattr(packing, "CHARS", 100)
+    texts = ["x" * 10] * 25 + ["", "y" * 500, "z" * 500] + ["w"] * 5
+    groups = list(packing.grouped(pa.array(texts)))
+    assert [t for g in groups for t in g] == texts
+    assert [sum(map(len, g)) for g in groups] == [100, 100, 550, 500, 5]
+    assert list(packing.grouped(pa.array([], pa.string()))) == []
+
+
 def test_shares_are_few(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARE", 10)
     pieces = spark.range(500).selectExpr("id doc_id", "0L piece", "0L start", "if(id < 300, 7L, 1 + id % 5) length", "id ids_crc32")
