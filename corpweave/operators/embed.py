@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,31 +43,46 @@ class HashingEncoder:
 
 
 def hashed_vectors(df: DataFrame, key: str, texts: dict[str, Column], dim: int = DEFAULT_DIM) -> DataFrame:
-    """Key and one ``embedding_<field>`` vector per text column, by the hashing trick in built-in expressions.
+    """Key and one ``embedding_<field>`` vector per text column, by the hashing trick.
 
     A word's MD5 digest gives its slot (first six hex digits modulo ``dim``) and its sign (last digit); the signed
     counts of a text are scaled to length one. Text without words gives zeros, null or empty text gives null.
-    ``key`` names a row. Counts are summed before they are shuffled by key, so long texts move ``dim`` numbers at most.
+    Rows stay where they are: Spark turns words into signed slots, and a task counts those of one Arrow batch at a time, so
+    nothing is shuffled and what a task holds does not grow with its rows.
     """
-    present = [F.struct(F.lit(name).alias("field"), F.nullif(c, F.lit("")).alias("text")) for name, c in texts.items()]
-    rows = df.select(F.col(key).alias("_key"), F.explode(F.array(*present)).alias("e")).select("_key", "e.field", "e.text")
-    # a null word stands for the text itself, so that texts without words keep their row
-    words = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(tokenise(F.col("text")), F.array().cast("array<string>")))
-    word = rows.select("_key", "field", F.col("text").isNotNull().alias("given"), F.explode(words).alias("word"))
-    digest = F.md5("word")
-    slot = F.conv(F.substring(digest, 1, 6), 16, 10).cast("bigint") % dim
-    sign = F.when(F.substring(digest, 32, 1) < "8", 1).otherwise(-1)
-    counted = word.groupBy("_key", "field", "given", slot.cast("int").alias("slot")).agg(F.sum(sign).cast("double").alias("n"))
-    slots = F.map_from_entries(F.collect_list(F.when(F.col("slot").isNotNull(), F.struct("slot", "n"))))
-    length = F.sqrt(F.sum(F.when(F.col("slot").isNotNull(), F.col("n") * F.col("n"))))
-    per = counted.groupBy("_key", "field", "given").agg(slots.alias("slots"), length.alias("length"))
-    vector = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.coalesce(F.col("slots")[i] / F.nullif(F.col("length"), F.lit(0.0)), F.lit(0.0)),
+    names = list(texts)
+
+    def signed_slot(word: Column) -> Column:
+        digest = F.md5(word)
+        slot = (F.conv(F.substring(digest, 1, 6), 16, 10).cast("bigint") % dim).cast("int") + 1
+        return F.when(F.substring(digest, 32, 1) < "8", slot).otherwise(-slot)
+
+    slots = [F.transform(tokenise(F.nullif(c, F.lit(""))), signed_slot).alias(name) for name, c in texts.items()]
+    schema = T.StructType(
+        [df.schema[key], *[T.StructField(f"embedding_{name}", T.ArrayType(T.DoubleType())) for name in names]]
     )
-    filled = per.select("_key", "field", F.when(F.col("given"), vector).alias("v"))
-    columns = [F.max(F.when(F.col("field") == name, F.col("v"))).alias(f"embedding_{name}") for name in texts]
-    return filled.groupBy("_key").agg(*columns).withColumnRenamed("_key", key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = [slot_vectors(batch.column(i + 1), dim) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *vectors], names=schema.names)
+
+    return df.select(key, *slots).mapInArrow(run, schema)
+
+
+def slot_vectors(slots: pa.Array, dim: int) -> pa.Array:
+    """Lists of signed slots, counted from 1, as vectors of length one; null stays null, no slots give zeros."""
+    row = np.repeat(np.arange(len(slots)), slots.value_lengths().fill_null(0).to_numpy())
+    signed = slots.flatten().to_numpy()
+    counts = np.bincount(row * dim + np.abs(signed) - 1, np.sign(signed), len(slots) * dim).astype(float).reshape(-1, dim)
+    lengths = np.sqrt((counts * counts).sum(1, keepdims=True))
+    np.divide(counts, lengths, out=counts, where=lengths > 0)
+    absent = slots.is_null()
+    kept = counts[~absent.to_numpy(zero_copy_only=False)].ravel()
+    # a null offset marks a list as null
+    ends = np.r_[0, np.cumsum(np.where(absent.to_numpy(zero_copy_only=False), 0, dim))].astype(np.int32)
+    offsets = pa.array(ends, mask=np.r_[absent.to_numpy(zero_copy_only=False), False])
+    return pa.ListArray.from_arrays(offsets, pa.array(kept))
 
 
 def embedding_texts(df: DataFrame, fields: list[str] | None = None) -> dict[str, Column]:
