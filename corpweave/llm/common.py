@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from corpweave.session import scratch_path, stored
 
-__all__ = ["arrow_map", "arrow_schema", "meet", "scratch_path", "stored", "table", "text_or_empty", "to_batch", "unused"]
+__all__ = ["arrow_map", "arrow_schema", "meet", "packed", "scratch_path", "stored", "table", "text_or_empty", "to_batch", "unused"]
+
+#: Bytes that a file of a stored frame holds at least, about, if there are more files than cores.
+FILE_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +43,15 @@ def arrow_map(df: DataFrame, function: Callable, fields: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def packed(df: DataFrame, size: int) -> DataFrame:
+    """``df``, of about ``size`` bytes, in no more partitions than these fill, or the cluster has cores: each becomes a file.
+
+    Shuffle partitions are set for the largest exchange of a job; a small frame in as many files costs a file's making
+    (on a local file system a process each, started by the executor) for every few rows.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // FILE_BYTES)))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpweave.llm.common import arrow_map, arrow_schema, meet, stored
+from corpweave.llm.common import arrow_map, arrow_schema, meet, packed, stored
 
 TOP = 20
 DEGREE, REVERSE = 32, 16
@@ -75,6 +75,12 @@ def distinct_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
     return some.groupBy("id").agg(F.min("vector").alias("vector"))
 
 
+def extent(rows: DataFrame, vector: str) -> int:
+    """Bytes of the rows' vectors as doubles, and of a few columns beside."""
+    found = rows.agg(F.count("*").alias("n"), F.sum(F.size(vector)).alias("components")).first()
+    return 24 * found["n"] + 8 * max(found["components"] or 0, 0)
+
+
 def as_matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     """Lists of numbers as rows, padded with zeros."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -298,10 +304,11 @@ def _met(table: pa.Table) -> pa.RecordBatch:
 
 def neighbour_graph(codes: DataFrame, width: int, nodes: int) -> DataFrame:
     """(id, nbrs, sims): up to DEGREE neighbours of every node, nearest first."""
-    graph = stored(start_graph(codes, width, nodes), "graph")
+    size = 12 * DEGREE * nodes
+    graph = stored(packed(start_graph(codes, width, nodes), size), "graph")
     total, entries = _total(graph)
     for number in range(MOST_ROUNDS):
-        graph = stored(descend(graph, codes), "graph")
+        graph = stored(packed(descend(graph, codes), size), "graph")
         (before, had), (total, entries) = (total, entries), _total(graph)
         log.info("round %d: lists gained %.4f an entry", number + 1, (total - before) / max(entries, 1))
         if entries == had and total - before <= ENOUGH * entries:
@@ -442,25 +449,28 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, many:
         F.array().cast("array<bigint>").alias("opened"), own.alias("next"),
         F.array_union(F.array(*map(F.lit, entries)).cast("array<bigint>"), own).alias("extra"),
     )
-    state = stored(state, "search")
     held = max(effort(many), top + 1)
+    left, each = queries.count(), 8 * width + 24 * held
+    state = stored(packed(state, left * each), "search")
     first = F.arrays_zip(F.slice("pool", 1, top + 1).alias("node"), F.slice("sims", 1, top + 1).alias("score"))
     settled: list[DataFrame] = []
     for number in range(MOST_STEPS):
         # open nodes: the blocks that hold them return their neighbours
-        sent = stored(_sent(state, blocks), "open")
+        sent = stored(packed(_sent(state, blocks), left * 8 * OPEN), "open")
         found = meet(sent, links, "block", _opened, "query bigint, found array<bigint>", IDS_A_TASK, F.size("nodes"), ["query"])
         bar = F.when(F.size("sims") >= held, F.element_at("sims", -1)).otherwise(float("-inf"))
-        asked = stored(_fresh(state, found, bar, blocks), "measure")
+        links_met = OPEN * DEGREE
+        asked = stored(packed(_fresh(state, found, bar, blocks), left * 8 * (links_met + width * min(blocks, links_met))), "measure")
         # a query's vector weighs as well
         measured = meet(
             asked, vectors, "block", _measured, "query bigint, found array<bigint>, sims array<double>", IDS_A_TASK,
             F.size("nodes") + F.size("vector"), ["query"],
         )
-        after = stored(_next_state(state, measured, held), "search")
+        after = stored(packed(_next_state(state, measured, held), left * each), "search")
         settled.append(after.where(F.size("next") == 0).select("query", F.explode(first).alias("x")).select("query", "x.node", "x.score"))
         state = after.where(F.size("next") > 0)
-        if not state.limit(1).count():
+        left = state.count()
+        if not left:
             log.info("search settled after %d steps", number + 1)
             return reduce(DataFrame.unionAll, settled)
     raise RuntimeError(f"queries still find nodes to open after {MOST_STEPS} steps")
@@ -551,23 +561,27 @@ def nearest(
 
     ``queries`` has the columns of ``rows``; a query whose id is among the rows is never its own neighbour.
     """
-    vectors = stored(distinct_vectors(rows, key, vector), "vectors")
-    asked = stored(distinct_vectors(queries, key, vector), "asked")
+    size, size_asked = extent(rows, vector), extent(queries, vector)
+    vectors = stored(packed(distinct_vectors(rows, key, vector), size), "vectors")
+    asked = stored(packed(distinct_vectors(queries, key, vector), size_asked), "asked")
     # equal vectors are one node, named by its smallest id; the smallest top + 1 ids of a node can be in a result
     named = vectors.groupBy("vector").agg(F.min("id").alias("id"))
     largest = F.array_max(F.transform("vector", lambda x: F.abs(x)))
     scaled = F.transform("vector", lambda x: x / largest)
-    nodes = stored(named.select("id", "vector", (largest * F.sqrt(inner_product(scaled, scaled))).alias("norm")), "nodes")
+    norm = largest * F.sqrt(inner_product(scaled, scaled))
+    nodes = stored(packed(named.select("id", "vector", norm.alias("norm")), size), "nodes")
     facts = nodes.agg(F.count("*").alias("n"), F.max("norm").alias("longest"), F.max(F.size("vector")).alias("width")).first()
     if not facts["n"]:
         return rows.sparkSession.createDataFrame([], f"query_id bigint, rank int, {key} bigint, score double")
     n, width, longest = facts["n"], facts["width"], facts["longest"]
-    graph = neighbour_graph(stored(coded(nodes, width, longest), "codes"), width, n)
+    graph = neighbour_graph(stored(packed(coded(nodes, width, longest), size), "codes"), width, n)
     # queries of equal vectors are searched once
     distinct = asked.groupBy("vector").agg(F.min("id").alias("query"))
-    distinct = stored(distinct.join(nodes.select("vector", F.col("id").alias("start")), "vector", "left"), "queries")
+    distinct = distinct.join(nodes.select("vector", F.col("id").alias("start")), "vector", "left")
+    distinct = stored(packed(distinct, size_asked), "queries")
     long = [r["id"] for r in nodes.orderBy(F.desc("norm"), "id").select("id").limit(ENTRIES).collect()]
-    scored = stored(greedy_search(distinct, nodes, graph, n, width, long, top), "scored")
+    found = greedy_search(distinct, nodes, graph, n, width, long, top)
+    scored = stored(packed(found, 24 * (top + 1) * distinct.count()), "scored")
     rank = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     member = vectors.withColumn("rank", rank).where(F.col("rank") <= top + 1).select("vector", "id")
     member = member.join(nodes.select("vector", F.col("id").alias("node")), "vector").select("node", F.col("id").alias(key))
@@ -577,4 +591,4 @@ def nearest(
     named = each.join(found.select("query", key, "score"), "query").where(F.col("query_id") != F.col(key))
     last = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
     ranked = named.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= top)
-    return ranked.select("query_id", "rank", key, "score")
+    return packed(ranked.select("query_id", "rank", key, "score"), 28 * top * asked.count())

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpweave.llm import neighbours
-from corpweave.llm.common import meet
+from corpweave.llm.common import FILE_BYTES, meet, packed
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, rank int, score double, node string"
 
@@ -212,3 +212,34 @@ def test_products_of_many_pairs_equal_those_of_one(monkeypatch, pairs):
     for row, query, some, bar in zip(found, queries, nodes, bars, strict=True):
         want = {n: sum((a * b for a, b in zip(query, x[n], strict=False)), 0.0) for n in some if n < 30}
         assert dict(zip(row["found"], row["sims"], strict=True)) == {n: s for n, s in want.items() if s >= bar}
+
+
+def test_stored_frames_have_no_more_files_than_cores_or_their_size_asks_for(spark, monkeypatch):
+    """Many shuffle partitions do not cut small frames into as many files."""
+    x = np.random.default_rng(12).standard_normal((600, 8)).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist(), 0, 0, 0.0, "") for i, v in enumerate(x)], SCHEMA)
+    files = []
+    keep = neighbours.stored
+    monkeypatch.setattr(neighbours, "stored", lambda df, name: (lambda t: files.append((len(t.inputFiles()), name)) or t)(keep(df, name)))
+    dealt = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in dealt}
+    try:
+        for k, v in dealt.items():
+            spark.conf.set(k, v)
+        found = neighbours.nearest(df, df.where("vec_id % 20 = 0"))
+        files.append((found.rdd.getNumPartitions(), "result"))
+        got = {}
+        for r in found.collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == 30 and all(len(v) == 20 for v in got.values()) and recall(got, x) >= 0.95
+    assert max(files)[0] <= spark.sparkContext.defaultParallelism, max(files)
+
+
+def test_large_frames_keep_their_partitions(spark):
+    df = spark.range(100).repartition(40)
+    assert packed(df, 40 * FILE_BYTES).rdd.getNumPartitions() == 40
+    assert packed(df, 7 * FILE_BYTES - 1).rdd.getNumPartitions() == 7
+    assert packed(df, 0).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
