@@ -20,9 +20,11 @@ from corpweave.operators.gold import to_gold
 from corpweave.operators.integrate import dedupe_latest, integrate
 from corpweave.operators.standardise import standardise_embeddings, standardise_enrichment, standardise_registry
 from corpweave.operators.validate import good_rows
-from corpweave.session import stored
+from corpweave.session import stored, stored_from
 
 DIM = 64
+#: Columns of gold that hold the texts of the enrichment.
+ENRICHED = {"description_long", "product_services", "market_niches", "business_model"}
 
 
 def planned_once(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -200,13 +202,20 @@ class Tables:
         """Gold as a stored table, as searches read it: several scans of a few columns each.
 
         Only ``columns`` are worked out and stored when given: texts, vectors and hashes a job never reads would make up
-        nearly all of a table with one wide row a company.
+        nearly all of a table with one wide row a company. Where texts are asked for, their sources are stored first, so that
+        what is shuffled for them is gone when they meet, and deleted afterwards.
         """
         name = "serving:" + ",".join(columns)
         if name not in self.plans:
-            self.plans[name] = stored(self.gold().select(*columns) if columns else self.gold(), "gold")
+            self.plans[name] = stored_from(self.spark, lambda: self._gold_of(columns), "gold")
         return self.plans[name]
 
+    def _gold_of(self, columns: tuple[str, ...]) -> DataFrame:
+        if not ENRICHED & set(columns):
+            return self.gold().select(*columns) if columns else self.gold()
+        registry = stored(self.registry(), "registry") if "description_short" in columns else self.registry()
+        return to_gold(integrate(registry, stored(self.enrichment(), "enrichment"), self.embeddings())).select(*columns)
+
 
 @lru_cache(maxsize=16)
 def tables(spark: SparkSession, folder: str) -> Tables:

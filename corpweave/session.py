@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -23,6 +23,8 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app_name: str = "corpweave", master: str | None = None, **overrides: str) -> SparkSession:
     """A session with the settings this library is tuned for.
@@ -75,14 +77,51 @@ def released(spark: SparkSession) -> Iterator[None]:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that is read several times as a table in the shared folder, and read it back.
 
-    Unlike a checkpoint the table keeps column pruning and filter push-down.
+    Unlike a checkpoint the table keeps column pruning and filter push-down. What was shuffled for it is deleted once it is
+    written, not when the driver next collects garbage.
     """
-    path = scratch_path(df.sparkSession, name)
-    paths = _written.get()
+    path = _new_folder(df.sparkSession, name)
+    _write(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+def stored_from(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Store the frame that ``build`` makes, and delete the frames it stores on the way."""
+    path = _new_folder(spark, name)
+    with released(spark):
+        _write(build(), path)
+    return spark.read.parquet(path)
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    path, paths = scratch_path(spark, name), _written.get()
     if paths is not None:
         paths.append(path)
-    df.write.option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return path
+
+
+def _write(df: DataFrame, path: str) -> None:
+    with _setting(df.sparkSession, DROP_SHUFFLES, "true"):
+        df.write.option("compression", "zstd").parquet(path)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting inside the block, as it was before afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def arrow_rows(spark: SparkSession, rows: int):
+    """Rows handed to Python at a time by what runs inside the block: fewer where rows are wide."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
