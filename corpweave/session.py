@@ -80,20 +80,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Unlike a checkpoint the table keeps column pruning and filter push-down. What was shuffled for it is deleted once it is
     written, not when the driver next collects garbage.
     """
-    path = _new_folder(df.sparkSession, name)
+    path = new_folder(df.sparkSession, name)
     _write(df, path)
     return df.sparkSession.read.parquet(path)
 
 
 def stored_from(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
     """Store the frame that ``build`` makes, and delete the frames it stores on the way."""
-    path = _new_folder(spark, name)
+    path = new_folder(spark, name)
     with released(spark):
         _write(build(), path)
     return spark.read.parquet(path)
 
 
-def _new_folder(spark: SparkSession, name: str) -> str:
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for a stored frame."""
     path, paths = scratch_path(spark, name), _written.get()
     if paths is not None:
         paths.append(path)

@@ -9,6 +9,7 @@ import pytest
 
 from corpweave.operators import blocks
 from corpweave.operators import pruned as p
+from corpweave.operators import search as s
 from corpweave.session import stored
 
 
@@ -70,3 +71,28 @@ def test_stored_frames_leave_no_shuffles(spark):
     frame = stored(spark.range(5000).selectExpr("id % 7 AS k").groupBy("k").count(), "counts")
     assert shuffles(spark).keys() <= before.keys()
     assert sorted(map(tuple, frame.collect()))[0] == (0, 715)
+
+
+def test_text_search_shuffles_lists_not_pairs(spark):
+    rows = [(f"{random.Random(i).getrandbits(128):032x}", text) for i, (_, text, _) in enumerate(texts(6000))]
+    docs = spark.createDataFrame(rows, "hk string, industry string").coalesce(2).cache()
+    queries = spark.createDataFrame([(i, f"de w{i} w{i + 1} x1") for i in range(60)], "query_id int, text string")
+    before = shuffles(spark)
+    hits = s.search_text(docs, queries, {"industry": 1.0}, 5).collect()
+    assert len(hits) == 300
+    asked = {"de", "x1", *(f"w{i}" for i in range(61))}
+    postings = sum(len(asked & set((text or "").split())) for _, text in rows)
+    assert sum(size for name, size in shuffles(spark).items() if name not in before) < 12 * postings + 50 * len(rows)
+
+
+@pytest.mark.parametrize("limits", [{}, {"PASS_TERMS": 3, "QUERY_SLICE": 1}, {"SLICE_CELLS": 1, "MAX_PUSHED": 0, "BLOCK_DOCS": 30, "BATCH_DOCS": 7}])
+def test_text_search_by_blocks_equals_scores_of_all_pairs(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(blocks, name, value)
+    docs = spark.createDataFrame([*texts(500), *((f"copy{i}", "w1 w1 de", ["b"]) for i in range(20))], "hk string, t string, l array<string>")
+    queries = spark.createDataFrame([("a", "w1 b de de"), ("b", "w2 w3"), ("c", "absent"), ("d", None), ("e", "x1 a w1")], "query_id string, text string")
+    boosts = {"t": 1.0, "l": 2.0}
+    want = s.ranked(s.bm25_scores(docs, queries, boosts), 7)
+    for most in (10**6, 1):
+        hits = s.ranked(s.text_hits(docs, queries, boosts, 7, max_vocabulary=most), 7)
+        assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, want.collect()))
