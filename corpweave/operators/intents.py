@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from corpweave.functions.text import normalise_keyword
 from corpweave.operators import search as s
+from corpweave.operators.blocks import Block
 from corpweave.operators.joins import join_with_small
 from corpweave.session import stored
 from corpweave.specs import EMBEDDING_FIELDS, INTENT_BOOSTS, TEXT_FIELDS
@@ -58,15 +59,15 @@ def _plain(name: str) -> Column:
     return normalise_keyword(F.col(name)) if name in s.FILTER_KEYWORD_LIMITS else F.col(name)
 
 
-def _facts(docs: DataFrame, vectors: list[str] | tuple = ()) -> DataFrame:
-    """What filters look at: hk, one column ``f_...`` a filtered column, and some vectors. Nothing else is read."""
+def _facts(docs: DataFrame, vectors: list[str] | tuple = (), also: list[str] | tuple = ()) -> DataFrame:
+    """What filters look at: hk, one column ``f_...`` a filtered column, some vectors, and others. Nothing else is read."""
     columns = []
     for name in EQUAL:
         limit = s.FILTER_KEYWORD_LIMITS.get(name)
         value = _plain(name) if limit is None else F.when(F.length(name) <= limit, _plain(name))
         columns.append(value.cast("string").alias(f"f_{name}"))
     columns += [F.col(name).cast("bigint").alias(f"f_{name}") for name, _, _ in RANGES]
-    return docs.select("hk", *columns, *[F.col(name).cast("array<double>").alias(name) for name in vectors])
+    return docs.select("hk", *columns, *[F.col(name).cast("array<double>").alias(name) for name in vectors], *also)
 
 
 def _asked(intents: DataFrame) -> DataFrame:
@@ -183,51 +184,88 @@ def _filter_hits(facts: DataFrame, only: DataFrame, size: int, max_broadcast: in
 
 
 def _text_scores(
-    docs: DataFrame, facts: DataFrame, asked: DataFrame, bind_hybrid: bool, index: s.TextIndex | None, max_broadcast: int
+    docs: DataFrame, facts: DataFrame, asked: DataFrame, bind_hybrid: bool, index: s.TextIndex, max_broadcast: int
 ) -> DataFrame:
-    """BM25 of every intent with text on its own fields, then its filters on the documents that matched.
+    """BM25 of every intent with text on its own fields from a stored index, then its filters on the documents that matched.
 
     Statistics are those of the whole table. Only keys and filtered columns are joined to the matches.
     """
-    texts = asked.filter(F.col("query_text").isNotNull())
-    queries = texts.select("query_id", F.col("query_text").alias("text"), F.col("query_text_fields").alias("fields"))
+    queries, binding = _texts(asked, bind_hybrid)
     scores = s.bm25_scores(docs, queries, INTENT_BOOSTS, max_broadcast, index)
-    binding = texts.filter(_any_filter())
-    if not bind_hybrid:
-        binding = binding.filter(F.col("vector").isNull())
-    binding = binding.select("query_id", *[f"w_{n}" for n in FILTERS])
+    binding = binding.filter(_any_filter())
     if binding.isEmpty():
         return scores
     judged = join_with_small(scores, binding, ["query_id"], F.col("hk"), "left", max_rows=max_broadcast)
     return judged.join(facts, "hk").filter(_passes()).select("query_id", "hk", "score")
 
 
+def _texts(asked: DataFrame, bind_hybrid: bool) -> tuple[DataFrame, DataFrame]:
+    """The texts asked for with their fields, and the filters that bind them."""
+    texts = asked.filter(F.col("query_text").isNotNull())
+    queries = texts.select("query_id", F.col("query_text").alias("text"), F.col("query_text_fields").alias("fields"))
+    binding = texts if bind_hybrid else texts.filter(F.col("vector").isNull())
+    return queries, binding.select("query_id", *[f"w_{n}" for n in FILTERS])
+
+
+def _text_hits(docs: DataFrame, asked: DataFrame, vector: DataFrame, bind_hybrid: bool, size: int, max_broadcast: int) -> DataFrame:
+    """BM25 of the ``size`` best documents of every intent with text in every block, and of its ``vector`` hits.
+
+    Filters decide inside the block. What comes among the best by text and vector together without being a vector hit is
+    among the best by text, since a vector adds nothing below zero.
+    """
+    queries, binding = _texts(asked, bind_hybrid)
+    pairs = vector.select("query_id", "hk")
+    facts = tuple(f"f_{name}" for name in [*EQUAL, *(name for name, _, _ in RANGES)])
+
+    def rules(ids: pa.Array) -> _TextRules:
+        mine = F.broadcast(docs.sparkSession.createDataFrame(pa.table({"query_id": ids})))
+        return _TextRules(ids, binding.join(mine, "query_id").toArrow(), pairs.join(mine, "query_id").toArrow())
+
+    read = _facts(docs, also=list(INTENT_BOOSTS))
+    return s.text_hits(read, queries, INTENT_BOOSTS, size, None, max_broadcast, facts, rules)
+
+
+class _TextRules:
+    """The filters of some intents with text, and the documents whose text scores their vectors need."""
+
+    def __init__(self, ids: pa.Array, binding: pa.Table, pairs: pa.Table) -> None:
+        place = pc.index_in(ids, value_set=binding.column("query_id").combine_chunks())
+        self.filters = _Filters(binding.combine_chunks().take(place))
+        self.queries = pc.index_in(pairs.column("query_id"), value_set=ids).to_numpy()
+        self.keys = pairs.column("hk").combine_chunks()
+
+    def allowed(self, block: Block, part: slice) -> np.ndarray:
+        return self.filters.allowed(block.documents.combine_chunks().to_batches()[0], part)
+
+    def needed(self, block: Block, part: slice) -> np.ndarray:
+        mask = np.zeros((block.count, part.stop - part.start), dtype=bool)
+        asked = np.flatnonzero((self.queries >= part.start) & (self.queries < part.stop))
+        docs = pc.index_in(self.keys.take(pa.array(asked)), value_set=block.keys.combine_chunks())
+        docs = pc.fill_null(docs, -1).to_numpy(zero_copy_only=False)
+        mask[docs[docs >= 0], self.queries[asked[docs >= 0]] - part.start] = True
+        return mask
+
+
 # vectors
 
 
-class _Block:
-    """The vectors of some intents for one field and size, with their filters as arrays."""
+class _Filters:
+    """The filters of some intents as arrays."""
 
     def __init__(self, table: pa.Table) -> None:
-        self.ids = table.column("query_id").combine_chunks()
-        matrix = s._matrix(table.column("vector"))
-        matrix[~np.isfinite(matrix).all(axis=1)] = 0
-        self.units, usable = s._unit_rows(matrix)
-        kept = pa.array(usable)
-        self.ids = self.ids.filter(kept)
         self.values, self.codes, self.bounds = {}, {}, {}
         for name in EQUAL:
-            column = table.column(f"w_{name}").combine_chunks().filter(kept)
+            column = table.column(f"w_{name}").combine_chunks()
             self.values[name] = pc.unique(column.drop_null())
             self.codes[name] = _codes(column, self.values[name], absent=-2)
         for _, low, high in RANGES:
             for bound in (low, high):
                 if bound:
-                    self.bounds[bound] = _numbers(table.column(f"w_{bound}").combine_chunks().filter(kept))
+                    self.bounds[bound] = _numbers(table.column(f"w_{bound}").combine_chunks())
 
     def allowed(self, docs: pa.RecordBatch, part: slice) -> np.ndarray:
         """Documents by queries of the slice: whether the filters let the document through."""
-        count = len(self.ids.slice(part.start, part.stop - part.start))
+        count = part.stop - part.start
         mask = np.ones((docs.num_rows, count), dtype=bool)
         for name in EQUAL:
             wanted = self.codes[name][part]
@@ -243,6 +281,18 @@ class _Block:
         return mask
 
 
+class _Block(_Filters):
+    """The vectors of some intents for one field and size, with their filters."""
+
+    def __init__(self, table: pa.Table) -> None:
+        matrix = s._matrix(table.column("vector"))
+        matrix[~np.isfinite(matrix).all(axis=1)] = 0
+        self.units, usable = s._unit_rows(matrix)
+        kept = table.filter(pa.array(usable))
+        self.ids = kept.column("query_id").combine_chunks()
+        super().__init__(kept)
+
+
 def _codes(column: pa.Array, values: pa.Array, absent: int) -> np.ndarray:
     return pc.fill_null(pc.index_in(column, value_set=values), absent).to_numpy(zero_copy_only=False)
 
@@ -349,8 +399,11 @@ def search_intents(
     facts = _facts(docs)
     only = asked.filter(F.col("query_text").isNull() & F.col("vector").isNull())
     plain = _filter_hits(facts, only, size, max_broadcast)
-    text = _text_scores(docs, facts, asked, filter_text_branch, index, max_broadcast)
-    vector = _vector_scores(docs, asked, size, max_vectors)
+    vector = stored(_vector_scores(docs, asked, size, max_vectors), "vector-hits")
+    if index is None:
+        text = stored(_text_hits(docs, asked, vector, filter_text_branch, size, max_broadcast), "text-hits")
+    else:
+        text = _text_scores(docs, facts, asked, filter_text_branch, index, max_broadcast)
     scores = s.hybrid_scores(text, vector).unionByName(plain.select("query_id", "hk", "score"))
     best = s._placed(scores, size).join(asked.select("query_id", "k"), "query_id").filter(F.col("rank") <= F.col("k"))
     return best.select("query_id", "rank", "hk", s._shown())

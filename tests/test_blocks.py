@@ -6,10 +6,12 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from corpweave.operators import blocks
 from corpweave.operators import pruned as p
 from corpweave.operators import search as s
+from corpweave.operators.intents import RANGES, search_intents
 from corpweave.session import stored
 
 
@@ -96,3 +98,21 @@ def test_text_search_by_blocks_equals_scores_of_all_pairs(spark, monkeypatch, li
     for most in (10**6, 1):
         hits = s.ranked(s.text_hits(docs, queries, boosts, 7, max_vocabulary=most), 7)
         assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_intents_shuffle_lists_not_matches(spark):
+    rows = [(f"{random.Random(i).getrandbits(128):032x}", f"c{i}", "Chile" if i % 3 else "Peru", text, [1.0, float(i % 50)]) for i, (_, text, _) in enumerate(texts(6000))]
+    docs = spark.createDataFrame(rows, "hk string, company_id string, country string, industry string, embedding_global_vector array<double>")
+    nulls = {c: "string" for c in ("iso2_country_code", "normalized_request_url", "description_short", "description_long")}
+    nulls |= {c: "array<string>" for c in ("product_services", "market_niches", "business_model")}
+    nulls |= {name: "bigint" for name, _, _ in RANGES if name not in nulls}
+    docs = docs.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in nulls.items()]).coalesce(2).cache()
+    asked = [(i, 5, f"de w{i} x1", "PERU" if i % 2 else None, [0.5, 1.0] if i % 3 else None) for i in range(60)]
+    intents = spark.createDataFrame(asked, "query_id int, k int, query_text string, country string, vector array<double>")
+    before = shuffles(spark)
+    hits = search_intents(docs, intents, 5).collect()
+    assert len(hits) == 300
+    keys = {hk: country for hk, _, country, *_ in rows}
+    assert all(keys[h.hk] == "Peru" for h in hits if h.query_id % 2)
+    postings = sum(len({"de", "x1", *(f"w{i}" for i in range(60))} & set((text or "").split())) for *_, text, _ in rows)
+    assert sum(size for name, size in shuffles(spark).items() if name not in before) < 12 * postings + 60 * len(rows)
